@@ -184,3 +184,34 @@ FOREST_TREES = 200
 FOREST_SUBSAMPLE = 256
 FOREST_MAX_FEATURES = 0.8
 FOREST_CONTAMINATION = 0.03
+
+# --- FIXED VALUES: scenario driver texts (format templates, in rule order) ---
+SCENARIO_DRIVERS = {
+    "flood": "🌊 Severe flood signal (+{rain}% rainfall anomaly)",
+    "drought": "☀️ Drought signal ({rain}% rainfall deficit)",
+    "dry": "🌤 Moderate dry spell ({rain}%)",
+    "shock": "📈 Price shock (+{price}% food price increase)",
+    "elevated": "📊 Elevated food prices (+{price}%)",
+    "falling": "📉 Food prices falling ({price}%)",
+    "active_flood": "🚨 Active flood event flagged",
+    "high_conflict": "⚔️ High conflict activity ({conflict} events)",
+    "moderate_conflict": "⚠️ Moderate conflict ({conflict} events)",
+    "vegetation": "🌿 Vegetation stress (NDVI Δ {ndvi})",
+    "carry_over": "🔁 Carry-over from previous Phase {prev}",
+    "density": "👥 High population density ({density}/km²)",
+}
+
+# --- FIXED VALUES: scenario status table -------------------------------------
+SCENARIO_PARAMETERS = ("Rainfall Anomaly", "Food Price Change", "Active Flood", "Conflict Events",
+                       "NDVI Anomaly", "Population Density", "Prev. IPC Phase")
+SCENARIO_STATUS = {
+    "rain": ("⚠️ Flood", "⚠️ Drought", "✅ Normal"),
+    "price": ("🔴 Shock", "🟡 Elevated", "✅ Normal"),
+    "flood": ("🔴 Active", "✅ None"),
+    "conflict": ("🔴 High", "🟡 Moderate", "✅ Low"),
+    "ndvi": ("🔴 Stressed", "✅ Healthy"),
+    "density": ("🟡 Dense", "✅ Normal"),
+    "prev": ("🔴 Crisis+", "✅ Stable"),
+}
+FLOOD_YES = "Yes 🚨"
+FLOOD_NO = "No ✅"

@@ -11,6 +11,7 @@ from pyspark.sql import Column, functions as F
 from .. import constants as K
 from ._util import as_col, lit_map
 from .flags import clip
+from ._util import np_round
 
 _D = lambda x: F.lit(float(x))  # noqa: E731  double literal (0.3 must not be DECIMAL)
 
@@ -66,7 +67,7 @@ def ipc_phase_rule(score: Column | None = None, **kw) -> Column:
 
 
 def flood_price_interaction(flood="flood_flag", price_change="price_change_pct", digits=3) -> Column:
-    return F.round(as_col(flood) * F.coalesce(as_col(price_change), _D(0)), digits)
+    return np_round(as_col(flood) * F.coalesce(as_col(price_change), _D(0)), digits)
 
 
 def compound_risk_flag(flood="flood_flag", shock="price_shock_flag", high="high_conflict_flag") -> Column:
@@ -90,7 +91,7 @@ def compound_risk_score(rain="rainfall_anomaly_pct", flood="flood_flag",
     s = s + clip(F.coalesce(as_col(price_change), _D(0)), 0, 100) * _D(0.05)
     s = s + F.coalesce(as_col(conflict), F.lit(0)) * _D(0.1)
     s = s + as_col(lean) * _D(1.0)
-    return F.round(s, digits)
+    return np_round(s, digits)
 
 
 def price_direction(c, rising_gt=K.DIRECTION_RISING_GT, falling_lt=K.DIRECTION_FALLING_LT) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions._util import as_col
 from ..functions.flags import flag_ge
+from ..functions._util import np_round
 
 
 def require(df: DataFrame, cols) -> DataFrame:
@@ -43,7 +44,7 @@ def monthly_mean(df: DataFrame, keys, cols, digits: int | None = 3) -> DataFrame
     aggs = []
     for src, out in mapping.items():
         m = F.avg(F.col(src))
-        aggs.append((F.round(m, digits) if digits is not None else m).alias(out))
+        aggs.append((np_round(m, digits) if digits is not None else m).alias(out))
     return _keys_not_null(df, keys).groupBy(*keys).agg(*aggs)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions._util import as_col
 from ..functions.text import month_short_name
+from ..functions._util import np_round
 
 NUMERIC = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType, T.ShortType)
 
@@ -96,8 +97,8 @@ def one_hot(df: DataFrame, c: str, values, prefix: str | None = None) -> DataFra
 def month_cycle(df: DataFrame, month: str = "month", digits: int = 4) -> DataFrame:
     """cyclical month encoding."""
     ang = F.lit(2 * math.pi) * F.col(month) / F.lit(12.0)
-    return df.withColumns({"month_sin": F.round(F.sin(ang), digits),
-                           "month_cos": F.round(F.cos(ang), digits)})
+    return df.withColumns({"month_sin": np_round(F.sin(ang), digits),
+                           "month_cos": np_round(F.cos(ang), digits)})
 
 
 def time_trend(df: DataFrame, out: str = "time_trend") -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions._util import as_col
+from ..functions._util import np_round
 
 ORDER = ("year", "month")
 
@@ -51,7 +52,7 @@ def pct_change(df: DataFrame, c: str, out: str, key="district", digits: int | No
                order=ORDER) -> DataFrame:
     """Percent change from the previous row of the same entity."""
     v = pct_change_col(c, F.lag(F.col(c), 1).over(panel_window(key, order)))
-    return df.withColumn(out, F.round(v, digits) if digits is not None else v)
+    return df.withColumn(out, np_round(v, digits) if digits is not None else v)
 
 
 _ROLL = {"mean": F.avg, "sum": F.sum, "std": F.stddev_samp, "max": F.max, "min": F.min}
@@ -67,7 +68,7 @@ def rolling_col(c: str, n: int, fn: str = "mean", key="district", order=ORDER) -
 def rolling(df: DataFrame, c: str, n: int, fn: str = "mean", out: str | None = None,
             key="district", digits: int | None = None, order=ORDER) -> DataFrame:
     v = rolling_col(c, n, fn, key, order)
-    return df.withColumn(out or f"{c}_rolling_{n}", F.round(v, digits) if digits is not None else v)
+    return df.withColumn(out or f"{c}_rolling_{n}", np_round(v, digits) if digits is not None else v)
 
 
 def streak(df: DataFrame, flag: str, out: str, key="district", order=ORDER) -> DataFrame:
@@ -107,7 +108,7 @@ def anomaly_vs_mean(df: DataFrame, c: str, out: str, key="district", digits: int
     tmp = "__hw_mean"
     df = with_group_mean(df, key, {c: tmp})
     v = (F.try_divide(F.col(c), F.col(tmp)) - F.lit(1.0)) * F.lit(100.0)
-    return df.withColumn(out, F.round(v, digits) if digits is not None else v).drop(tmp)
+    return df.withColumn(out, np_round(v, digits) if digits is not None else v).drop(tmp)
 
 
 def latest_row(df: DataFrame, key, order=ORDER, cols=None) -> DataFrame:

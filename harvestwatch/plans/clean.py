@@ -19,6 +19,7 @@ from ..functions import (commodity_family, flag_gt, flag_lt, flag_pattern, match
 from ..operators import (add_lags, anomaly_vs_mean, monthly_events, monthly_mean, pct_change_col,
                          pivot_mean, quantile_flag, require, rolling_col, with_year_month,
                          panel_window)
+from ..functions._util import np_round
 
 
 def _num(df: DataFrame, c: str):
@@ -92,8 +93,8 @@ def clean_prices(raw: DataFrame, region_map: dict | None = None, keywords=K.COMM
                                  "price_shock_flag": F.lit(0)})
     w = panel_window("region")
     wide = wide.withColumn("price_lag1", F.lag(price_col, 1).over(w))
-    wide = wide.withColumn("price_change_pct", F.round(pct_change_col(price_col, "price_lag1"), 2))
-    wide = wide.withColumn("price_volatility_3m", F.round(rolling_col("price_change_pct", 3, "std", "region"), 3))
+    wide = wide.withColumn("price_change_pct", np_round(pct_change_col(price_col, "price_lag1"), 2))
+    wide = wide.withColumn("price_volatility_3m", np_round(rolling_col("price_change_pct", 3, "std", "region"), 3))
     return wide.withColumn("price_shock_flag", flag_gt("price_change_pct", shock_gt))
 
 

@@ -14,6 +14,7 @@ from .. import constants as K
 from ..functions import compound_risk_score, region_type
 from ..operators import (add_lags, fill_zero, lag_rolling_flag_columns, month_cycle, one_hot,
                          rolling_col, streak, time_trend, with_group_mean)
+from ..functions._util import np_round
 
 
 def build_features(master: DataFrame, profile_key: str = "region", north=K.NORTH_REGIONS,
@@ -25,8 +26,8 @@ def build_features(master: DataFrame, profile_key: str = "region", north=K.NORTH
     df = add_lags(df, "flood_flag", [1, 2, 3], key, fill=0)
     df = add_lags(df, "drought_flag", [1, 2, 3], key, fill=0)
     df = df.withColumns({
-        "rainfall_rolling_3m": F.round(rolling_col("rainfall_mm", 3, "mean", key), 3),
-        "rainfall_rolling_6m": F.round(rolling_col("rainfall_mm", 6, "mean", key), 3)})
+        "rainfall_rolling_3m": np_round(rolling_col("rainfall_mm", 3, "mean", key), 3),
+        "rainfall_rolling_6m": np_round(rolling_col("rainfall_mm", 6, "mean", key), 3)})
     df = streak(df, "flood_flag", "flood_streak_months", key)
 
     if "price_change_pct" in df.columns:
@@ -34,8 +35,8 @@ def build_features(master: DataFrame, profile_key: str = "region", north=K.NORTH
         df = add_lags(df, "price_volatility_3m", [1, 2], key, name="price_volatility_lag{n}")
         pc = F.coalesce(F.col("price_change_pct"), F.lit(0.0))
         df = df.withColumns({
-            "flood_price_lag1_interact": F.round(F.col("flood_flag_lag1") * pc, 3),
-            "drought_price_interact": F.round(F.col("drought_flag") * pc, 3)})
+            "flood_price_lag1_interact": np_round(F.col("flood_flag_lag1") * pc, 3),
+            "drought_price_interact": np_round(F.col("drought_flag") * pc, 3)})
 
     if "conflict_events" in df.columns:
         df = add_lags(df, "conflict_events", [1, 2], key, fill=0, name="conflict_lag{n}")

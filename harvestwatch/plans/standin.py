@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions._util import lit_map
+from ..functions._util import lit_map, np_round
 from ..sources.driver import table
 from .clean import clean_conflict, clean_prices, clean_rainfall
 from .features import build_features
@@ -108,3 +108,22 @@ def master(spark: SparkSession, sf_dir: str) -> DataFrame:
 def features(spark: SparkSession, sf_dir: str, profile_key: str = "region") -> DataFrame:
     return build_features(master(spark, sf_dir), profile_key=profile_key, north=STANDIN_NORTH,
                           coastal=STANDIN_COASTAL)
+
+
+def scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What-if inputs derived from the feature table, one scenario per
+    district-month: rainfall and price as whole percents, flood flag, conflict
+    count, a lagged-rainfall vegetation proxy, conflict intensity as the
+    density proxy, and last month's rule phase as the previous phase."""
+    from pyspark.sql import Window
+    f = features(spark, sf_dir)
+    w = Window.partitionBy("district").orderBy("year", "month")
+    return f.select(
+        F.concat(F.col("district"), F.lit(" "), F.format_string("%d-%02d", "year", "month")).alias("scenario_id"),
+        F.round(F.coalesce(F.col("rainfall_anomaly_pct"), F.lit(0.0))).cast("int").alias("rainfall_anom"),
+        F.round(F.coalesce(F.col("price_change_pct"), F.lit(0.0))).cast("int").alias("price_change"),
+        (F.col("flood_flag") == 1).alias("flood_flag"),
+        F.col("conflict_events").cast("int").alias("conflict_events"),
+        np_round(F.coalesce(F.col("rainfall_anomaly_lag1"), F.lit(0.0)) / F.lit(400.0), 2).alias("ndvi_anom"),
+        F.col("conflict_rolling_3m").cast("int").alias("population_density"),
+        F.coalesce(F.lag("ipc_phase").over(w), F.col("ipc_phase")).cast("int").alias("prev_ipc"))
