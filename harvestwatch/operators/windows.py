@@ -104,11 +104,15 @@ def with_group_mean(df: DataFrame, key, cols: dict, asof: bool = False, order=OR
 
 
 def anomaly_vs_mean(df: DataFrame, c: str, out: str, key="district", digits: int | None = 3) -> DataFrame:
-    """Percent deviation of ``c`` from the entity's mean over all periods."""
-    tmp = "__hw_mean"
-    df = with_group_mean(df, key, {c: tmp})
-    v = (F.try_divide(F.col(c), F.col(tmp)) - F.lit(1.0)) * F.lit(100.0)
-    return df.withColumn(out, np_round(v, digits) if digits is not None else v).drop(tmp)
+    """Percent deviation of ``c`` from the entity's mean over all periods.
+
+    The input is a panel (one row per entity and period), so the window
+    partition of an entity holds at most one row per period; a window avoids
+    re-reading the input for a separate aggregate + join."""
+    keys = [key] if isinstance(key, str) else list(key)
+    mean = F.avg(F.col(c)).over(Window.partitionBy(*keys))
+    v = (F.try_divide(F.col(c), mean) - F.lit(1.0)) * F.lit(100.0)
+    return df.withColumn(out, np_round(v, digits) if digits is not None else v)
 
 
 def latest_row(df: DataFrame, key, order=ORDER, cols=None) -> DataFrame:

@@ -99,9 +99,14 @@ def clean_prices(raw: DataFrame, region_map: dict | None = None, keywords=K.COMM
 
 
 def clean_conflict(raw: DataFrame, region_map: dict | None = None,
-                   pattern: str = K.FLOOD_EVENT_PATTERN, q: float = K.HIGH_CONFLICT_QUANTILE) -> DataFrame:
+                   pattern: str = K.FLOOD_EVENT_PATTERN, q: float = K.HIGH_CONFLICT_QUANTILE,
+                   cut=None) -> DataFrame:
     """Events -> region x month counts, lags (over months that had events) and
-    a high-conflict flag against the q-quantile of all region-months."""
+    a high-conflict flag against the q-quantile of all region-months.
+
+    ``cut`` (e.g. ``session.cut_lineage``) materialises the monthly counts
+    before the quantile, so the quantile's scalar subquery reads the small
+    monthly table instead of scanning the events again."""
     df = raw.select(
         F.col("event_id_cnty"),
         _date(raw, "event_date").alias("date"),
@@ -110,6 +115,8 @@ def clean_conflict(raw: DataFrame, region_map: dict | None = None,
         flag_pattern("event_type", pattern).alias("is_flood_event"))
     df = with_year_month(require(df, ["date"]))
     monthly = monthly_events(df, ["region", "year", "month"])
+    if cut is not None:
+        monthly = cut(monthly)
     monthly = add_lags(monthly, "conflict_events", [1], key="region", fill=0, name="conflict_events_lag1")
     monthly = add_lags(monthly, "flood_displace_events", [1], key="region", fill=0, name="flood_displace_lag1")
     return quantile_flag(monthly, "conflict_events", q, "high_conflict_flag")

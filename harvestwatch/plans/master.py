@@ -16,6 +16,12 @@ def with_rules(df: DataFrame, north=K.NORTH_REGIONS, vulnerable=K.VULNERABLE_REG
                keep_score: bool = False) -> DataFrame:
     """R1-R6 as one projection (season, lean flag, vulnerability, rule phase,
     interaction, compound flag)."""
+    # inputs a source may not deliver default as in the published rule
+    defaults = {"price_change_pct": F.lit(None).cast("double"), "price_shock_flag": F.lit(0),
+                "conflict_events": F.lit(0).cast("long"), "high_conflict_flag": F.lit(0)}
+    missing = {c: v for c, v in defaults.items() if c not in df.columns}
+    if missing:
+        df = df.withColumns(missing)
     df = df.withColumn("season_phase", season_phase("region", "month", north))
     df = df.withColumns({"is_lean_season": is_lean_season("season_phase"),
                          "district_vulnerability": vulnerability("region", vulnerable)})
@@ -25,10 +31,6 @@ def with_rules(df: DataFrame, north=K.NORTH_REGIONS, vulnerable=K.VULNERABLE_REG
             "compound_risk_flag": compound_risk_flag()}
     if keep_score:
         cols["ipc_score"] = score
-    if "price_change_pct" not in df.columns:
-        df = df.withColumn("price_change_pct", F.lit(None).cast("double"))
-    if "price_shock_flag" not in df.columns:
-        df = df.withColumn("price_shock_flag", F.lit(0))
     return df.withColumns(cols)
 
 

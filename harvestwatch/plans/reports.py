@@ -96,17 +96,17 @@ def summary_lines(scored: DataFrame, top: int = 5) -> DataFrame:
     Sections: 0 header, 1 phase distribution, 2 top anomalous regions,
     3 latest-period snapshot.  k1/k2 order lines within a section.
     """
-    spark = scored.sparkSession
     head = scored.agg(F.min("year").alias("y0"), F.max("year").alias("y1"),
                       F.count_distinct("region").alias("nr"))
+    def line(k1: float, k2: str, value) -> Column:
+        v = value if isinstance(value, Column) else F.lit(value)
+        return F.struct(F.lit(0).alias("section"), F.lit(k1).alias("k1"), F.lit(k2).alias("k2"),
+                        v.alias("value"))
     header = head.select(F.inline(F.array(
-        F.struct(F.lit(0).alias("section"), F.lit(0.0).alias("k1"), F.lit("a").alias("k2"),
-                 F.lit(RULE).alias("value")),
-        F.struct(F.lit(0), F.lit(1.0), F.lit("b"),
-                 F.lit("  EARLY WARNING — DASHBOARD SUMMARY")),
-        F.struct(F.lit(0), F.lit(2.0), F.lit("c"),
-                 F.format_string("  Data: %d–%d  |  %d Regions", "y0", "y1", "nr")),
-        F.struct(F.lit(0), F.lit(3.0), F.lit("d"), F.lit(RULE)))))
+        line(0.0, "a", RULE),
+        line(1.0, "b", "  EARLY WARNING — DASHBOARD SUMMARY"),
+        line(2.0, "c", F.format_string("  Data: %d–%d  |  %d Regions", "y0", "y1", "nr")),
+        line(3.0, "d", RULE))))
 
     total = scored.select(F.count(F.lit(1))).scalar()
     dist = scored.groupBy("pred_ipc_phase").agg(F.count(F.lit(1)).alias("n"))
@@ -131,7 +131,6 @@ def summary_lines(scored: DataFrame, top: int = 5) -> DataFrame:
                         "pred_ipc_label", "pred_price_direction",
                         F.when(F.col("is_anomaly") == 1, F.lit("⚠️ ANOMALY")).otherwise(F.lit(""))
                         ).alias("value"))
-    del spark
     return header.unionByName(dist).unionByName(top_regions).unionByName(snap)
 
 

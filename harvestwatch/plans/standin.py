@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions._util import lit_map, np_round
+from ..session import cut_lineage
 from ..sources.driver import table
 from .clean import clean_conflict, clean_prices, clean_rainfall
 from .features import build_features
@@ -86,17 +87,29 @@ def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         lit_map(STANDIN_EVENT_TYPE)[F.col("l_returnflag")].alias("event_type"))
 
 
+# Stage cut: the monthly tables are the only place where raw rows are read.
+# Everything downstream (self-joins, scalar subqueries for min year,
+# thresholds and the latest period) would otherwise re-run the raw scans and
+# joins once per reference; materialising the (small) monthly panels once in
+# the shared checkpoint folder bounds the raw work to one pass per source.
+MATERIALIZE = True
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    return cut_lineage(df) if MATERIALIZE else df
+
+
 def rainfall_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_rainfall(rain_raw(spark, sf_dir), measures=STANDIN_RAIN,
-                          anomaly_from="rainfall_mm")
+    return _cut(clean_rainfall(rain_raw(spark, sf_dir), measures=STANDIN_RAIN,
+                               anomaly_from="rainfall_mm"))
 
 
 def prices_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_prices(prices_raw(spark, sf_dir))
+    return _cut(clean_prices(prices_raw(spark, sf_dir)))
 
 
 def conflict_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_conflict(events_raw(spark, sf_dir))
+    return _cut(clean_conflict(events_raw(spark, sf_dir), cut=_cut))
 
 
 def master(spark: SparkSession, sf_dir: str) -> DataFrame:
