@@ -30,6 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .. import constants as K
+from ..session import cut_lineage
 from ..functions._util import np_round
 
 EULER = 0.5772156649
@@ -185,8 +186,10 @@ def isolation_forest(df: DataFrame, cols, contamination: float = K.FOREST_CONTAM
     scaler = fit_scaler(df, cols)
     z = apply_scaler(df, scaler)
     zcols = ["z_" + c for c in cols]
-    nodes = fit_forest(z, zcols, trees, psi, max_features, seed, keys)
-    scored = score_forest(z, nodes, zcols, psi).drop(*zcols)
+    nodes = cut_lineage(fit_forest(z, zcols, trees, psi, max_features, seed, keys))
+    # materialise the scores once: the threshold subquery and the output
+    # would otherwise each re-run the Python scoring over every row
+    scored = cut_lineage(score_forest(z, nodes, zcols, psi).drop(*zcols))
     thr = scored.select(F.percentile("anomaly_score", F.lit(1.0 - contamination))).scalar()
     flag = F.coalesce(F.col("anomaly_score") > thr, F.lit(False))
     return scored.withColumns({"is_anomaly": flag.cast("int"),

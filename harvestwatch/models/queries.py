@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..operators import add_lead, filter_abs_le, select_by_keyword, select_covered, select_features
 from ..plans import standin as S
-from ..session import cut_lineage
 from .forest import isolation_forest
 from .importance import permutation_importance
 from .split import hash_split, stratified_split
@@ -23,7 +22,8 @@ KEYS = ("district", "year", "month")
 
 
 def _features(spark, sf):
-    return cut_lineage(S.features(spark, sf))
+    # the stand-in feature panel is already a materialised stage table
+    return S.features(spark, sf)
 
 
 def feature_columns(df):

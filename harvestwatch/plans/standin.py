@@ -109,7 +109,9 @@ def prices_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conflict_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cut(clean_conflict(events_raw(spark, sf_dir), cut=_cut))
+    # cut inside: the monthly counts are materialised before the quantile;
+    # the lags and flag on top of them are cheap to recompute
+    return clean_conflict(events_raw(spark, sf_dir), cut=_cut)
 
 
 def master(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,8 +121,10 @@ def master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str, profile_key: str = "region") -> DataFrame:
-    return build_features(master(spark, sf_dir), profile_key=profile_key, north=STANDIN_NORTH,
-                          coastal=STANDIN_COASTAL)
+    # cut: scoring and report queries reference the feature panel several
+    # times (anomaly threshold, latest period, trailing window subqueries)
+    return _cut(build_features(master(spark, sf_dir), profile_key=profile_key, north=STANDIN_NORTH,
+                               coastal=STANDIN_COASTAL))
 
 
 def scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -636,6 +636,233 @@ def q_regression_metrics(spark, sf):
     return regression_metrics(filter_abs_le(m, "y", 200), "y", "pred")
 
 
+# ---- 13. more summaries and projections: S10, A7-A11, A18, W9, P24, P25, B4-B7, R12, R13, R17, M13
+
+@register("source_overview", O.q(
+    "SELECT count(*) AS rows, min(date) AS date_min, max(date) AS date_max, "
+    "count(DISTINCT region) AS n_region, count(DISTINCT district) AS n_district, "
+    "array_to_string(list_sort(list(DISTINCT region)), ',') AS regions FROM rain_raw",
+    ("date_min", "date_max", "regions")))
+def q_source_overview(spark, sf):
+    from .sources import source_overview
+    raw = S.rain_raw(spark, sf).select(F.to_date("date").alias("date"), F.trim("adm1_name").alias("region"),
+                                       F.trim("adm2_name").alias("district"))
+    ov = source_overview(raw, "date", ["region", "district"], ["region"])
+    return ov.select("rows", "date_min", "date_max", "n_region", "n_district",
+                     F.array_join("region_values", ",").alias("regions"))
+
+
+@register("distinct_counts", O.q(
+    "SELECT count(DISTINCT district) AS n_district, count(DISTINCT region) AS n_region, "
+    "count(DISTINCT year) AS n_year FROM master"))
+def q_distinct_counts(spark, sf):
+    from .operators import distinct_count
+    return distinct_count(S.master(spark, sf), ["district", "region", "year"])
+
+
+@register("district_list", O.q("SELECT DISTINCT district FROM master WHERE region = 'AFRICA'", round6=False))
+def q_district_list(spark, sf):
+    from .operators import distinct_values
+    return distinct_values(S.master(spark, sf).where(F.col("region") == "AFRICA"), "district")
+
+
+@register("year_range", O.q(
+    "SELECT min(year) AS year_min, max(year) AS year_max, min(price_change_pct) AS price_change_pct_min, "
+    "max(price_change_pct) AS price_change_pct_max FROM master"))
+def q_year_range(spark, sf):
+    from .operators import min_max
+    return min_max(S.master(spark, sf), ["year", "price_change_pct"])
+
+
+@register("non_null_counts", O.q(
+    "SELECT " + ", ".join(f"count({c}) AS nn_{c}" for c in (*O.FAMILIES, "price_change_pct", "price_volatility_3m"))
+    + " FROM master"))
+def q_non_null_counts(spark, sf):
+    from .operators import non_null_counts
+    return non_null_counts(S.master(spark, sf), [*O.FAMILIES, "price_change_pct", "price_volatility_3m"])
+
+
+@register("mean_phase_by_region", O.q("SELECT region, avg(pred_ipc_phase) AS mean_pred_ipc_phase FROM scored "
+                                      "GROUP BY region", ("region",)))
+def q_mean_phase_by_region(spark, sf):
+    return mean_by(scored(spark, sf), "region", "pred_ipc_phase")
+
+
+@register("conflict_by_year", O.q("SELECT year, CAST(sum(conflict_events) AS BIGINT) AS conflict_total "
+                                  "FROM master GROUP BY year"))
+def q_conflict_by_year(spark, sf):
+    return sum_by(S.master(spark, sf), "year", "conflict_events", "conflict_total")
+
+
+@register("flood_by_region_year", O.q("SELECT region, year, CAST(sum(flood_flag) AS BIGINT) AS flood_months "
+                                      "FROM master GROUP BY region, year", ("region",)))
+def q_flood_by_region_year(spark, sf):
+    return sum_by(S.master(spark, sf), ["region", "year"], "flood_flag", "flood_months")
+
+
+@register("latest_per_district", O.q(
+    "SELECT district, arg_max(year, pidx) AS year, arg_max(month, pidx) AS month, "
+    "arg_max(pred_ipc_phase, pidx) AS pred_ipc_phase, arg_max(compound_risk_score, pidx) AS compound_risk_score "
+    "FROM scored GROUP BY district", ("district",)))
+def q_latest_per_district(spark, sf):
+    from .operators import latest_row
+    return latest_row(scored(spark, sf), "district", cols=["year", "month", "pred_ipc_phase", "compound_risk_score"])
+
+
+_TOP_RISK = ("SELECT year AS \"Year\", strftime(make_date(year, month, 1), '%b') AS \"Month\", "
+             "pred_ipc_phase AS \"IPC Phase\", pred_ipc_label AS \"IPC Label\", "
+             "rainfall_anomaly_pct AS \"Rain Anomaly (%)\", pred_price_direction AS \"Price Direction\", "
+             "compound_risk_score AS \"Risk Score\", CASE WHEN is_anomaly = 1 THEN '⚠️' ELSE '' END AS \"Anomaly\" "
+             "FROM (SELECT * FROM scored WHERE district = 'NATION_0' "
+             "ORDER BY compound_risk_score DESC, year, month LIMIT 10)")
+
+
+@register("top_risk_months", O.q(_TOP_RISK, ("Month", "IPC Label", "Price Direction", "Anomaly")))
+def q_top_risk_months(spark, sf):
+    from .operators import display_projection
+    d = filter_panel(scored(spark, sf), district="NATION_0")
+    return display_projection(top_k(d, [F.col("compound_risk_score").desc()], 10, ties=["year", "month"]))
+
+
+@register("alert_download", O.q("SELECT district, region, pred_ipc_phase, pred_ipc_label, pred_ipc_confidence, "
+                                "pred_ipc_action, pred_price_direction, is_anomaly, compound_risk_score FROM latest",
+                                ("district", "region", "pred_ipc_label", "pred_ipc_action", "pred_price_direction")))
+def q_alert_download(spark, sf):
+    from .operators import DOWNLOAD_COLUMNS
+    return latest_period(scored(spark, sf)).select(*DOWNLOAD_COLUMNS)
+
+
+def _tier_sql() -> str:
+    W, P = K.WEATHER_MESSAGES, K.PRICE_MESSAGES
+
+    def weather(style):
+        m = W[style]
+        if style == "bulletin":
+            return (f"CASE WHEN rainfall_anomaly_pct < -20 THEN '{m['dry']}' WHEN rainfall_anomaly_pct > 50 "
+                    f"THEN '{m['wet']}' ELSE '{m['other']}' END")
+        return (f"CASE WHEN coalesce(flood_flag, 0) = 1 THEN '{m['wet']}' WHEN rainfall_anomaly_pct < -30 "
+                f"THEN '{m['dry']}' ELSE '{m['other']}' END")
+
+    def price(style):
+        m = P[style]
+        out = f"CASE WHEN contains(coalesce(pred_price_direction, ''), 'Rising') THEN '{m['rising']}' "
+        if m["falling"] is not None:
+            out += f"WHEN contains(coalesce(pred_price_direction, ''), 'Falling') THEN '{m['falling']}' "
+        return out + f"ELSE '{m['other']}' END"
+    return ("SELECT district, year, month, "
+            "CASE WHEN pred_ipc_phase >= 3 THEN 'crisis' WHEN coalesce(is_anomaly, 0) = 1 THEN 'unusual' "
+            "WHEN pred_ipc_phase = 2 THEN 'stressed' ELSE 'minimal' END AS tier, "
+            + ", ".join(f"{weather(s)} || ' ' || {price(s)} AS message_{s}" for s in ("bulletin", "notebook", "dashboard"))
+            + " FROM recent")
+
+
+@register("farmer_messages", O.q(_tier_sql(), ("district", "tier", "message_bulletin", "message_notebook",
+                                                "message_dashboard")))
+def q_farmer_messages(spark, sf):
+    from .functions import price_message, risk_tier, weather_message
+    r = trailing_months(scored(spark, sf), 12)
+    return r.select("district", "year", "month", risk_tier().alias("tier"), *[
+        F.concat(weather_message(style=s), F.lit(" "), price_message(style=s)).alias(f"message_{s}")
+        for s in ("bulletin", "notebook", "dashboard")])
+
+
+@register("confusion_matrix", O.r6("WITH " + O.CTE.strip() + _PERSIST +
+    "SELECT y, " + ", ".join(f"count(*) FILTER (WHERE pred = {c}) AS \"{c}\"" for c in (1, 2, 3, 4)) +
+    " FROM persist GROUP BY y"))
+def q_confusion_matrix(spark, sf):
+    from .models.metrics import confusion_matrix
+    return confusion_matrix(_persistence(spark, sf), [1, 2, 3, 4], "y", "pred")
+
+
+_SUMMARY = (
+    ", tot AS (SELECT count(*) AS n FROM scored), "
+    "d AS (SELECT pred_ipc_phase, count(*) AS n FROM scored GROUP BY pred_ipc_phase), "
+    "lines AS ("
+    f"SELECT 0 AS section, 0.0::DOUBLE AS k1, 'a' AS k2, '{'=' * 60}' AS value "
+    "UNION ALL SELECT 0, 1.0::DOUBLE, 'b', '  EARLY WARNING — DASHBOARD SUMMARY' "
+    "UNION ALL SELECT 0, 2.0::DOUBLE, 'c', printf('  Data: %d–%d  |  %d Regions', min(year), max(year), "
+    "count(DISTINCT region)) FROM scored "
+    f"UNION ALL SELECT 0, 3.0::DOUBLE, 'd', '{'=' * 60}' "
+    f"UNION ALL SELECT 1, CAST(pred_ipc_phase AS DOUBLE), '', printf('    %s Phase %d — %-12s: %5d months (%s%%)  %s', "
+    f"{O._ICON}, pred_ipc_phase, {O._LABEL}, n, "
+    f"{O.jfmt('%4.1f', 'n * 100.0::DOUBLE / (SELECT n FROM tot)', 1)}, "
+    "repeat('█', CAST(trunc(n * 100.0::DOUBLE / (SELECT n FROM tot) / 2.0::DOUBLE) AS INTEGER))) FROM d "
+    "UNION ALL SELECT * FROM (SELECT 2, CAST(-count(*) AS DOUBLE), region, printf('    • %s: %d anomalous months', "
+    "region, count(*)) FROM scored WHERE is_anomaly = 1 GROUP BY region ORDER BY count(*) DESC, region LIMIT 5) "
+    "UNION ALL SELECT 3, CAST(-pred_ipc_phase AS DOUBLE), district, "
+    f"printf('    %s %-20s %-14s Phase %d — %-12s Price: %-12s %s', {O._ICON}, district, region, pred_ipc_phase, "
+    "pred_ipc_label, pred_price_direction, CASE WHEN is_anomaly = 1 THEN '⚠️ ANOMALY' ELSE '' END) FROM latest) "
+    "SELECT section, k1, k2, value FROM lines")
+
+
+@register("summary_lines", O.r6("WITH " + O.CTE.strip() + _SUMMARY, ("k2", "value")))
+def q_summary_lines(spark, sf):
+    return R.summary_lines(scored(spark, sf))
+
+
+_MASTER_PROFILE_COLS = sorted(
+    ["region", "district", "year", "month", "rainfall_mm", "rainfall_anomaly_pct", "flood_flag",
+     "drought_flag", *O.FAMILIES, "price_lag1", "price_change_pct", "price_volatility_3m",
+     "price_shock_flag", "conflict_events", "fatalities_total", "flood_displace_events",
+     "conflict_events_lag1", "flood_displace_lag1", "high_conflict_flag", "season_phase",
+     "is_lean_season", "district_vulnerability", "ipc_phase", "flood_price_interaction",
+     "compound_risk_flag"])
+_DTYPE = ("CASE typeof(min({c})) WHEN 'DOUBLE' THEN 'float64' WHEN 'VARCHAR' THEN 'object' "
+          "WHEN 'BOOLEAN' THEN 'bool' ELSE 'int64' END")
+_REPORT_SQL = " UNION ALL ".join(
+    f"SELECT {i + 1} AS seq, printf('%3d. %-45s [%s] missing=%d', {i + 1}, '{c}', {_DTYPE.format(c=c)}, "
+    f"CAST(sum(CAST({c} IS NULL AS BIGINT)) AS BIGINT)) AS value FROM master"
+    for i, c in enumerate(_MASTER_PROFILE_COLS))
+
+
+@register("feature_report", O.q(_REPORT_SQL, ("value",)))
+def q_feature_report(spark, sf):
+    return R.feature_report(S.master(spark, sf))
+
+
+@register("run_summary", O.q(
+    "SELECT count(DISTINCT district) AS districts, count(DISTINCT region) AS regions, count(*) AS rows, "
+    "min(year) AS year_min, max(year) AS year_max FROM master"))
+def q_run_summary(spark, sf):
+    return R.run_summary(S.master(spark, sf))
+
+
+_EVAL = """
+, t AS (
+  SELECT price_change_pct AS pred,
+         lead(price_change_pct) OVER (PARTITION BY district ORDER BY year, month) AS y FROM master
+  QUALIFY y IS NOT NULL AND pred IS NOT NULL AND abs(y) <= 200),
+rm AS (
+  SELECT avg(abs(y - pred)) AS mae,
+         1 - sum((y - pred) * (y - pred)) / sum((y - (SELECT avg(y) FROM t)) * (y - (SELECT avg(y) FROM t))) AS r2
+  FROM t),
+acc AS (SELECT avg(CAST(y = pred AS DOUBLE)) AS accuracy FROM persist),
+m AS (
+  SELECT 'persistence phase' AS model, 'accuracy' AS metric, accuracy AS value FROM acc
+  UNION ALL SELECT 'persistence price', 'mae', mae FROM rm
+  UNION ALL SELECT 'persistence price', 'r2', r2 FROM rm)
+"""
+
+
+_EVAL_VALUE = "printf('  %-28s %-14s: %.4f', model, metric, round(CAST(value AS DECIMAL(38,10)), 4)::DOUBLE)"
+
+
+@register("evaluation_lines", O.np_rounds("WITH " + O.CTE.strip() + _PERSIST + _EVAL +
+                                          f"SELECT model, metric, {_EVAL_VALUE} AS value FROM m"))
+def q_evaluation_lines(spark, sf):
+    from .models.metrics import regression_metrics
+    p = _persistence(spark, sf)
+    acc = p.agg(F.avg((F.col("y") == F.col("pred")).cast("double")).alias("value")).select(
+        F.lit("persistence phase").alias("model"), F.lit("accuracy").alias("metric"), "value")
+    m = add_lead(S.master(spark, sf), "price_change_pct", "y").withColumnRenamed("price_change_pct", "pred")
+    m = filter_abs_le(m.filter(F.col("y").isNotNull() & F.col("pred").isNotNull()), "y", 200)
+    rm = regression_metrics(m, "y", "pred")
+    reg = rm.select(F.inline(F.array(
+        F.struct(F.lit("persistence price").alias("model"), F.lit("mae").alias("metric"), F.col("mae").alias("value")),
+        F.struct(F.lit("persistence price").alias("model"), F.lit("r2").alias("metric"), F.col("r2").alias("value")))))
+    return R.evaluation_lines(acc.unionByName(reg))
+
+
 # ---- 13. models (rows-only checks) -------------------------------------------------
 
 def _register_models():
