@@ -863,6 +863,61 @@ def q_evaluation_lines(spark, sf):
     return R.evaluation_lines(acc.unionByName(reg))
 
 
+# ---- 14. W4, M17, S6, streaming refresh ------------------------------------------
+
+@register("pct_change_district", O.q(
+    "SELECT district, year, month, (rainfall_mm - lag(rainfall_mm) OVER w) / lag(rainfall_mm) OVER w "
+    "* 100.0::DOUBLE AS rainfall_change_pct FROM master WINDOW w AS (PARTITION BY district ORDER BY year, month)",
+    ("district",)))
+def q_pct_change_district(spark, sf):
+    from .operators import pct_change
+    m = S.master(spark, sf).select("district", "year", "month", "rainfall_mm")
+    return pct_change(m, "rainfall_mm", "rainfall_change_pct", key="district", digits=None).drop("rainfall_mm")
+
+
+@register("top_anomalies", O.q(
+    "SELECT district, region, year, month, anomaly_score, ipc_phase FROM scored WHERE is_anomaly = 1 "
+    "ORDER BY anomaly_score DESC, district, year, month LIMIT 10", ("district", "region")))
+def q_top_anomalies(spark, sf):
+    sc = scored(spark, sf).where(F.col("is_anomaly") == 1).select(
+        "district", "region", "year", "month", "anomaly_score", "ipc_phase")
+    return top_k(sc, [F.col("anomaly_score").desc()], 10, ties=["district", "year", "month"])
+
+
+@register("stage_table_filter", O.q(
+    "SELECT district, year, month, ipc_phase FROM master WHERE year BETWEEN 1998 AND 1999", ("district",)))
+def q_stage_table_filter(spark, sf):
+    from .session import stage_path
+    from .sources import write_stage
+    import uuid
+    st = write_stage(S.master(spark, sf).select("district", "year", "month", "ipc_phase"),
+                     stage_path(spark, "master-" + uuid.uuid4().hex))
+    return filter_panel(st, years=(1998, 1999)).select("district", "year", "month", "ipc_phase")
+
+
+@register("conflict_streamed", O.q(
+    "SELECT region, year, month, conflict_events, fatalities_total, flood_displace_events, "
+    "conflict_events_lag1, flood_displace_lag1, high_conflict_flag FROM conflict", ("region",)))
+def q_conflict_streamed(spark, sf):
+    """The events stand-in landed as CSV files, ingested by the incremental
+    stream (two availableNow runs over two landings), then re-aggregated."""
+    import uuid
+    from .session import stage_path
+    from .streaming import conflict_from_partials, start_refresh
+    base = stage_path(spark, "stream-" + uuid.uuid4().hex)
+    ev = S.events_raw(spark, sf).select(
+        "event_id_cnty", F.col("event_date").cast("string").alias("event_date"),
+        F.lit(None).cast("string").alias("year"), "event_type", F.lit(None).cast("string").alias("sub_event_type"),
+        "admin1", F.lit(None).cast("string").alias("admin2"), F.lit(None).cast("string").alias("location"),
+        F.lit(None).cast("string").alias("latitude"), F.lit(None).cast("string").alias("longitude"),
+        F.col("fatalities").cast("string").alias("fatalities"), F.lit(None).cast("string").alias("notes"))
+    first = F.month(F.to_date("event_date")) <= 6
+    for i, part in enumerate((ev.where(first), ev.where(~first))):
+        part.write.mode("append").option("header", True).csv(f"{base}/landing")
+        start_refresh(spark, f"{base}/landing", f"{base}/partials", f"{base}/ckpt").awaitTermination()
+    return conflict_from_partials(spark, f"{base}/partials")
+
+
 # ---- 13. models (rows-only checks) -------------------------------------------------
 
 def _register_models():
