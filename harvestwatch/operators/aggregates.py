@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions._util import as_col
 from ..functions.text import fractional_year, text_bar
 
 

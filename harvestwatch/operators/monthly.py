@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions._util import as_col
 from ..functions.flags import flag_ge
 from ..functions._util import np_round
 

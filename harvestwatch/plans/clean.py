@@ -98,6 +98,28 @@ def clean_prices(raw: DataFrame, region_map: dict | None = None, keywords=K.COMM
     return wide.withColumn("price_shock_flag", flag_gt("price_change_pct", shock_gt))
 
 
+def monthly_events_stage_from_raw(raw: DataFrame, region_map: dict | None = None,
+                                  pattern: str = K.FLOOD_EVENT_PATTERN) -> DataFrame:
+    """Events -> region x month counts (the raw-reading part of the conflict stage)."""
+    df = raw.select(
+        F.col("event_id_cnty"),
+        _date(raw, "event_date").alias("date"),
+        std_region("admin1", region_map).alias("region"),
+        F.coalesce(_num(raw, "fatalities"), F.lit(0.0)).alias("fatalities"),
+        flag_pattern("event_type", pattern).alias("is_flood_event"))
+    df = with_year_month(require(df, ["date"]))
+    return monthly_events(df, ["region", "year", "month"])
+
+
+def clean_conflict_from_monthly(monthly: DataFrame, q: float = K.HIGH_CONFLICT_QUANTILE) -> DataFrame:
+    """Lags over the months that had events, and the high-conflict flag
+    against the exact q-quantile of all region-months (a scalar subquery; its
+    value->count buffer is bounded by the distinct event counts)."""
+    monthly = add_lags(monthly, "conflict_events", [1], key="region", fill=0, name="conflict_events_lag1")
+    monthly = add_lags(monthly, "flood_displace_events", [1], key="region", fill=0, name="flood_displace_lag1")
+    return quantile_flag(monthly, "conflict_events", q, "high_conflict_flag")
+
+
 def clean_conflict(raw: DataFrame, region_map: dict | None = None,
                    pattern: str = K.FLOOD_EVENT_PATTERN, q: float = K.HIGH_CONFLICT_QUANTILE,
                    cut=None) -> DataFrame:
@@ -107,16 +129,7 @@ def clean_conflict(raw: DataFrame, region_map: dict | None = None,
     ``cut`` (e.g. ``session.cut_lineage``) materialises the monthly counts
     before the quantile, so the quantile's scalar subquery reads the small
     monthly table instead of scanning the events again."""
-    df = raw.select(
-        F.col("event_id_cnty"),
-        _date(raw, "event_date").alias("date"),
-        std_region("admin1", region_map).alias("region"),
-        F.coalesce(_num(raw, "fatalities"), F.lit(0.0)).alias("fatalities"),
-        flag_pattern("event_type", pattern).alias("is_flood_event"))
-    df = with_year_month(require(df, ["date"]))
-    monthly = monthly_events(df, ["region", "year", "month"])
+    monthly = monthly_events_stage_from_raw(raw, region_map, pattern)
     if cut is not None:
         monthly = cut(monthly)
-    monthly = add_lags(monthly, "conflict_events", [1], key="region", fill=0, name="conflict_events_lag1")
-    monthly = add_lags(monthly, "flood_displace_events", [1], key="region", fill=0, name="flood_displace_lag1")
-    return quantile_flag(monthly, "conflict_events", q, "high_conflict_flag")
+    return clean_conflict_from_monthly(monthly, q)

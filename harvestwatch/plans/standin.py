@@ -21,9 +21,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions._util import lit_map, np_round
-from ..session import cut_lineage
+from ..session import cut_lineage, materialize_all
 from ..sources.driver import table
-from .clean import clean_conflict, clean_prices, clean_rainfall
+from .clean import (clean_conflict, clean_conflict_from_monthly, clean_prices, clean_rainfall,
+                    monthly_events_stage_from_raw)
 from .features import build_features
 from .master import build_master
 
@@ -108,15 +109,33 @@ def prices_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cut(clean_prices(prices_raw(spark, sf_dir)))
 
 
+def monthly_events_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monthly_events_stage_from_raw(events_raw(spark, sf_dir))
+
+
 def conflict_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     # cut inside: the monthly counts are materialised before the quantile;
     # the lags and flag on top of them are cheap to recompute
     return clean_conflict(events_raw(spark, sf_dir), cut=_cut)
 
 
+def monthly_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The three monthly stage tables, materialised concurrently (they read
+    independent raw sources)."""
+    if not MATERIALIZE:
+        return {"rain": rainfall_monthly(spark, sf_dir), "prices": prices_monthly(spark, sf_dir),
+                "conflict": conflict_monthly(spark, sf_dir)}
+    built = materialize_all({
+        "rain": lambda: clean_rainfall(rain_raw(spark, sf_dir), measures=STANDIN_RAIN, anomaly_from="rainfall_mm"),
+        "prices": lambda: clean_prices(prices_raw(spark, sf_dir)),
+        "events": lambda: monthly_events_stage(spark, sf_dir)})
+    return {"rain": built["rain"], "prices": built["prices"],
+            "conflict": clean_conflict_from_monthly(built["events"])}
+
+
 def master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_master(rainfall_monthly(spark, sf_dir), prices_monthly(spark, sf_dir),
-                        conflict_monthly(spark, sf_dir), north=STANDIN_NORTH,
+    t = monthly_tables(spark, sf_dir)
+    return build_master(t["rain"], t["prices"], t["conflict"], north=STANDIN_NORTH,
                         vulnerable=STANDIN_VULNERABLE)
 
 

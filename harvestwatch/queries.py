@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from . import constants as K
 from . import oracle as O
 from .functions import flag_pattern, matches_any, parse_date, parse_double, std_region
-from .operators import (add_lags, add_lead, count_where_by, distribution, entity_profile,
+from .operators import (add_lead, count_where_by, distribution, entity_profile,
                         filter_abs_le, filter_panel, histogram, kpis, latest_period, mean_by,
-                        monthly_mean, panel_spine, period_series, rolling, sum_by, top_k,
+                        monthly_mean, panel_spine, period_series, sum_by, top_k,
                         trailing_months, with_year_month, column_profile)
 from .plans import reports as R
 from .plans import scenario as SC
@@ -184,8 +184,9 @@ _MASTER_COLS = ("region, district, year, month, rainfall_mm, rainfall_anomaly_pc
 @register("master_join", O.q(f"SELECT {_MASTER_COLS} FROM joined", ("region", "district")))
 def q_master_join(spark, sf):
     from .operators import join_master, require
-    spine = require(S.rainfall_monthly(spark, sf), ["rainfall_mm", "region", "district", "year", "month"])
-    return join_master(spine, S.prices_monthly(spark, sf), S.conflict_monthly(spark, sf))
+    t = S.monthly_tables(spark, sf)
+    spine = require(t["rain"], ["rainfall_mm", "region", "district", "year", "month"])
+    return join_master(spine, t["prices"], t["conflict"])
 
 
 @register("season_phase", O.q("SELECT district, year, month, region, season_phase, is_lean_season FROM master",

@@ -6,7 +6,6 @@ the session and only set one ourselves where it is unset (local tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -79,3 +78,19 @@ def stage_path(spark: SparkSession, name: str) -> str:
     """A path for a stage table inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return base.rstrip("/") + "/hw-stages/" + name
+
+
+def materialize_all(builders: dict) -> dict:
+    """Cut lineage of several independent tables at once.
+
+    ``builders`` maps a name to a zero-argument callable returning a
+    DataFrame.  The write jobs are submitted from a small thread pool, so
+    Spark runs them concurrently and a narrow stage (one large file, one
+    straggler) of one table does not idle the executors the others could use.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+    if len(builders) <= 1:
+        return {k: cut_lineage(b()) for k, b in builders.items()}
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        futures = {k: pool.submit(lambda b=b: cut_lineage(b())) for k, b in builders.items()}
+        return {k: f.result() for k, f in futures.items()}
