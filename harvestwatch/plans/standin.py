@@ -71,10 +71,11 @@ def _lineitem_geo(spark: SparkSession, sf_dir: str, cols) -> DataFrame:
 
 def prices_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _lineitem_geo(spark, sf_dir, ["l_partkey", "l_shipdate", "l_extendedprice", "l_quantity"])
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    # the commodity name is derived on the (smaller) part side, before the join
+    p = table(spark, sf_dir, "part").select(
+        "p_partkey", lit_map(STANDIN_COMMODITY)[F.col("p_type")].alias("commodity"))
     return (li.join(p, li.l_partkey == p.p_partkey)
-            .select(F.col("l_shipdate").alias("date"), F.col("r_name").alias("admin1"),
-                    lit_map(STANDIN_COMMODITY)[F.col("p_type")].alias("commodity"),
+            .select(F.col("l_shipdate").alias("date"), F.col("r_name").alias("admin1"), "commodity",
                     F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("price")))
 
 
@@ -82,7 +83,8 @@ def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _lineitem_geo(spark, sf_dir, ["l_orderkey", "l_linenumber", "l_shipdate", "l_quantity",
                                        "l_returnflag"])
     return li.select(
-        F.format_string("%d-%d", "l_orderkey", "l_linenumber").alias("event_id_cnty"),
+        # a numeric event id (line numbers are 1..7): only counted, never parsed
+        (F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber")).alias("event_id_cnty"),
         F.col("l_shipdate").alias("event_date"), F.col("r_name").alias("admin1"),
         F.col("l_quantity").alias("fatalities"),
         lit_map(STANDIN_EVENT_TYPE)[F.col("l_returnflag")].alias("event_type"))
