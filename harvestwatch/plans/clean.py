@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from .. import constants as K
 from ..functions import (commodity_family, flag_gt, flag_lt, flag_pattern, matches_any,
                          parse_date, parse_double, std_region)
-from ..operators import (add_lags, anomaly_vs_mean, monthly_events, monthly_mean, pct_change_col,
+from ..operators import (add_lags, anomaly_vs_mean, filter_positive, monthly_events, monthly_mean, pct_change_col,
                          pivot_mean, quantile_flag, require, rolling_col, with_year_month,
                          panel_window)
 from ..functions._util import np_round
@@ -63,12 +63,14 @@ def clean_rainfall(raw: DataFrame, measures: dict | None = None, region_map: dic
 
 def clean_prices(raw: DataFrame, region_map: dict | None = None, keywords=K.COMMODITY_KEYWORDS,
                  families=K.COMMODITY_FAMILIES, price_col: str | None = "price_maize",
-                 shock_gt: float = K.PRICE_SHOCK_GT) -> DataFrame:
+                 shock_gt: float = K.PRICE_SHOCK_GT, cut=None) -> DataFrame:
     """Market prices -> region x month price table (one column per family),
     month-on-month change, 3-month volatility and a shock flag.
 
     ``price_col`` names the family series the change is computed from; pass
     ``None`` to pick the first family with more than 50 observations (†).
+    ``cut`` materialises the wide monthly table first, so that decision and
+    the windows read it instead of the raw quotes.
     """
     df = raw.select(
         _date(raw, "date").alias("date"),
@@ -76,13 +78,15 @@ def clean_prices(raw: DataFrame, region_map: dict | None = None, keywords=K.COMM
         _num(raw, "price").alias("price"),
         F.trim(F.col("commodity")).alias("commodity_clean"))
     df = with_year_month(require(df, ["date"]))
-    df = df.filter((F.col("price") > 0) & matches_any("commodity_clean", keywords))
+    df = filter_positive(df, "price").filter(matches_any("commodity_clean", keywords))
     # A2: mean per raw commodity name, then the family pivot (A3) averages
     # names of one family into one column.
     per_name = monthly_mean(df, ["region", "year", "month", "commodity_clean"], {"price": "price"}, 4)
     per_name = per_name.withColumn("family", commodity_family("commodity_clean", families))
     wide = pivot_mean(per_name, ["region", "year", "month"], "family", "price",
                       [name for _, name in families])
+    if cut is not None:
+        wide = cut(wide)
     if price_col is None:
         from ..operators import first_viable
         price_col = first_viable(wide, K.PRICE_COLUMN_CANDIDATES, 50)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import constants as K
 from ..models import queries as MQ
+from ..session import cut_lineage, materialize_all
 from ..models.forest import isolation_forest
 from ..models.split import hash_split, stratified_split
 from ..models.supervised import fit_phase, fit_price, predict_phase, predict_price, save_model
@@ -71,10 +72,14 @@ def run(spark: SparkSession, paths: dict, out_dir: str, models: bool = True,
         north=K.NORTH_REGIONS, vulnerable=K.VULNERABLE_REGIONS, coastal=K.COASTAL_REGIONS,
         views: bool = True) -> dict[str, DataFrame]:
     raw = load_raw(spark, paths)
-    st = {}
-    st["rainfall_monthly"] = write_stage(clean_rainfall(raw["rainfall"]), f"{out_dir}/rainfall_monthly")
-    st["prices_monthly"] = write_stage(clean_prices(raw["prices"], price_col=None), f"{out_dir}/prices_monthly")
-    st["conflict_monthly"] = write_stage(clean_conflict(raw["events"]), f"{out_dir}/conflict_monthly")
+    # the three monthly stages read independent sources: written concurrently;
+    # each raw source is read once (the raw-reading part of a stage is cut
+    # before any decision job or scalar subquery looks at it)
+    st = materialize_all({
+        "rainfall_monthly": lambda: clean_rainfall(raw["rainfall"]),
+        "prices_monthly": lambda: clean_prices(raw["prices"], price_col=None, cut=cut_lineage),
+        "conflict_monthly": lambda: clean_conflict(raw["events"], cut=cut_lineage),
+    }, write=lambda name, df: write_stage(df, f"{out_dir}/{name}"))
     st["master"] = write_stage(build_master(st["rainfall_monthly"], st["prices_monthly"],
                                             st["conflict_monthly"], north, vulnerable), f"{out_dir}/master")
     st["features"] = write_stage(build_features(st["master"], north=north, coastal=coastal),

@@ -80,17 +80,20 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/hw-stages/" + name
 
 
-def materialize_all(builders: dict) -> dict:
-    """Cut lineage of several independent tables at once.
+def materialize_all(builders: dict, write=None) -> dict:
+    """Materialise several independent tables at once.
 
     ``builders`` maps a name to a zero-argument callable returning a
-    DataFrame.  The write jobs are submitted from a small thread pool, so
-    Spark runs them concurrently and a narrow stage (one large file, one
-    straggler) of one table does not idle the executors the others could use.
+    DataFrame; ``write(name, df)`` materialises one and returns the re-read
+    table (default: ``cut_lineage``).  The write jobs are submitted from a
+    small thread pool, so Spark runs them concurrently and a narrow stage
+    (one large file, one straggler) of one table does not idle the executors
+    the others could use.
     """
     from concurrent.futures import ThreadPoolExecutor
+    write = write or (lambda name, df: cut_lineage(df))
     if len(builders) <= 1:
-        return {k: cut_lineage(b()) for k, b in builders.items()}
+        return {k: write(k, b()) for k, b in builders.items()}
     with ThreadPoolExecutor(max_workers=len(builders)) as pool:
-        futures = {k: pool.submit(lambda b=b: cut_lineage(b())) for k, b in builders.items()}
+        futures = {k: pool.submit(lambda k=k, b=b: write(k, b())) for k, b in builders.items()}
         return {k: f.result() for k, f in futures.items()}

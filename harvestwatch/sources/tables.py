@@ -69,7 +69,10 @@ def subset_country(df: DataFrame, name: str, column: str | None = None) -> DataF
 
 def read_event_pages(spark: SparkSession, path: str, dedupe: bool = True) -> DataFrame:
     """Landed JSON pages (``{"data": [...]}``, one file per page)
-    read in parallel with an explicit schema and exploded into event rows."""
+    read in parallel with an explicit schema and exploded into event rows.
+
+    De-duplication is a hash aggregate with map-side partial aggregation, so
+    even if one id had a third of all copies, each task ships one row per id."""
     pages = spark.read.schema(EVENT_PAGE).option("multiLine", True).json(path)
     rows = pages.select(F.explode("data").alias("e")).select("e.*")
     if dedupe:
