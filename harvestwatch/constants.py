@@ -169,6 +169,8 @@ NOTEBOOK_MESSAGE_SUFFIX = "Contact your district food officer."
 BULLETIN_ANOMALY_LINE = "     ⚠️  ANOMALY FLAG: Unusual compound risk pattern detected"
 BULLETIN_VOICE_HEADER = "     📢 FARMER VOICE ALERT (Twi/Dagbani/Ewe/Hausa):"
 BULLETIN_BROADCAST_NOTE = "     [Translate & broadcast via Africa's Talking SMS gateway]"
+BULLETIN_NONE = "  ✅ No high-risk periods detected in recent 12 months."
+BULLETIN_FLAGGED = "  ⚠️  {n} DISTRICT-MONTHS FLAGGED FOR ATTENTION"
 
 # --- FIXED VALUES: scenario scorer -------------------------------------------
 SCENARIO_PHASE_CENTRES = {1: 0.0, 2: 1.2, 3: 2.7, 4: 4.5}

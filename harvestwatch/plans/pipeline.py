@@ -89,7 +89,7 @@ def run(spark: SparkSession, paths: dict, out_dir: str, models: bool = True,
     pred = st["predictions"]
     write_feed(R.alert_feed(pred), f"{out_dir}/alerts_feed", R.feed_order())
     write_feed(R.alert_snapshot(pred), f"{out_dir}/alerts_latest", R.snapshot_order())
-    write_lines(R.bulletin_lines(pred), f"{out_dir}/bulletin", R.bulletin_order())
+    write_lines(R.bulletin_document(pred), f"{out_dir}/bulletin", R.document_order())
     write_lines(R.summary_lines(pred), f"{out_dir}/summary", ["section", "k1", "k2"])
     write_lines(R.feature_report(st["features"]), f"{out_dir}/feature_report", ["seq"])
     if views:

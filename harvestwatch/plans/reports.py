@@ -81,6 +81,31 @@ def bulletin_lines(scored: DataFrame, months: int = 12, min_phase: int = 2,
     return _lines(rows, ["region", "district", "year", "month", "pred_ipc_phase"], items)
 
 
+def bulletin_document(scored: DataFrame, months: int = 12, min_phase: int = 2,
+                      style: str = "bulletin", action_style: str = "long") -> DataFrame:
+    """B3 as a whole document: preamble (title, period, flagged count or the
+    all-clear line) followed by the blocks.  Columns ``(part, k_phase,
+    region, district, year, month, line_no, value)``; the document order is
+    ``document_order()``."""
+    blocks = bulletin_lines(scored, months, min_phase, style, action_style)
+    n = blocks.where(F.col("line_no") == 0).select(F.count(F.lit(1))).scalar()
+    latest = latest_period(scored).agg(F.max(month_year_title()).alias("t"))
+    count_line = F.when(n == 0, F.lit(K.BULLETIN_NONE)).otherwise(
+        F.replace(F.lit(K.BULLETIN_FLAGGED), F.lit("{n}"), n.cast("string")))
+    pre = [F.lit(RULE), F.lit("  EARLY WARNING — FARMER ALERT BULLETIN"),
+           F.concat(F.lit("  Period: "), F.col("t")), F.lit(RULE), F.lit(""), count_line, F.lit("")]
+    head = latest.select(F.posexplode(F.array(*pre)).alias("line_no", "value")).select(
+        F.lit(0).alias("part"), F.lit(0).alias("k_phase"), F.lit("").alias("region"), F.lit("").alias("district"),
+        F.lit(0).alias("year"), F.lit(0).alias("month"), "line_no", "value")
+    body = blocks.select(F.lit(1).alias("part"), (-F.col("pred_ipc_phase")).alias("k_phase"), "region",
+                         "district", "year", "month", "line_no", "value")
+    return head.unionByName(body)
+
+
+def document_order():
+    return [F.col(c) for c in ("part", "k_phase", "region", "district", "year", "month", "line_no")]
+
+
 def bulletin_order():
     return [F.col("pred_ipc_phase").desc(), F.col("region"), F.col("district"),
             F.col("year"), F.col("month"), F.col("line_no")]
@@ -106,7 +131,8 @@ def summary_lines(scored: DataFrame, top: int = 5) -> DataFrame:
         line(0.0, "a", RULE),
         line(1.0, "b", "  EARLY WARNING — DASHBOARD SUMMARY"),
         line(2.0, "c", F.format_string("  Data: %d–%d  |  %d Regions", "y0", "y1", "nr")),
-        line(3.0, "d", RULE))))
+        line(3.0, "d", RULE),
+        line(4.0, "e", ""))))
 
     total = scored.select(F.count(F.lit(1))).scalar()
     dist = scored.groupBy("pred_ipc_phase").agg(F.count(F.lit(1)).alias("n"))
@@ -123,6 +149,16 @@ def summary_lines(scored: DataFrame, top: int = 5) -> DataFrame:
         F.format_string("    • %s: %d anomalous months", "region", "n").alias("value"))
 
     latest = latest_period(scored)
+    title = latest.agg(F.max(month_year_title()).alias("t"))
+    heads = title.select(F.inline(F.array(
+        F.struct(F.lit(1).alias("section"), F.lit(-1e9).alias("k1"), F.lit("").alias("k2"),
+                 F.lit("  IPC PHASE DISTRIBUTION (ALL HISTORY)").alias("value")),
+        F.struct(F.lit(1).alias("section"), F.lit(1e9).alias("k1"), F.lit("").alias("k2"), F.lit("").alias("value")),
+        F.struct(F.lit(2).alias("section"), F.lit(-1e9).alias("k1"), F.lit("").alias("k2"),
+                 F.lit("  TOP ANOMALOUS REGIONS (HISTORICAL)").alias("value")),
+        F.struct(F.lit(2).alias("section"), F.lit(1e9).alias("k1"), F.lit("").alias("k2"), F.lit("").alias("value")),
+        F.struct(F.lit(3).alias("section"), F.lit(-1e9).alias("k1"), F.lit("").alias("k2"),
+                 F.concat(F.lit("  LATEST SNAPSHOT — "), F.col("t")).alias("value")))))
     snap = latest.select(
         F.lit(3).alias("section"), (-F.col("pred_ipc_phase")).cast("double").alias("k1"),
         F.col("district").alias("k2"),
@@ -131,7 +167,7 @@ def summary_lines(scored: DataFrame, top: int = 5) -> DataFrame:
                         "pred_ipc_label", "pred_price_direction",
                         F.when(F.col("is_anomaly") == 1, F.lit("⚠️ ANOMALY")).otherwise(F.lit(""))
                         ).alias("value"))
-    return header.unionByName(dist).unionByName(top_regions).unionByName(snap)
+    return header.unionByName(heads).unionByName(dist).unionByName(top_regions).unionByName(snap)
 
 
 def feature_report(df: DataFrame, cols=None) -> DataFrame:

@@ -784,6 +784,13 @@ _SUMMARY = (
     "UNION ALL SELECT 0, 2.0::DOUBLE, 'c', printf('  Data: %d–%d  |  %d Regions', min(year), max(year), "
     "count(DISTINCT region)) FROM scored "
     f"UNION ALL SELECT 0, 3.0::DOUBLE, 'd', '{'=' * 60}' "
+    "UNION ALL SELECT 0, 4.0::DOUBLE, 'e', '' "
+    "UNION ALL SELECT 1, -1e9::DOUBLE, '', '  IPC PHASE DISTRIBUTION (ALL HISTORY)' "
+    "UNION ALL SELECT 1, 1e9::DOUBLE, '', '' "
+    "UNION ALL SELECT 2, -1e9::DOUBLE, '', '  TOP ANOMALOUS REGIONS (HISTORICAL)' "
+    "UNION ALL SELECT 2, 1e9::DOUBLE, '', '' "
+    "UNION ALL SELECT 3, -1e9::DOUBLE, '', '  LATEST SNAPSHOT — ' || strftime(make_date(year, month, 1), '%B %Y') "
+    "FROM (SELECT year, month FROM latest LIMIT 1) "
     f"UNION ALL SELECT 1, CAST(pred_ipc_phase AS DOUBLE), '', printf('    %s Phase %d — %-12s: %5d months (%s%%)  %s', "
     f"{O._ICON}, pred_ipc_phase, {O._LABEL}, n, "
     f"{O.jfmt('%4.1f', 'n * 100.0::DOUBLE / (SELECT n FROM tot)', 1)}, "
@@ -919,6 +926,50 @@ def q_conflict_streamed(spark, sf):
     return conflict_from_partials(spark, f"{base}/partials")
 
 
+# ---- 15. remaining dashboard chart tables (A10, A11, A15) --------------------------
+
+@register("mean_phase_by_month", O.q("SELECT month, avg(pred_ipc_phase) AS mean_pred_ipc_phase FROM scored "
+                                     "GROUP BY month"))
+def q_mean_phase_by_month(spark, sf):
+    return mean_by(scored(spark, sf), "month", "pred_ipc_phase")
+
+
+@register("price_series", O.q(
+    "SELECT year, month, avg(price_change_pct) AS mean_price_change_pct, "
+    "year + (month - 1) / 12.0::DOUBLE AS date_n FROM scored GROUP BY year, month "
+    "HAVING avg(price_change_pct) IS NOT NULL"))
+def q_price_series(spark, sf):
+    return period_series(scored(spark, sf), "price_change_pct")
+
+
+@register("flood_by_year", O.q("SELECT year, CAST(sum(flood_flag) AS BIGINT) AS flood_months FROM scored "
+                               "GROUP BY year"))
+def q_flood_by_year(spark, sf):
+    return sum_by(scored(spark, sf), "year", "flood_flag", "flood_months")
+
+
+_DOC = _BULLETIN.replace(
+    "SELECT region, district, year, month, pred_ipc_phase, CAST(u.pos - 1 AS INTEGER) AS line_no, u.value AS value\n"
+    "FROM items, LATERAL (SELECT unnest(lines) AS value, generate_subscripts(lines, 1) AS pos) u",
+    ", body AS (SELECT region, district, year, month, pred_ipc_phase, CAST(u.pos - 1 AS INTEGER) AS line_no, "
+    "u.value AS value FROM items, LATERAL (SELECT unnest(lines) AS value, generate_subscripts(lines, 1) AS pos) u), "
+    "nb AS (SELECT count(*) AS n FROM body WHERE line_no = 0), "
+    "title AS (SELECT strftime(make_date(year, month, 1), '%B %Y') AS t FROM latest LIMIT 1), "
+    f"head AS (SELECT unnest(['{'=' * 60}', '  EARLY WARNING — FARMER ALERT BULLETIN', '  Period: ' || t, "
+    f"'{'=' * 60}', '', CASE WHEN n = 0 THEN '{K.BULLETIN_NONE}' ELSE replace('{K.BULLETIN_FLAGGED}', '{{n}}', "
+    "CAST(n AS VARCHAR)) END, '']) AS value, generate_subscripts(['', '', '', '', '', '', ''], 1) - 1 AS line_no "
+    "FROM title, nb) "
+    "SELECT 0 AS part, 0 AS k_phase, '' AS region, '' AS district, 0 AS year, 0 AS month, "
+    "CAST(line_no AS INTEGER) AS line_no, value FROM head UNION ALL "
+    "SELECT 1, -pred_ipc_phase, region, district, year, month, line_no, value FROM body")
+assert _DOC != _BULLETIN
+
+
+@register("bulletin_document", O.r6("WITH " + O.CTE.strip() + _DOC, ("region", "district", "value")))
+def q_bulletin_document(spark, sf):
+    return R.bulletin_document(scored(spark, sf))
+
+
 # ---- 13. models (rows-only checks) -------------------------------------------------
 
 def _register_models():
