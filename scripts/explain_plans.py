@@ -57,6 +57,15 @@ def summarise(plan: str) -> tuple[dict, list]:
     return counts, scans
 
 
+def _features_plan(spark, sf):
+    from harvestwatch.plans import standin as S
+    from harvestwatch.plans.features import build_features
+    from harvestwatch.plans.master import build_master
+    t = S.monthly_tables(spark, sf)
+    m = build_master(t["rain"], t["prices"], t["conflict"], north=S.STANDIN_NORTH, vulnerable=S.STANDIN_VULNERABLE)
+    return build_features(m, north=S.STANDIN_NORTH, coastal=S.STANDIN_COASTAL)
+
+
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_spark("local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "8g"})
@@ -68,6 +77,7 @@ def main():
             S.rain_raw(spark, sf), measures=S.STANDIN_RAIN, anomaly_from="rainfall_mm"),
         "stage: prices monthly (raw lineitem x part)": lambda: clean_prices(S.prices_raw(spark, sf)),
         "stage: events monthly (raw lineitem)": lambda: monthly_events_stage_from_raw(S.events_raw(spark, sf)),
+        "stage: master + features (from the monthly stage tables)": lambda: _features_plan(spark, sf),
     }
     print("# Final physical plans (post-AQE) of the headline queries\n")
     print(f"Generated by `scripts/explain_plans.py` on `{os.path.basename(sf)}`. Stage tables written by "
