@@ -177,20 +177,67 @@ def score_forest(df: DataFrame, nodes: DataFrame, cols, psi: int = K.FOREST_SUBS
     return df.withColumn(out, np_round(path_score(x), digits))
 
 
-def isolation_forest(df: DataFrame, cols, contamination: float = K.FOREST_CONTAMINATION,
-                     trees: int = K.FOREST_TREES, psi: int = K.FOREST_SUBSAMPLE,
-                     max_features: float = K.FOREST_MAX_FEATURES, seed: int = K.SEED, keys=None) -> DataFrame:
-    """M7-M9 end to end: scale, fit, score, flag the top ``contamination``
-    share (threshold = the (1 - c) quantile of the scores, a scalar subquery).
-    Adds ``anomaly_score``, ``anomaly_label`` (-1/1) and ``is_anomaly``."""
+class ForestModel:
+    """A fitted isolation forest: node table, scaler, columns and the score
+    threshold fixed at fit time (so new data is flagged against the
+    training distribution, as a loaded model does)."""
+
+    def __init__(self, nodes: DataFrame, scaler: dict, cols, threshold: float,
+                 psi: int = K.FOREST_SUBSAMPLE):
+        self.nodes, self.scaler, self.cols = nodes, scaler, list(cols)
+        self.threshold, self.psi = float(threshold), psi
+
+    def transform(self, df: DataFrame, digits: int = 4) -> DataFrame:
+        """M9: anomaly_score, anomaly_label (-1/1), is_anomaly."""
+        z = apply_scaler(df, self.scaler)
+        zcols = ["z_" + c for c in self.cols]
+        scored = score_forest(z, self.nodes, zcols, self.psi, digits=digits).drop(*zcols)
+        flag = F.coalesce(F.col("anomaly_score") > F.lit(self.threshold), F.lit(False))
+        return scored.withColumns({"is_anomaly": flag.cast("int"),
+                                   "anomaly_label": F.when(flag, F.lit(-1)).otherwise(F.lit(1))})
+
+    def save(self, path: str) -> None:
+        """Node table as Parquet, parameters as a one-row JSON table."""
+        import json
+        spark = self.nodes.sparkSession
+        self.nodes.write.mode("overwrite").parquet(f"{path}/nodes")
+        meta = json.dumps({"scaler": self.scaler, "cols": self.cols, "threshold": self.threshold,
+                           "psi": self.psi})
+        spark.createDataFrame([(meta,)], "meta string").write.mode("overwrite").json(f"{path}/meta")
+
+    @staticmethod
+    def load(spark, path: str) -> "ForestModel":
+        import json
+        meta = json.loads(spark.read.json(f"{path}/meta").first().meta)
+        scaler = {k: tuple(v) for k, v in meta["scaler"].items()}
+        return ForestModel(spark.read.parquet(f"{path}/nodes"), scaler, meta["cols"], meta["threshold"],
+                           meta["psi"])
+
+
+def fit_isolation_forest(df: DataFrame, cols, contamination: float = K.FOREST_CONTAMINATION,
+                         trees: int = K.FOREST_TREES, psi: int = K.FOREST_SUBSAMPLE,
+                         max_features: float = K.FOREST_MAX_FEATURES, seed: int = K.SEED,
+                         keys=None) -> tuple[ForestModel, DataFrame]:
+    """M7 + M8: scale, build the trees, score the training rows and fix the
+    threshold at their (1 - contamination) quantile.  Returns the model and
+    the scored training rows (materialised once: the threshold and the
+    output would otherwise each re-run the Python scoring)."""
     scaler = fit_scaler(df, cols)
     z = apply_scaler(df, scaler)
     zcols = ["z_" + c for c in cols]
     nodes = cut_lineage(fit_forest(z, zcols, trees, psi, max_features, seed, keys))
-    # materialise the scores once: the threshold subquery and the output
-    # would otherwise each re-run the Python scoring over every row
     scored = cut_lineage(score_forest(z, nodes, zcols, psi).drop(*zcols))
-    thr = scored.select(F.percentile("anomaly_score", F.lit(1.0 - contamination))).scalar()
-    flag = F.coalesce(F.col("anomaly_score") > thr, F.lit(False))
-    return scored.withColumns({"is_anomaly": flag.cast("int"),
-                               "anomaly_label": F.when(flag, F.lit(-1)).otherwise(F.lit(1))})
+    # † one scalar: exact quantile over scores rounded to 4 places (bounded domain)
+    thr = scored.select(F.percentile("anomaly_score", F.lit(1.0 - contamination))).first()[0]
+    model = ForestModel(nodes, scaler, cols, thr if thr is not None else float("inf"), psi)
+    flag = F.coalesce(F.col("anomaly_score") > F.lit(model.threshold), F.lit(False))
+    return model, scored.withColumns({"is_anomaly": flag.cast("int"),
+                                      "anomaly_label": F.when(flag, F.lit(-1)).otherwise(F.lit(1))})
+
+
+def isolation_forest(df: DataFrame, cols, contamination: float = K.FOREST_CONTAMINATION,
+                     trees: int = K.FOREST_TREES, psi: int = K.FOREST_SUBSAMPLE,
+                     max_features: float = K.FOREST_MAX_FEATURES, seed: int = K.SEED, keys=None) -> DataFrame:
+    """M7-M9 end to end on one table: adds ``anomaly_score``,
+    ``anomaly_label`` (-1/1) and ``is_anomaly``."""
+    return fit_isolation_forest(df, cols, contamination, trees, psi, max_features, seed, keys)[1]

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import constants as K
 from ..models import queries as MQ
 from ..session import cut_lineage, materialize_all
-from ..models.forest import isolation_forest
+from ..models.forest import fit_isolation_forest
 from ..models.split import hash_split, stratified_split
 from ..models.supervised import fit_phase, fit_price, predict_phase, predict_price, save_model
 from ..operators import (add_lead, filter_abs_le, select_by_keyword, select_covered, select_features,
@@ -65,7 +65,24 @@ def score_models(features: DataFrame, out_dir: str | None = None, phase_trees: i
     scored = predict_phase(phase, features, cols)
     scored = predict_price(price, scored, reg_cols)
     anomaly_cols = select_by_keyword(cols, K.ANOMALY_KEYWORDS)
-    return isolation_forest(scored, anomaly_cols, trees=forest_trees, keys=keys)
+    forest, out = fit_isolation_forest(scored, anomaly_cols, trees=forest_trees, keys=keys)
+    if out_dir:
+        forest.save(os.path.join(out_dir, "models", "forest"))
+    return out
+
+
+def score_saved(features: DataFrame, model_dir: str) -> DataFrame:
+    """Score a feature table with models saved by ``run`` (the monthly
+    refresh path: new data, fitted models, fitted anomaly threshold)."""
+    from ..models.forest import ForestModel
+    from ..models.supervised import load_model
+    phase = load_model(os.path.join(model_dir, "phase"))
+    price = load_model(os.path.join(model_dir, "price"))
+    forest = ForestModel.load(features.sparkSession, os.path.join(model_dir, "forest"))
+    phase_cols = list(phase.stages[1].getInputCols())
+    price_cols = list(price.stages[0].getInputCols())
+    scored = predict_price(price, predict_phase(phase, features, phase_cols), price_cols)
+    return forest.transform(scored)
 
 
 def run(spark: SparkSession, paths: dict, out_dir: str, models: bool = True,

@@ -66,3 +66,17 @@ def test_isolation_forest_share(spark, feats):
     assert abs(k / n - K.FOREST_CONTAMINATION) < 0.02
     s = out.select(F.min("anomaly_score"), F.max("anomaly_score")).first()
     assert 0 < s[0] <= s[1] < 1
+
+
+def test_forest_model_save_load_and_apply(spark, feats, tmp_path):
+    from harvestwatch.models.forest import ForestModel, fit_isolation_forest
+    cols = select_by_keyword(MQ.feature_columns(feats), K.ANOMALY_KEYWORDS)
+    model, scored = fit_isolation_forest(feats, cols, trees=30, keys=MQ.KEYS)
+    path = str(tmp_path / "forest")
+    model.save(path)
+    again = ForestModel.load(spark, path)
+    assert again.threshold == model.threshold and again.cols == model.cols
+    re_scored = again.transform(feats)
+    a = {(r.district, r.year, r.month): (r.anomaly_score, r.is_anomaly) for r in scored.collect()}
+    b = {(r.district, r.year, r.month): (r.anomaly_score, r.is_anomaly) for r in re_scored.collect()}
+    assert a == b

@@ -89,3 +89,8 @@ def test_pipeline_run_with_models(spark):
     assert {"pred_ipc_phase", "pred_ipc_confidence", "pred_price_change", "anomaly_score", "is_anomaly"} <= cols
     assert pred.where(F.col("pred_ipc_phase").isNull()).count() == 0
     assert os.path.isdir(f"{base}/out/models/phase")
+
+    rescored = P.score_saved(st["features"], f"{base}/out/models")
+    a = {(r.district, r.year, r.month): (r.pred_ipc_phase, r.is_anomaly) for r in pred.collect()}
+    b = {(r.district, r.year, r.month): (r.pred_ipc_phase, r.is_anomaly) for r in rescored.collect()}
+    assert a == b
