@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from harvestwatch.plans.pipeline import run
 from harvestwatch.sources import EVENT_FIELDS, PRICES_RAW, RAINFALL_RAW
 
-DISTRICTS = (("Northern", "Tolon"), ("Northern", "Savelugu"), ("Volta", "Ho"), ("Brong-Ahafo", "Sunyani West"))
+DISTRICTS = (("Northern", "District A"), ("Northern", "District B"), ("Volta", "District C"), ("Brong-Ahafo", "District D"))
 
 
 def _csv(path, header, rows):
@@ -44,7 +44,7 @@ def _fixtures(base):
                 for j in range((m * 7 + len(adm1)) % 5):
                     k += 1
                     ev = {f: "" for f in EVENT_FIELDS}
-                    ev.update(event_id_cnty=f"GHA{k}", event_date=f"{y}-{m:02d}-{j + 1:02d}", admin1=adm1,
+                    ev.update(event_id_cnty=f"EV{k}", event_date=f"{y}-{m:02d}-{j + 1:02d}", admin1=adm1,
                               event_type="Flood" if j % 3 == 0 else "Riots", fatalities=str(j))
                     batch.append(ev)
             pages.append({"data": batch})
