@@ -224,7 +224,7 @@ feat1 AS (
     lag(price_volatility_3m, 2) OVER w AS price_volatility_lag2,
     coalesce(lag(conflict_events, 1) OVER w, 0) AS conflict_lag1,
     coalesce(lag(conflict_events, 2) OVER w, 0) AS conflict_lag2,
-    sum(conflict_events) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS conflict_rolling_3m
+    CAST(sum(conflict_events) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS BIGINT) AS conflict_rolling_3m
   FROM master WINDOW w AS (PARTITION BY district ORDER BY year, month)),
 feat2 AS (
   SELECT * EXCLUDE (streak_grp, season_phase),

@@ -41,6 +41,17 @@ def rows_of(cols, records):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "smallint": "SMALLINT", "float": "FLOAT",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def type_diffs(sdf, rel):
+    st = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema}
+    dt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return {c: (st[c], dt.get(c)) for c in st if c in dt and st[c] != dt[c]}
+
+
 def main():
     args = sys.argv[1:]
     sf = args[0] if args and os.path.isdir(args[0]) else "/root/testdata/sf0.01"
@@ -74,12 +85,15 @@ def main():
             bad += 1
             continue
         ok_cols = sorted(scols) == sorted(dcols)
+        tdiff = type_diffs(sdf, rel) if ok_cols else {}
         a, b = rows_of(scols, srows), rows_of(dcols, drows)
         ok = ok_cols and a == b
         status = "OK " if ok else "DIFF"
         if not ok:
             bad += 1
         print(f"{name:28s} {status} rows spark={len(srows)} sql={len(drows)} {ts:.1f}s")
+        if tdiff:
+            print("   types (spark, duckdb):", tdiff)
         if not ok_cols:
             print("   columns:", sorted(set(scols) ^ set(dcols)))
         elif not ok:
