@@ -10,7 +10,7 @@ persistence.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
@@ -28,7 +28,7 @@ def prepare(df: DataFrame, cols) -> DataFrame:
 
 
 def fit_phase(df: DataFrame, cols, label: str = "ipc_phase", trees: int = 300, depth: int = 6,
-              seed: int = K.SEED, weighted: bool = True) -> PipelineModel:
+              seed: int = K.SEED, weighted: bool = True, algo: str = "forest") -> PipelineModel:
     """M1 + M4 + M5: label index (alphabetical, contiguous from 0), class
     weights, weighted random-forest classifier.  A forest is used for every
     class count so the model has a probability column (M10).
@@ -39,11 +39,19 @@ def fit_phase(df: DataFrame, cols, label: str = "ipc_phase", trees: int = 300, d
     if weighted:
         data = with_class_weight(data, label, "weight")
     indexer = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc").fit(data)
-    rf = RandomForestClassifier(featuresCol="features", labelCol="label_idx", numTrees=trees,
-                                maxDepth=depth, seed=seed)
-    if weighted:
-        rf = rf.setWeightCol("weight")
-    fitted = Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol="features"), rf]).fit(
+    if algo == "boosted":
+        # boosted trees per class (Spark's GBT is binary): one-vs-rest
+        gbt = GBTClassifier(featuresCol="features", labelCol="label_idx", maxIter=trees, maxDepth=depth,
+                            seed=seed)
+        clf = OneVsRest(classifier=gbt, featuresCol="features", labelCol="label_idx")
+        if weighted:
+            clf = clf.setWeightCol("weight")
+    else:
+        clf = RandomForestClassifier(featuresCol="features", labelCol="label_idx", numTrees=trees,
+                                     maxDepth=depth, seed=seed)
+        if weighted:
+            clf = clf.setWeightCol("weight")
+    fitted = Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol="features"), clf]).fit(
         indexer.transform(data))
     return PipelineModel(stages=[indexer, *fitted.stages])
 
@@ -53,12 +61,20 @@ def predict_phase(model: PipelineModel, df: DataFrame, cols, action_style: str =
     labels = model.stages[0].labels
     out = PipelineModel(stages=model.stages[1:]).transform(prepare(df, cols))
     lab_arr = F.array(*[F.lit(v) for v in labels])
+    if "probability" in out.columns:
+        conf = F.array_max(vector_to_array("probability"))
+    else:
+        # one-vs-rest boosted trees: per-class margins m_k; the logistic link
+        # 1 / (1 + exp(-2 m_k)) normalised over classes stands in for the
+        # class probability
+        p = F.transform(vector_to_array("rawPrediction"), lambda m: F.lit(1.0) / (F.lit(1.0) + F.exp(-2.0 * m)))
+        conf = F.array_max(p) / F.aggregate(p, F.lit(0.0), lambda acc, x: acc + x)
     out = out.withColumns({
         "pred_ipc_phase": F.element_at(lab_arr, F.col("prediction").cast("int") + 1).cast("int"),
-        "pred_ipc_confidence": np_round(F.array_max(vector_to_array("probability")), 3)})
+        "pred_ipc_confidence": np_round(conf, 3)})
     out = out.withColumns({"pred_ipc_label": phase_label("pred_ipc_phase"),
                            "pred_ipc_action": phase_action("pred_ipc_phase", action_style)})
-    return out.drop("features", "rawPrediction", "probability", "prediction")
+    return out.drop(*[c for c in ("features", "rawPrediction", "probability", "prediction") if c in out.columns])
 
 
 def fit_price(df: DataFrame, cols, target: str = "target_price_change", trees: int = K.FOREST_TREES,

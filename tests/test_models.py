@@ -80,3 +80,13 @@ def test_forest_model_save_load_and_apply(spark, feats, tmp_path):
     a = {(r.district, r.year, r.month): (r.anomaly_score, r.is_anomaly) for r in scored.collect()}
     b = {(r.district, r.year, r.month): (r.anomaly_score, r.is_anomaly) for r in re_scored.collect()}
     assert a == b
+
+
+def test_boosted_one_vs_rest(spark, feats):
+    cols = MQ.feature_columns(feats)[:12]
+    model = fit_phase(feats, cols, "ipc_phase", trees=3, depth=3, algo="boosted")
+    pred = predict_phase(model, feats, cols)
+    acc = pred.select(F.avg((F.col("pred_ipc_phase") == F.col("ipc_phase")).cast("double"))).first()[0]
+    assert acc > 0.5
+    c = pred.select(F.min("pred_ipc_confidence"), F.max("pred_ipc_confidence")).first()
+    assert 0 < c[0] <= c[1] <= 1
