@@ -122,3 +122,30 @@ def test_histogram_matches_numpy(spark, panel):
     counts, _ = np.histogram(v, bins=20)
     got = {r.bin: r["count"] for r in histogram(_spark(spark, panel), "x", 20).collect()}
     assert [got.get(i + 1, 0) for i in range(20)] == counts.tolist()
+
+
+def test_hot_district_monthly_mean(spark):
+    """One district holds a third of all raw rows: the monthly aggregate is
+    still exact and runs as partial + final hash aggregation."""
+    from harvestwatch.plans.clean import clean_rainfall
+    from harvestwatch.sources import RAINFALL_RAW
+    rows = []
+    for i in range(3000):
+        hot = i % 3 == 0
+        d = "HOT" if hot else f"D{i % 40}"
+        day = 1 + (i % 28)
+        month = 1 + (i // 28) % 12
+        rows.append((f"2020-{month:02d}-{day:02d}", "Volta", d, f"{(i * 37) % 200 / 3:.3f}", "1", "0",
+                     "1", "1", "1", "1", "1", "1"))
+    raw = spark.createDataFrame(rows, RAINFALL_RAW).repartition(8)
+    out = clean_rainfall(raw)
+    pdf = pd.DataFrame(rows, columns=[f.name for f in RAINFALL_RAW])
+    pdf["month"] = pd.to_datetime(pdf["date"]).dt.month
+    pdf["rfh"] = pd.to_numeric(pdf["rfh"])
+    exp = pdf.groupby(["adm2_name", "month"])["rfh"].mean().round(3)
+    got = {(r.district, r.month): r.rainfall_mm for r in out.collect()}
+    assert len(got) == len(exp)
+    for (d, m), v in exp.items():
+        assert abs(got[(d, m)] - v) < 1e-9
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_avg" in plan
