@@ -107,8 +107,9 @@ def histogram(df: DataFrame, c: str, bins: int = 50) -> DataFrame:
     """Equal-width bins over [min, max]; the top edge falls in the last
     bin (numpy convention).  Returns (bin, lo, hi, count) for non-empty bins."""
     vals = df.select(F.col(c).alias("v")).where(F.col("v").isNotNull())
-    lo = vals.select(F.min("v")).scalar()
-    hi = vals.select(F.max("v")).scalar()
+    # both edges from one pass: a struct-valued scalar subquery
+    edges = vals.select(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
+    lo, hi = edges.getField("lo"), edges.getField("hi")
     width = (hi - lo) / F.lit(float(bins))
     b = F.when(hi == lo, F.lit(1)).otherwise(
         F.least(F.width_bucket(F.col("v"), lo, hi, F.lit(bins)), F.lit(bins)))
