@@ -217,3 +217,30 @@ SCENARIO_STATUS = {
 }
 FLOOD_YES = "Yes 🚨"
 FLOOD_NO = "No ✅"
+
+# --- FIXED VALUES: report line formats (printf style; used by Spark's
+# format_string and by the SQL oracles) ---------------------------------------
+RULE_LINE = "=" * 60
+BULLETIN_TITLE = "  EARLY WARNING — FARMER ALERT BULLETIN"
+BULLETIN_PERIOD = "  Period: %s"
+BULLETIN_BLOCK_HEADER = "  %s %s · %s  —  %s"           # icon, REGION, district, Month Year
+BULLETIN_PHASE_LINE = "     Food Security  : Phase %d — %s"
+BULLETIN_ACTION_LINE = "     WFP Action     : %s"
+BULLETIN_PRICE_LINE = "     Food Prices    : %s (%s%%)"  # direction, signed change
+BULLETIN_RAIN_LINE = "     Rainfall       : %s%% vs historical average"
+BULLETIN_MESSAGE_LINE = '     "%s"'
+SUMMARY_TITLE = "  EARLY WARNING — DASHBOARD SUMMARY"
+SUMMARY_DATA_LINE = "  Data: %d–%d  |  %d Regions"
+SUMMARY_DIST_HEADER = "  IPC PHASE DISTRIBUTION (ALL HISTORY)"
+SUMMARY_DIST_LINE = "    %s Phase %d — %-12s: %5d months (%s%%)  %s"
+SUMMARY_TOP_HEADER = "  TOP ANOMALOUS REGIONS (HISTORICAL)"
+SUMMARY_TOP_LINE = "    • %s: %d anomalous months"
+SUMMARY_LATEST_HEADER = "  LATEST SNAPSHOT — %s"
+SUMMARY_LATEST_LINE = "    %s %-20s %-14s Phase %d — %-12s Price: %-12s %s"
+SUMMARY_ANOMALY_MARK = "⚠️ ANOMALY"
+FEATURE_REPORT_LINE = "%3d. %-45s [%s] missing=%d"
+EVALUATION_LINE = "  %-28s %-14s: %.4f"
+SCENARIO_PCT_FORMAT = "%+d%%"
+SCENARIO_NDVI_FORMAT = "%+.2f"
+SCENARIO_DENSITY_FORMAT = "%d /km²"
+SCENARIO_PREV_FORMAT = "Phase %d — %s"

@@ -22,6 +22,11 @@ def _case_map(col: str, mapping: dict) -> str:
     return f"CASE {col} {whens} END"
 
 
+def lit(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("'", "''") + "'"
+
+
 def jfmt(fmt: str, x: str, digits: int) -> str:
     """Java-style (half-up on the decimal form) fixed-point format."""
     return f"printf('{fmt}', round(CAST({x} AS DECIMAL(38,10)), {digits})::DOUBLE)"

@@ -16,7 +16,7 @@ from ..functions import (month_year_title, phase_action, phase_icon, phase_label
 from ..operators import (FEED_COLUMNS, SNAPSHOT_COLUMNS, column_profile, count_where_by,
                          latest_period, trailing_months)
 
-RULE = "=" * 60
+RULE = K.RULE_LINE
 
 
 def alert_feed(scored: DataFrame, months: int = 12) -> DataFrame:
@@ -63,18 +63,16 @@ def bulletin_lines(scored: DataFrame, months: int = 12, min_phase: int = 2,
     if style == "notebook":
         message = F.concat(message, F.lit(" " + K.NOTEBOOK_MESSAGE_SUFFIX))
     items = [
-        F.concat(F.lit("  "), phase_icon(p), F.lit(" "), F.upper(F.col("region")), F.lit(" · "),
-                 F.col("district"), F.lit("  —  "), month_year_title()),
-        F.concat(F.lit("     Food Security  : Phase "), p.cast("string"), F.lit(" — "), phase_label(p)),
-        F.concat(F.lit("     WFP Action     : "), phase_action(p, action_style)),
-        F.concat(F.lit("     Food Prices    : "), F.col("pred_price_direction"), F.lit(" ("),
-                 signed_pct("pred_price_change"), F.lit("%)")),
-        F.concat(F.lit("     Rainfall       : "), signed_pct("rainfall_anomaly_pct"),
-                 F.lit("% vs historical average")),
+        F.format_string(K.BULLETIN_BLOCK_HEADER, phase_icon(p), F.upper(F.col("region")), F.col("district"),
+                        month_year_title()),
+        F.format_string(K.BULLETIN_PHASE_LINE, p, phase_label(p)),
+        F.format_string(K.BULLETIN_ACTION_LINE, phase_action(p, action_style)),
+        F.format_string(K.BULLETIN_PRICE_LINE, F.col("pred_price_direction"), signed_pct("pred_price_change")),
+        F.format_string(K.BULLETIN_RAIN_LINE, signed_pct("rainfall_anomaly_pct")),
         F.when(F.col("is_anomaly") == 1, F.lit(K.BULLETIN_ANOMALY_LINE)),
         F.lit(""),
         F.lit(K.BULLETIN_VOICE_HEADER),
-        F.concat(F.lit('     "'), message, F.lit('"')),
+        F.format_string(K.BULLETIN_MESSAGE_LINE, message),
         F.lit(K.BULLETIN_BROADCAST_NOTE),
         F.lit(""),
     ]
@@ -92,8 +90,8 @@ def bulletin_document(scored: DataFrame, months: int = 12, min_phase: int = 2,
     latest = latest_period(scored).agg(F.max(month_year_title()).alias("t"))
     count_line = F.when(n == 0, F.lit(K.BULLETIN_NONE)).otherwise(
         F.replace(F.lit(K.BULLETIN_FLAGGED), F.lit("{n}"), n.cast("string")))
-    pre = [F.lit(RULE), F.lit("  EARLY WARNING — FARMER ALERT BULLETIN"),
-           F.concat(F.lit("  Period: "), F.col("t")), F.lit(RULE), F.lit(""), count_line, F.lit("")]
+    pre = [F.lit(RULE), F.lit(K.BULLETIN_TITLE), F.format_string(K.BULLETIN_PERIOD, F.col("t")), F.lit(RULE),
+           F.lit(""), count_line, F.lit("")]
     head = latest.select(F.posexplode(F.array(*pre)).alias("line_no", "value")).select(
         F.lit(0).alias("part"), F.lit(0).alias("k_phase"), F.lit("").alias("region"), F.lit("").alias("district"),
         F.lit(0).alias("year"), F.lit(0).alias("month"), "line_no", "value")
@@ -129,8 +127,8 @@ def summary_lines(scored: DataFrame, top: int = 5) -> DataFrame:
                         v.alias("value"))
     header = head.select(F.inline(F.array(
         line(0.0, "a", RULE),
-        line(1.0, "b", "  EARLY WARNING — DASHBOARD SUMMARY"),
-        line(2.0, "c", F.format_string("  Data: %d–%d  |  %d Regions", "y0", "y1", "nr")),
+        line(1.0, "b", K.SUMMARY_TITLE),
+        line(2.0, "c", F.format_string(K.SUMMARY_DATA_LINE, "y0", "y1", "nr")),
         line(3.0, "d", RULE),
         line(4.0, "e", ""))))
 
@@ -139,33 +137,33 @@ def summary_lines(scored: DataFrame, top: int = 5) -> DataFrame:
     pct = F.col("n") * F.lit(100.0) / total
     dist = dist.select(
         F.lit(1).alias("section"), F.col("pred_ipc_phase").cast("double").alias("k1"), F.lit("").alias("k2"),
-        F.format_string("    %s Phase %d — %-12s: %5d months (%s%%)  %s",
+        F.format_string(K.SUMMARY_DIST_LINE,
                         phase_icon("pred_ipc_phase"), "pred_ipc_phase", phase_label("pred_ipc_phase"),
                         "n", _fmt1(pct), text_bar(pct)).alias("value"))
 
     top_regions = count_where_by(scored, F.col("is_anomaly") == 1, "region", "n", k=top)
     top_regions = top_regions.select(
         F.lit(2).alias("section"), (-F.col("n")).cast("double").alias("k1"), F.col("region").alias("k2"),
-        F.format_string("    • %s: %d anomalous months", "region", "n").alias("value"))
+        F.format_string(K.SUMMARY_TOP_LINE, "region", "n").alias("value"))
 
     latest = latest_period(scored)
     title = latest.agg(F.max(month_year_title()).alias("t"))
     heads = title.select(F.inline(F.array(
         F.struct(F.lit(1).alias("section"), F.lit(-1e9).alias("k1"), F.lit("").alias("k2"),
-                 F.lit("  IPC PHASE DISTRIBUTION (ALL HISTORY)").alias("value")),
+                 F.lit(K.SUMMARY_DIST_HEADER).alias("value")),
         F.struct(F.lit(1).alias("section"), F.lit(1e9).alias("k1"), F.lit("").alias("k2"), F.lit("").alias("value")),
         F.struct(F.lit(2).alias("section"), F.lit(-1e9).alias("k1"), F.lit("").alias("k2"),
-                 F.lit("  TOP ANOMALOUS REGIONS (HISTORICAL)").alias("value")),
+                 F.lit(K.SUMMARY_TOP_HEADER).alias("value")),
         F.struct(F.lit(2).alias("section"), F.lit(1e9).alias("k1"), F.lit("").alias("k2"), F.lit("").alias("value")),
         F.struct(F.lit(3).alias("section"), F.lit(-1e9).alias("k1"), F.lit("").alias("k2"),
-                 F.concat(F.lit("  LATEST SNAPSHOT — "), F.col("t")).alias("value")))))
+                 F.format_string(K.SUMMARY_LATEST_HEADER, F.col("t")).alias("value")))))
     snap = latest.select(
         F.lit(3).alias("section"), (-F.col("pred_ipc_phase")).cast("double").alias("k1"),
         F.col("district").alias("k2"),
-        F.format_string("    %s %-20s %-14s Phase %d — %-12s Price: %-12s %s",
+        F.format_string(K.SUMMARY_LATEST_LINE,
                         phase_icon("pred_ipc_phase"), "district", "region", "pred_ipc_phase",
                         "pred_ipc_label", "pred_price_direction",
-                        F.when(F.col("is_anomaly") == 1, F.lit("⚠️ ANOMALY")).otherwise(F.lit(""))
+                        F.when(F.col("is_anomaly") == 1, F.lit(K.SUMMARY_ANOMALY_MARK)).otherwise(F.lit(""))
                         ).alias("value"))
     return header.unionByName(heads).unionByName(dist).unionByName(top_regions).unionByName(snap)
 
@@ -173,7 +171,7 @@ def summary_lines(scored: DataFrame, top: int = 5) -> DataFrame:
 def feature_report(df: DataFrame, cols=None) -> DataFrame:
     """``seq. name [dtype] missing=n`` per column (A17 formatted)."""
     prof = column_profile(df, cols)
-    return prof.select("seq", F.format_string("%3d. %-45s [%s] missing=%d", "seq", "column",
+    return prof.select("seq", F.format_string(K.FEATURE_REPORT_LINE, "seq", "column",
                                               "dtype", "missing").alias("value"))
 
 
@@ -191,4 +189,4 @@ def run_summary(df: DataFrame, n_features: int | None = None) -> DataFrame:
 def evaluation_lines(metrics: DataFrame) -> DataFrame:
     """Metric report lines from a ``(model, metric, value)`` table."""
     return metrics.select("model", "metric",
-                          F.format_string("  %-28s %-14s: %.4f", "model", "metric", "value").alias("value"))
+                          F.format_string(K.EVALUATION_LINE, "model", "metric", "value").alias("value"))

@@ -84,19 +84,19 @@ def scenario_status(df: DataFrame, key: str = "scenario_id") -> DataFrame:
     conflict, ndvi = F.col("conflict_events"), F.col("ndvi_anom")
     prev, dens = F.col("prev_ipc"), F.col("population_density")
     rows = [
-        (F.format_string("%+d%%", rain.cast("int")),
+        (F.format_string(K.SCENARIO_PCT_FORMAT, rain.cast("int")),
          F.when(rain >= 50, F.lit(S["rain"][0])).when(rain <= -40, F.lit(S["rain"][1])).otherwise(F.lit(S["rain"][2]))),
-        (F.format_string("%+d%%", price.cast("int")),
+        (F.format_string(K.SCENARIO_PCT_FORMAT, price.cast("int")),
          F.when(price >= 30, F.lit(S["price"][0])).when(price >= 15, F.lit(S["price"][1])).otherwise(F.lit(S["price"][2]))),
         (F.when(flood, F.lit(K.FLOOD_YES)).otherwise(F.lit(K.FLOOD_NO)),
          F.when(flood, F.lit(S["flood"][0])).otherwise(F.lit(S["flood"][1]))),
         (conflict.cast("string"),
          F.when(conflict >= 5, F.lit(S["conflict"][0])).when(conflict >= 2, F.lit(S["conflict"][1])).otherwise(F.lit(S["conflict"][2]))),
-        (F.format_string("%+.2f", ndvi),
+        (F.format_string(K.SCENARIO_NDVI_FORMAT, ndvi),
          F.when(ndvi <= -0.15, F.lit(S["ndvi"][0])).otherwise(F.lit(S["ndvi"][1]))),
-        (F.concat(dens.cast("int").cast("string"), F.lit(" /km²")),
+        (F.format_string(K.SCENARIO_DENSITY_FORMAT, dens.cast("int")),
          F.when(dens >= 200, F.lit(S["density"][0])).otherwise(F.lit(S["density"][1]))),
-        (F.concat(F.lit("Phase "), prev.cast("string"), F.lit(" — "), phase_label(prev)),
+        (F.format_string(K.SCENARIO_PREV_FORMAT, prev.cast("int"), phase_label(prev)),
          F.when(prev >= 3, F.lit(S["prev"][0])).otherwise(F.lit(S["prev"][1]))),
     ]
     structs = [F.struct(F.lit(i + 1).alias("seq"), F.lit(name).alias("parameter"),

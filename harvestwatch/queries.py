@@ -430,20 +430,20 @@ _BULLETIN = f"""
 , flagged AS (SELECT * FROM recent WHERE pred_ipc_phase >= 2 OR is_anomaly = 1),
 items AS (
   SELECT region, district, year, month, pred_ipc_phase, list_filter([
-    '  ' || {O._ICON} || ' ' || upper(region) || ' · ' || district || '  —  ' || strftime(make_date(year, month, 1), '%B %Y'),
-    '     Food Security  : Phase ' || CAST(pred_ipc_phase AS VARCHAR) || ' — ' || {O._LABEL},
-    '     WFP Action     : ' || {O._ACTION_LONG},
-    '     Food Prices    : ' || pred_price_direction || ' (' || {O.jfmt('%+.1f', 'pred_price_change', 1)} || '%)',
-    '     Rainfall       : ' || {O.jfmt('%+.1f', 'rainfall_anomaly_pct', 1)} || '% vs historical average',
+    printf({O.lit(K.BULLETIN_BLOCK_HEADER)}, {O._ICON}, upper(region), district, strftime(make_date(year, month, 1), '%B %Y')),
+    printf({O.lit(K.BULLETIN_PHASE_LINE)}, pred_ipc_phase, {O._LABEL}),
+    printf({O.lit(K.BULLETIN_ACTION_LINE)}, {O._ACTION_LONG}),
+    printf({O.lit(K.BULLETIN_PRICE_LINE)}, pred_price_direction, {O.jfmt('%+.1f', 'pred_price_change', 1)}),
+    printf({O.lit(K.BULLETIN_RAIN_LINE)}, {O.jfmt('%+.1f', 'rainfall_anomaly_pct', 1)}),
     CASE WHEN is_anomaly = 1 THEN '{K.BULLETIN_ANOMALY_LINE}' END,
     '',
     '{K.BULLETIN_VOICE_HEADER}',
-    '     "' || (CASE WHEN rainfall_anomaly_pct < -20 THEN '{K.WEATHER_MESSAGES["bulletin"]["dry"]}'
+    printf({O.lit(K.BULLETIN_MESSAGE_LINE)}, (CASE WHEN rainfall_anomaly_pct < -20 THEN '{K.WEATHER_MESSAGES["bulletin"]["dry"]}'
                       WHEN rainfall_anomaly_pct > 50 THEN '{K.WEATHER_MESSAGES["bulletin"]["wet"]}'
                       ELSE '{K.WEATHER_MESSAGES["bulletin"]["other"]}' END) || ' ' ||
            (CASE WHEN contains(pred_price_direction, 'Rising') THEN '{K.PRICE_MESSAGES["bulletin"]["rising"]}'
                  WHEN contains(pred_price_direction, 'Falling') THEN '{K.PRICE_MESSAGES["bulletin"]["falling"]}'
-                 ELSE '{K.PRICE_MESSAGES["bulletin"]["other"]}' END) || '"',
+                 ELSE '{K.PRICE_MESSAGES["bulletin"]["other"]}' END)),
     '{K.BULLETIN_BROADCAST_NOTE.replace("'", "''")}',
     ''], lambda x: x IS NOT NULL) AS lines
   FROM flagged)
@@ -527,19 +527,19 @@ def _status_sql() -> str:
     St = K.SCENARIO_STATUS
     P = K.SCENARIO_PARAMETERS
     rows = [
-        ("printf('%+d%%', rainfall_anom)",
+        (f"printf({O.lit(K.SCENARIO_PCT_FORMAT)}, rainfall_anom)",
          f"CASE WHEN rainfall_anom >= 50 THEN '{St['rain'][0]}' WHEN rainfall_anom <= -40 THEN '{St['rain'][1]}' ELSE '{St['rain'][2]}' END"),
-        ("printf('%+d%%', price_change)",
+        (f"printf({O.lit(K.SCENARIO_PCT_FORMAT)}, price_change)",
          f"CASE WHEN price_change >= 30 THEN '{St['price'][0]}' WHEN price_change >= 15 THEN '{St['price'][1]}' ELSE '{St['price'][2]}' END"),
         (f"CASE WHEN flood_flag THEN '{K.FLOOD_YES}' ELSE '{K.FLOOD_NO}' END",
          f"CASE WHEN flood_flag THEN '{St['flood'][0]}' ELSE '{St['flood'][1]}' END"),
         ("CAST(conflict_events AS VARCHAR)",
          f"CASE WHEN conflict_events >= 5 THEN '{St['conflict'][0]}' WHEN conflict_events >= 2 THEN '{St['conflict'][1]}' ELSE '{St['conflict'][2]}' END"),
-        ("printf('%+.2f', ndvi_anom)",
+        (f"printf({O.lit(K.SCENARIO_NDVI_FORMAT)}, ndvi_anom)",
          f"CASE WHEN ndvi_anom <= -0.15 THEN '{St['ndvi'][0]}' ELSE '{St['ndvi'][1]}' END"),
-        ("CAST(population_density AS VARCHAR) || ' /km²'",
+        (f"printf({O.lit(K.SCENARIO_DENSITY_FORMAT)}, population_density)",
          f"CASE WHEN population_density >= 200 THEN '{St['density'][0]}' ELSE '{St['density'][1]}' END"),
-        (f"'Phase ' || CAST(prev_ipc AS VARCHAR) || ' — ' || {O._case_map('prev_ipc', K.PHASE_LABELS)}",
+        (f"printf({O.lit(K.SCENARIO_PREV_FORMAT)}, prev_ipc, {O._case_map('prev_ipc', K.PHASE_LABELS)})",
          f"CASE WHEN prev_ipc >= 3 THEN '{St['prev'][0]}' ELSE '{St['prev'][1]}' END"),
     ]
     parts = [f"SELECT scenario_id, {i + 1} AS seq, '{name}' AS parameter, {v} AS value, {s} AS status FROM scen"
@@ -780,26 +780,26 @@ _SUMMARY = (
     "d AS (SELECT pred_ipc_phase, count(*) AS n FROM scored GROUP BY pred_ipc_phase), "
     "lines AS ("
     f"SELECT 0 AS section, 0.0::DOUBLE AS k1, 'a' AS k2, '{'=' * 60}' AS value "
-    "UNION ALL SELECT 0, 1.0::DOUBLE, 'b', '  EARLY WARNING — DASHBOARD SUMMARY' "
-    "UNION ALL SELECT 0, 2.0::DOUBLE, 'c', printf('  Data: %d–%d  |  %d Regions', min(year), max(year), "
+    f"UNION ALL SELECT 0, 1.0::DOUBLE, 'b', {O.lit(K.SUMMARY_TITLE)} "
+    f"UNION ALL SELECT 0, 2.0::DOUBLE, 'c', printf({O.lit(K.SUMMARY_DATA_LINE)}, min(year), max(year), "
     "count(DISTINCT region)) FROM scored "
     f"UNION ALL SELECT 0, 3.0::DOUBLE, 'd', '{'=' * 60}' "
     "UNION ALL SELECT 0, 4.0::DOUBLE, 'e', '' "
-    "UNION ALL SELECT 1, -1e9::DOUBLE, '', '  IPC PHASE DISTRIBUTION (ALL HISTORY)' "
+    f"UNION ALL SELECT 1, -1e9::DOUBLE, '', {O.lit(K.SUMMARY_DIST_HEADER)} "
     "UNION ALL SELECT 1, 1e9::DOUBLE, '', '' "
-    "UNION ALL SELECT 2, -1e9::DOUBLE, '', '  TOP ANOMALOUS REGIONS (HISTORICAL)' "
+    f"UNION ALL SELECT 2, -1e9::DOUBLE, '', {O.lit(K.SUMMARY_TOP_HEADER)} "
     "UNION ALL SELECT 2, 1e9::DOUBLE, '', '' "
-    "UNION ALL SELECT 3, -1e9::DOUBLE, '', '  LATEST SNAPSHOT — ' || strftime(make_date(year, month, 1), '%B %Y') "
+    f"UNION ALL SELECT 3, -1e9::DOUBLE, '', printf({O.lit(K.SUMMARY_LATEST_HEADER)}, strftime(make_date(year, month, 1), '%B %Y')) "
     "FROM (SELECT year, month FROM latest LIMIT 1) "
-    f"UNION ALL SELECT 1, CAST(pred_ipc_phase AS DOUBLE), '', printf('    %s Phase %d — %-12s: %5d months (%s%%)  %s', "
+    f"UNION ALL SELECT 1, CAST(pred_ipc_phase AS DOUBLE), '', printf({O.lit(K.SUMMARY_DIST_LINE)}, "
     f"{O._ICON}, pred_ipc_phase, {O._LABEL}, n, "
     f"{O.jfmt('%4.1f', 'n * 100.0::DOUBLE / (SELECT n FROM tot)', 1)}, "
     "repeat('█', CAST(trunc(n * 100.0::DOUBLE / (SELECT n FROM tot) / 2.0::DOUBLE) AS INTEGER))) FROM d "
-    "UNION ALL SELECT * FROM (SELECT 2, CAST(-count(*) AS DOUBLE), region, printf('    • %s: %d anomalous months', "
+    f"UNION ALL SELECT * FROM (SELECT 2, CAST(-count(*) AS DOUBLE), region, printf({O.lit(K.SUMMARY_TOP_LINE)}, "
     "region, count(*)) FROM scored WHERE is_anomaly = 1 GROUP BY region ORDER BY count(*) DESC, region LIMIT 5) "
     "UNION ALL SELECT 3, CAST(-pred_ipc_phase AS DOUBLE), district, "
-    f"printf('    %s %-20s %-14s Phase %d — %-12s Price: %-12s %s', {O._ICON}, district, region, pred_ipc_phase, "
-    "pred_ipc_label, pred_price_direction, CASE WHEN is_anomaly = 1 THEN '⚠️ ANOMALY' ELSE '' END) FROM latest) "
+    f"printf({O.lit(K.SUMMARY_LATEST_LINE)}, {O._ICON}, district, region, pred_ipc_phase, "
+    f"pred_ipc_label, pred_price_direction, CASE WHEN is_anomaly = 1 THEN {O.lit(K.SUMMARY_ANOMALY_MARK)} ELSE '' END) FROM latest) "
     "SELECT section, k1, k2, value FROM lines")
 
 
@@ -818,7 +818,7 @@ _MASTER_PROFILE_COLS = sorted(
 _DTYPE = ("CASE typeof(min({c})) WHEN 'DOUBLE' THEN 'float64' WHEN 'VARCHAR' THEN 'object' "
           "WHEN 'BOOLEAN' THEN 'bool' ELSE 'int64' END")
 _REPORT_SQL = " UNION ALL ".join(
-    f"SELECT {i + 1} AS seq, printf('%3d. %-45s [%s] missing=%d', {i + 1}, '{c}', {_DTYPE.format(c=c)}, "
+    f"SELECT {i + 1} AS seq, printf({O.lit(K.FEATURE_REPORT_LINE)}, {i + 1}, '{c}', {_DTYPE.format(c=c)}, "
     f"CAST(sum(CAST({c} IS NULL AS BIGINT)) AS BIGINT)) AS value FROM master"
     for i, c in enumerate(_MASTER_PROFILE_COLS))
 
@@ -852,7 +852,7 @@ m AS (
 """
 
 
-_EVAL_VALUE = "printf('  %-28s %-14s: %.4f', model, metric, round(CAST(value AS DECIMAL(38,10)), 4)::DOUBLE)"
+_EVAL_VALUE = f"printf({O.lit(K.EVALUATION_LINE)}, model, metric, round(CAST(value AS DECIMAL(38,10)), 4)::DOUBLE)"
 
 
 @register("evaluation_lines", O.np_rounds("WITH " + O.CTE.strip() + _PERSIST + _EVAL +
@@ -955,7 +955,7 @@ _DOC = _BULLETIN.replace(
     "u.value AS value FROM items, LATERAL (SELECT unnest(lines) AS value, generate_subscripts(lines, 1) AS pos) u), "
     "nb AS (SELECT count(*) AS n FROM body WHERE line_no = 0), "
     "title AS (SELECT strftime(make_date(year, month, 1), '%B %Y') AS t FROM latest LIMIT 1), "
-    f"head AS (SELECT unnest(['{'=' * 60}', '  EARLY WARNING — FARMER ALERT BULLETIN', '  Period: ' || t, "
+    f"head AS (SELECT unnest(['{'=' * 60}', {O.lit(K.BULLETIN_TITLE)}, printf({O.lit(K.BULLETIN_PERIOD)}, t), "
     f"'{'=' * 60}', '', CASE WHEN n = 0 THEN '{K.BULLETIN_NONE}' ELSE replace('{K.BULLETIN_FLAGGED}', '{{n}}', "
     "CAST(n AS VARCHAR)) END, '']) AS value, generate_subscripts(['', '', '', '', '', '', ''], 1) - 1 AS line_no "
     "FROM title, nb) "
