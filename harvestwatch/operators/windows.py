@@ -22,15 +22,30 @@ def panel_window(key="district", order=ORDER):
     return Window.partitionBy(*keys).orderBy(*order)
 
 
+def _period_window(key):
+    """Entity window ordered by the month index (for calendar RANGE frames)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return Window.partitionBy(*keys).orderBy(F.col("year") * F.lit(12) + F.col("month"))
+
+
+def calendar_lag_col(c: str, n: int, key="district") -> Column:
+    """The value exactly ``n`` calendar months earlier (NULL when that month
+    has no row): a one-row RANGE frame on the month index, so sparse panels
+    need no densified spine."""
+    return F.first(F.col(c)).over(_period_window(key).rangeBetween(-n, -n))
+
+
 def add_lags(df: DataFrame, c: str, lags=(1,), key="district", fill=None,
-             name: str | None = None, order=ORDER) -> DataFrame:
+             name: str | None = None, order=ORDER, calendar: bool = False) -> DataFrame:
     """Previous-row values.  ``fill`` replaces NULL afterwards, so a NULL
-    source value is filled too (unlike ``lag``'s default argument)."""
+    source value is filled too (unlike ``lag``'s default argument).
+    ``calendar=True`` lags by calendar months instead of rows (a month with
+    no row gives NULL rather than reaching back to an older row)."""
     w = panel_window(key, order)
     name = name or (c + "_lag{n}")
     cols = {}
     for n in lags:
-        v = F.lag(F.col(c), n).over(w)
+        v = calendar_lag_col(c, n, key) if calendar else F.lag(F.col(c), n).over(w)
         if fill is not None:
             v = F.coalesce(v, F.lit(fill))
         cols[name.format(n=n)] = v
@@ -58,9 +73,14 @@ def pct_change(df: DataFrame, c: str, out: str, key="district", digits: int | No
 _ROLL = {"mean": F.avg, "sum": F.sum, "std": F.stddev_samp, "max": F.max, "min": F.min}
 
 
-def rolling_col(c: str, n: int, fn: str = "mean", key="district", order=ORDER) -> Column:
+def rolling_col(c: str, n: int, fn: str = "mean", key="district", order=ORDER,
+                calendar: bool = False) -> Column:
     """Aggregate over the current and ``n-1`` previous rows.  NULLs are
-    skipped; an all-NULL frame gives NULL (min_periods=1 semantics)."""
+    skipped; an all-NULL frame gives NULL (min_periods=1 semantics).
+    ``calendar=True`` uses the current and ``n-1`` previous calendar months."""
+    if calendar:
+        w = _period_window(key).rangeBetween(-(n - 1), 0)
+        return _ROLL[fn](F.col(c)).over(w)
     w = panel_window(key, order).rowsBetween(-(n - 1), Window.currentRow)
     return _ROLL[fn](F.col(c)).over(w)
 

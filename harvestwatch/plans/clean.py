@@ -115,18 +115,22 @@ def monthly_events_stage_from_raw(raw: DataFrame, region_map: dict | None = None
     return monthly_events(df, ["region", "year", "month"])
 
 
-def clean_conflict_from_monthly(monthly: DataFrame, q: float = K.HIGH_CONFLICT_QUANTILE) -> DataFrame:
-    """Lags over the months that had events, and the high-conflict flag
+def clean_conflict_from_monthly(monthly: DataFrame, q: float = K.HIGH_CONFLICT_QUANTILE,
+                                calendar: bool = False) -> DataFrame:
+    """Lags over the months that had events (``calendar=True``: over calendar
+    months, a month without events counting as 0), and the high-conflict flag
     against the exact q-quantile of all region-months (a scalar subquery; its
     value->count buffer is bounded by the distinct event counts)."""
-    monthly = add_lags(monthly, "conflict_events", [1], key="region", fill=0, name="conflict_events_lag1")
-    monthly = add_lags(monthly, "flood_displace_events", [1], key="region", fill=0, name="flood_displace_lag1")
+    monthly = add_lags(monthly, "conflict_events", [1], key="region", fill=0, name="conflict_events_lag1",
+                       calendar=calendar)
+    monthly = add_lags(monthly, "flood_displace_events", [1], key="region", fill=0, name="flood_displace_lag1",
+                       calendar=calendar)
     return quantile_flag(monthly, "conflict_events", q, "high_conflict_flag")
 
 
 def clean_conflict(raw: DataFrame, region_map: dict | None = None,
                    pattern: str = K.FLOOD_EVENT_PATTERN, q: float = K.HIGH_CONFLICT_QUANTILE,
-                   cut=None) -> DataFrame:
+                   cut=None, calendar: bool = False) -> DataFrame:
     """Events -> region x month counts, lags (over months that had events) and
     a high-conflict flag against the q-quantile of all region-months.
 
@@ -136,4 +140,4 @@ def clean_conflict(raw: DataFrame, region_map: dict | None = None,
     monthly = monthly_events_stage_from_raw(raw, region_map, pattern)
     if cut is not None:
         monthly = cut(monthly)
-    return clean_conflict_from_monthly(monthly, q)
+    return clean_conflict_from_monthly(monthly, q, calendar)

@@ -115,6 +115,11 @@ def monthly_events_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_events_stage_from_raw(events_raw(spark, sf_dir))
 
 
+def cut_monthly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The materialised region x month event counts."""
+    return _cut(monthly_events_stage(spark, sf_dir))
+
+
 def conflict_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     # cut inside: the monthly counts are materialised before the quantile;
     # the lags and flag on top of them are cheap to recompute

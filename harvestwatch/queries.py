@@ -970,6 +970,18 @@ def q_bulletin_document(spark, sf):
     return R.bulletin_document(scored(spark, sf))
 
 
+@register("conflict_lag_calendar", O.q(
+    "SELECT a.region, a.year, a.month, a.conflict_events, coalesce(b.conflict_events, 0) AS conflict_events_lag1 "
+    "FROM ev_month a LEFT JOIN ev_month b ON a.region = b.region "
+    "AND b.year * 12 + b.month = a.year * 12 + a.month - 1", ("region",)))
+def q_conflict_lag_calendar(spark, sf):
+    """W1 with calendar=True: the previous calendar month, 0 when it had no events."""
+    from .plans.clean import clean_conflict_from_monthly
+    monthly = S.cut_monthly_events(spark, sf)
+    return clean_conflict_from_monthly(monthly, calendar=True).select(
+        "region", "year", "month", "conflict_events", "conflict_events_lag1")
+
+
 # ---- 13. models (rows-only checks) -------------------------------------------------
 
 def _register_models():

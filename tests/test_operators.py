@@ -243,3 +243,22 @@ def test_save_if_absent_rename_and_feed(spark):
     for part in sorted(glob.glob(f"{d}/feed/part-*.csv")):
         rows += [line.strip().split(",")[3] for line in open(part).readlines()[1:]]
     assert rows == ["C", "A", "B"] and back.count() == 3
+
+
+def test_calendar_lags_on_sparse_months(spark):
+    raw = spark.createDataFrame([
+        ("E1", "2020-01-05", "Northern", "1", "Battles"),
+        ("E2", "2020-03-05", "Northern", "2", "FLOOD"),
+        ("E3", "2020-04-09", "Northern", "0", "Riots"),
+        ("E4", "2019-12-30", "Northern", "0", "Riots"),
+    ], "event_id_cnty string, event_date string, admin1 string, fatalities string, event_type string")
+    rows = clean_conflict(raw).orderBy("year", "month").collect()
+    cal = clean_conflict(raw, calendar=True).orderBy("year", "month").collect()
+    assert [r.conflict_events_lag1 for r in rows] == [0, 1, 1, 1]      # row-based: Mar looks back to Jan
+    assert [r.conflict_events_lag1 for r in cal] == [0, 1, 0, 1]       # calendar: Feb had none; Dec -> Jan ok
+    df = spark.createDataFrame([("R", 2020, 1, 1.0), ("R", 2020, 3, 3.0), ("R", 2020, 4, 5.0)],
+                               "region string, year int, month int, x double")
+    from harvestwatch.operators import rolling_col
+    got = [r.s for r in df.select(rolling_col("x", 3, "sum", "region", calendar=True).alias("s"))
+           .orderBy(F.col("s")).collect()]
+    assert sorted(got) == [1.0, 4.0, 8.0]   # Mar: Jan..Mar = 1+3; Apr: Feb..Apr = 3+5
