@@ -13,6 +13,8 @@ def std_region(c, mapping: dict | None = None, unknown: str = K.UNKNOWN_REGION)
     trimmed value itself when unmapped, ``unknown`` when NULL."""
     mapping = K.REGION_ALIASES if mapping is None else mapping
     t = F.trim(as_col(c))
+    if not mapping:
+        return F.coalesce(t, F.lit(unknown))
     return F.coalesce(lit_map(mapping)[t], t, F.lit(unknown))
 
 

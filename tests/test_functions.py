@@ -103,3 +103,8 @@ def test_messages_and_tiers(spark):
 def test_java_signed_format_is_half_up(spark):
     r = spark.range(1).select(F.format_string("%+.1f", F.lit(3.15))).first()[0]
     assert r == "+3.2"
+
+
+def test_std_region_empty_map(spark):
+    df = spark.createDataFrame([(" Accra ",), (None,)], "r string")
+    assert [r[0] for r in df.select(std_region("r", {})).collect()] == ["Accra", "Unknown"]

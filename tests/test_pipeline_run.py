@@ -94,3 +94,12 @@ def test_pipeline_run_with_models(spark):
     a = {(r.district, r.year, r.month): (r.pred_ipc_phase, r.is_anomaly) for r in pred.collect()}
     b = {(r.district, r.year, r.month): (r.pred_ipc_phase, r.is_anomaly) for r in rescored.collect()}
     assert a == b
+
+
+def test_cli_run_and_score(spark):
+    from harvestwatch.__main__ import main
+    base = tempfile.mkdtemp(prefix="hw-cli-")
+    paths = _fixtures(base)
+    assert main(["run", "--rainfall", paths["rainfall"], "--prices", paths["prices"],
+                 "--events-pages", paths["events_pages"], "--out", f"{base}/out", "--no-models"]) == 0
+    assert spark.read.parquet(f"{base}/out/features").count() == len(DISTRICTS) * 24
