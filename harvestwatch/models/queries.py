@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..operators import add_lead, filter_abs_le, select_by_keyword, select_covered, select_features
 from ..plans import standin as S
+from ..session import cut_lineage
 from .forest import isolation_forest
 from .importance import permutation_importance
 from .split import hash_split, stratified_split
@@ -38,7 +39,8 @@ def q_stratified_split(spark, sf):
 def q_phase_model(spark, sf, trees: int = 100):
     f = _features(spark, sf)
     cols = feature_columns(f)
-    split = stratified_split(f, "ipc_phase", KEYS, K.TEST_FRACTION, K.SEED)
+    # the split is read twice (training, scoring): materialise it once
+    split = cut_lineage(stratified_split(f, "ipc_phase", KEYS, K.TEST_FRACTION, K.SEED))
     model = fit_phase(split.where(F.col("split") == "train"), cols, "ipc_phase", trees=trees)
     pred = predict_phase(model, split, cols)
     return pred.select(*KEYS, "split", "ipc_phase", "pred_ipc_phase", "pred_ipc_confidence", "pred_ipc_label")

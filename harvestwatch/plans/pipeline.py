@@ -53,7 +53,7 @@ def score_models(features: DataFrame, out_dir: str | None = None, phase_trees: i
     columns (notebook names: pred_price_change, anomaly_score)."""
     keys = ["district", "year", "month"]
     cols = select_features(features, MQ.EXCLUDE)
-    split = stratified_split(features, "ipc_phase", keys, K.TEST_FRACTION, K.SEED)
+    split = cut_lineage(stratified_split(features, "ipc_phase", keys, K.TEST_FRACTION, K.SEED))
     phase = fit_phase(split.where(F.col("split") == "train"), cols, "ipc_phase", trees=phase_trees)
     t = add_lead(features, "price_change_pct", "target_price_change")
     t = filter_abs_le(t.where(F.col("target_price_change").isNotNull()), "target_price_change", 200)
