@@ -90,3 +90,13 @@ def test_boosted_one_vs_rest(spark, feats):
     assert acc > 0.5
     c = pred.select(F.min("pred_ipc_confidence"), F.max("pred_ipc_confidence")).first()
     assert 0 < c[0] <= c[1] <= 1
+
+
+def test_weighted_f1_matches_spark_evaluator(spark, sf0001):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from harvestwatch.models.metrics import persistence_forecast
+    p = persistence_forecast(S.master(spark, sf0001), "ipc_phase")
+    ours = classification_report(p).first().weighted_f1
+    ev = MulticlassClassificationEvaluator(labelCol="y", predictionCol="pred", metricName="f1")
+    theirs = ev.evaluate(p.select(F.col("y").cast("double"), F.col("pred").cast("double")))
+    assert abs(ours - theirs) < 1e-12
