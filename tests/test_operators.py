@@ -262,3 +262,22 @@ def test_calendar_lags_on_sparse_months(spark):
     got = [r.s for r in df.select(rolling_col("x", 3, "sum", "region", calendar=True).alias("s"))
            .orderBy(F.col("s")).collect()]
     assert sorted(got) == [1.0, 4.0, 8.0]   # Mar: Jan..Mar = 1+3; Apr: Feb..Apr = 3+5
+
+
+def test_materialize_all_matches_sequential(spark):
+    from harvestwatch.session import cut_lineage, materialize_all
+    a = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
+    builders = {"sum": lambda: a.groupBy("k").agg(F.sum("v").alias("s")),
+                "max": lambda: a.groupBy("k").agg(F.max("v").alias("m"))}
+    got = materialize_all(builders)
+    for name, b in builders.items():
+        assert sorted(map(tuple, got[name].collect())) == sorted(map(tuple, cut_lineage(b()).collect()))
+
+
+def test_source_overview_lists(spark):
+    from harvestwatch.sources import source_overview
+    df = spark.createDataFrame([("2020-01-01", "Maize", "M1"), ("2020-03-01", "Rice", "M1"),
+                                ("2019-12-01", "Maize", "M2")], "date string, commodity string, market string")
+    r = source_overview(df.withColumn("date", F.to_date("date")), "date", ["market"], ["commodity"]).first()
+    assert (r.rows, str(r.date_min), str(r.date_max), r.n_market) == (3, "2019-12-01", "2020-03-01", 2)
+    assert r.commodity_values == ["Maize", "Rice"]
