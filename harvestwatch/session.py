@@ -6,8 +6,10 @@ the session and only set one ourselves where it is unset (local tests).
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,12 +55,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not is_single_machine(sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder that "
+                               "the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="hw-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def is_single_machine(master: str) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[8]``)."""
+    return master == "local" or master.startswith("local[")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once per Spark context, so that Python
+    functions of it run wherever the driver was started from."""
+    sc = spark.sparkContext
+    if _shipped.get("id") == sc.applicationId:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.basename(root)
+    path = os.path.join(tempfile.mkdtemp(prefix="hw-ship-"), f"{name}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join(name, os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    _shipped["id"] = sc.applicationId
+
+
+_shipped: dict[str, str] = {}
+
+
 def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
     """Cut lineage by writing the table once (Parquet) under the shared
     checkpoint folder and reading it back.
