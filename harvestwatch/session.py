@@ -103,9 +103,26 @@ def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = stage_path(spark, name or uuid.uuid4().hex)
     df.write.mode("overwrite").parquet(path)
+    _written.append(path)
     return spark.read.parquet(path)
 
 
+_written: list[str] = []
+
+
+def release_stages(keep: DataFrame) -> None:
+    """Delete the stage tables written so far in this session, but for those that
+    ``keep`` reads.  For callers whose earlier results have been written out."""
+    spark = keep.sparkSession
+    jvm, used = spark._jvm, "\n".join(keep.inputFiles())
+    for path in list(_written):
+        if path.rsplit("/", 1)[-1] in used:
+            continue
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        _written.remove(path)
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A path for a stage table inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
