@@ -16,10 +16,13 @@ from pyspark.sql import functions as F
 
 from harvestwatch.llm import jaccard, langid, packing, quality, substrings
 from harvestwatch.llm._common import cut_lineage, prepare, table
+from harvestwatch.session import release_stages
 
 
 def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
-    """The documents with columns named by position, and where each name went."""
+    """The documents with columns named by position, and where each name went.
+    What earlier stages wrote for themselves is deleted, unless ``docs`` reads it."""
+    release_stages(docs)
     names = [f"__c{i}" for i in range(len(docs.columns))]
     return docs.toDF(*names), dict(reversed(list(zip(docs.columns, names, strict=True))))
 
@@ -72,6 +75,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the texts into sequences of 2048 tokens."""
+    release_stages(docs)
     return packing.pack(docs)
 
 

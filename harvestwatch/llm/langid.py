@@ -248,12 +248,12 @@ def calibrated(scored: DataFrame, learnt: Column, z: float = Z) -> DataFrame:
     is read twice, so it should be a written table."""
     rows = scored.filter(learnt & F.col("entropy").isNotNull())
     means = rows.groupBy(F.col("lang_pred").alias("__l")).agg(F.avg("entropy").alias("__mean"))
-    near = rows.join(means, rows["lang_pred"] == means["__l"])
+    near = rows.join(F.broadcast(means), rows["lang_pred"] == means["__l"])  # at most MAX_LANGUAGES rows
     spread = near.groupBy(F.col("lang_pred").alias("__lang")).agg(
         F.first("__mean").alias("__mean"),
         F.avg((F.col("entropy") - F.col("__mean")) ** 2).alias("__docs"),
         F.avg((F.col("entropy") - F.col("__mean")) ** 2 * F.col("letters")).alias("__var"))
-    joined = scored.join(spread, scored["lang_pred"] == spread["__lang"], "left")
+    joined = scored.join(F.broadcast(spread), scored["lang_pred"] == spread["__lang"], "left")
     limit = F.col("__mean") + z * F.sqrt(F.col("__docs") + F.col("__var") / F.col("letters"))
     return joined.select(*[scored[c] for c in scored.columns], F.coalesce(
         (F.col("lang_pred") == UNKNOWN) | (F.col("entropy") > limit), F.lit(False)).alias("rejected"))

@@ -96,8 +96,9 @@ def judge(counted: DataFrame, host: str = "source", max_rate: float = MAX_HOST_R
     """Add ``kept``: not failed by itself and not on a host that mostly fails.
     ``counted`` is read twice, so it should be a written table."""
     counted = with_columns_replaced(counted, "kept")
-    bad = host_rates(counted, host).filter(F.col("host_rate") > max_rate).select(
-        F.col("host").alias("__host"), F.lit(True).alias("__bad"))
+    # written first, so that the planner knows its size and need not shuffle the texts for a small one
+    bad = cut_lineage(host_rates(counted, host).filter(F.col("host_rate") > max_rate).select(
+        F.col("host").alias("__host"), F.lit(True).alias("__bad")))
     return counted.join(bad, counted[host] == bad["__host"], "left").select(
         *[counted[c] for c in counted.columns],
         (~F.col("base_failed") & F.col("__bad").isNull()).alias("kept"))
