@@ -223,9 +223,10 @@ def predict(df: DataFrame, models: Models, text: str = "text") -> DataFrame:
         for batch in batches:
             for part in slices(batch, at):
                 pred, score, entropy, letters = [], [], [], []
-                for n, bits in scorer.score(part.column(at).to_pylist()):
+                texts = part.column(at).to_pylist()
+                for n, bits in scorer.score(texts) if languages else [(0, None)] * len(texts):
                     letters.append(n)
-                    if not n or not languages:
+                    if not n:
                         pred.append(UNKNOWN), score.append(0.0), entropy.append(None)
                         continue
                     h = bits / n

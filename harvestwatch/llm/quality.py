@@ -8,8 +8,9 @@ beta prior fitted to all hosts by moments, and a host whose shrunk rate exceeds
 Scale: the texts are read once and only the narrow counts are written (to the
 shared folder) and used again; sums per host are combined before the shuffle, so
 a hot host ships one row per task; the prior is a scalar subquery over hosts;
-the verdicts are joined on the host, where adaptive execution broadcasts what it
-measured as small and splits a hot host otherwise.  Repeated windows are found
+the verdicts are written and then joined on the host, so that the planner knows
+their size: it broadcasts a small table and lets adaptive execution split a hot
+host otherwise.  Repeated windows are found
 by sorting a document's own window hashes, n log n in its length.
 
 Defined results: a null or empty text has no words and fails; a null host

@@ -1,0 +1,35 @@
+"""The corpus pipeline on a small table, against its stages by brute force."""
+
+import tempfile
+
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from test_operators import brute_substrings
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns({"score": F.lit("mine"), "kept": F.lit(1)})
+    tables = []
+    for name, stage in corpus_pipeline.STAGES:
+        path = f"{tempfile.mkdtemp()}/{name}"
+        stage(spark, docs, SF).write.parquet(path)
+        before, docs = docs, spark.read.parquet(path)
+        if name != "pack":
+            assert docs.dtypes == before.dtypes
+        tables.append(docs)
+    counts = [t.count() for t in tables]
+    total = spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert total >= counts[0] >= counts[1] >= counts[2] == counts[3] > 0 and counts[0] >= 0.95 * total
+    before, after = ({r["doc_id"]: r["text"] for r in t.collect()} for t in tables[2:4])
+    for i, words in brute_substrings(sorted(before.items())).items():
+        assert after[i].split() == words
+    assert {r["doc_id"] for r in tables[4].select("doc_id").distinct().collect()} == set(after)
+
+
+def test_empty_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, SF).count() == 0
