@@ -69,10 +69,10 @@ def classification_report(df: DataFrame, y: str = "y", pred: str = "pred") -> Da
 
 def regression_metrics(df: DataFrame, y: str = "y", pred: str = "pred", mape_floor: float = 0.1) -> DataFrame:
     """MAE, R^2 and MAPE (over |y| > floor, in percent) in one aggregate."""
-    ybar = df.select(F.avg(y)).scalar()
     e = F.col(y) - F.col(pred)
     return df.agg(
         F.avg(F.abs(e)).alias("mae"),
-        (F.lit(1.0) - F.sum(e * e) / F.sum((F.col(y) - ybar) * (F.col(y) - ybar))).alias("r2"),
+        # spread about the mean as a variance: no subquery, so model output works too
+        (F.lit(1.0) - F.sum(e * e) / (F.var_pop(y) * F.count(y))).alias("r2"),
         (F.avg(F.when(F.abs(F.col(y)) > mape_floor, F.abs(e / F.col(y)))) * F.lit(100.0)).alias("mape"),
         F.count(F.lit(1)).alias("n"))

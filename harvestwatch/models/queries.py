@@ -36,7 +36,7 @@ def q_stratified_split(spark, sf):
     return stratified_split(f, "ipc_phase", KEYS, K.TEST_FRACTION, K.SEED)
 
 
-def q_phase_model(spark, sf, trees: int = 100):
+def q_phase_model(spark, sf, trees: int = 300):
     f = _features(spark, sf)
     cols = feature_columns(f)
     # the split is read twice (training, scoring): materialise it once
@@ -55,7 +55,7 @@ def _price_frame(spark, sf):
     return f, t, cols
 
 
-def q_price_model(spark, sf, trees: int = 50):
+def q_price_model(spark, sf, trees: int = 200):
     f, t, cols = _price_frame(spark, sf)
     split = hash_split(t, KEYS, 0.8, K.SEED)
     model = fit_price(split.where(F.col("split") == "train"), cols, trees=trees)
@@ -70,13 +70,13 @@ def q_isolation_forest(spark, sf):
     return scored.select(*KEYS, "anomaly_score", "anomaly_label", "is_anomaly")
 
 
-def q_importance(spark, sf, trees: int = 50):
+def q_importance(spark, sf, trees: int = 200):
     f, t, cols = _price_frame(spark, sf)
     model = fit_price(t, cols, trees=trees)
     return feature_importance(model, cols, spark, 15)
 
 
-def q_permutation_importance(spark, sf, trees: int = 50):
+def q_permutation_importance(spark, sf, trees: int = 300):
     f = _features(spark, sf)
     cols = feature_columns(f)
     model = fit_phase(f, cols, "ipc_phase", trees=trees)

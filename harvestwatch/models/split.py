@@ -44,7 +44,10 @@ def stratified_split(df: DataFrame, label: str, keys, test_frac: float = 0.2, se
                         .otherwise(F.lit("edge")))
             .withColumn("__take", F.col("__ntest") - F.col("__before"))
             .select(label, "__b", "__mode", "__take"))
-    tagged = rows.join(plan, on=[label, "__b"], how="left")
+    plan = plan.withColumnRenamed(label, "__label").withColumnRenamed("__b", "__bucket")
+    # null-safe: rows without a label are a class of their own
+    tagged = rows.join(plan, rows[label].eqNullSafe(plan["__label"]) & (rows["__b"] == plan["__bucket"]),
+                       "left").drop("__label", "__bucket")
     edge = tagged.where(F.col("__mode") == "edge")
     wr = Window.partitionBy(label, "__b").orderBy("__u", *keys)
     edge = edge.withColumn(out, F.when(F.row_number().over(wr) <= F.col("__take"), F.lit("test"))

@@ -43,7 +43,7 @@ def load_raw(spark: SparkSession, paths: dict) -> dict[str, DataFrame]:
     if "events_pages" in paths:
         out["events"] = read_event_pages(spark, paths["events_pages"])
     else:
-        out["events"] = drop_tag_rows(read_table(spark, paths["events"], EVENTS_RAW))
+        out["events"] = read_table(spark, paths["events"], EVENTS_RAW)  # has no tag row
     return out
 
 

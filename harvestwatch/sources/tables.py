@@ -44,11 +44,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def drop_tag_rows(df: DataFrame, marker: str = "#", cols=None) -> DataFrame:
-    """Drop metadata rows whose cells start with ``marker`` (HXL tag rows).
+    """Drop metadata rows (HXL tag rows): those whose date cell, or a cell of
+    ``cols``, starts with ``marker``.
 
-    Spark has no "first row", so every such row is dropped, wherever it is.
+    Spark has no "first row"; a date never starts with the marker, so no data
+    row is lost, whatever its text columns hold.
     """
-    cols = cols or [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    cols = cols or [f.name for f in df.schema if f.name == "date" and isinstance(f.dataType, T.StringType)]
     if not cols:
         return df
     tagged = F.exists(F.array(*[F.col(c) for c in cols]),
@@ -67,16 +69,19 @@ def subset_country(df: DataFrame, name: str, column: str | None = None) -> DataF
     return df.filter(F.coalesce(F.lower(F.col(column)).contains(name.lower()), F.lit(False)))
 
 
-def read_event_pages(spark: SparkSession, path: str, dedupe: bool = True) -> DataFrame:
+def read_event_pages(spark: SparkSession, path: str, dedupe: bool = False) -> DataFrame:
     """Landed JSON pages (``{"data": [...]}``, one file per page)
     read in parallel with an explicit schema and exploded into event rows.
 
-    De-duplication is a hash aggregate with map-side partial aggregation, so
-    even if one id had a third of all copies, each task ships one row per id."""
+    Pages are only appended; with ``dedupe`` one row per event id stays, and all
+    rows without an id.  De-duplication is a hash aggregate with map-side partial
+    aggregation, so even if one id had a third of all copies, each task ships
+    one row per id."""
     pages = spark.read.schema(EVENT_PAGE).option("multiLine", True).json(path)
     rows = pages.select(F.explode("data").alias("e")).select("e.*")
     if dedupe:
-        rows = rows.dropDuplicates(["event_id_cnty"])
+        known = F.col("event_id_cnty").isNotNull()
+        rows = rows.filter(known).dropDuplicates(["event_id_cnty"]).unionByName(rows.filter(~known))
     return rows
 
 

@@ -100,3 +100,29 @@ def test_weighted_f1_matches_spark_evaluator(spark, sf0001):
     ev = MulticlassClassificationEvaluator(labelCol="y", predictionCol="pred", metricName="f1")
     theirs = ev.evaluate(p.select(F.col("y").cast("double"), F.col("pred").cast("double")))
     assert abs(ours - theirs) < 1e-12
+
+
+def test_stratified_split_keeps_rows_without_label(spark):
+    from harvestwatch.models.split import stratified_split
+    df = spark.range(1000).selectExpr("id", "if(id % 10 = 0, null, id % 3) AS label")
+    got = stratified_split(df, "label", ["id"])
+    assert got.count() == 1000
+    assert got.where("label is null").groupBy("split").count().orderBy("split").collect()[0]["count"] == 20
+
+
+def test_regression_metrics_on_model_output(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    from harvestwatch.models.metrics import regression_metrics
+    df = spark.range(50).selectExpr("double(id) AS x", "double(id) * 2 + rand(3) AS y")
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    out = LinearRegression(labelCol="y", predictionCol="pred").fit(df).transform(df)
+    r = regression_metrics(out).first()
+    assert r["r2"] > 0.99 and r["n"] == 50
+
+
+def test_tag_rows_keep_data_rows(spark):
+    from harvestwatch.sources import drop_tag_rows
+    df = spark.createDataFrame([("#date", "x"), ("2003-01-01", "# noted"), (None, "#y")], "date string, notes string")
+    assert drop_tag_rows(df).count() == 2

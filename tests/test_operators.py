@@ -189,8 +189,12 @@ def test_read_event_pages_and_subset(spark):
     for i, p in enumerate(pages):
         with open(os.path.join(d, f"page_{i}.json"), "w") as fh:
             json.dump(p, fh, indent=1)
-    rows = read_event_pages(spark, d)
+    assert read_event_pages(spark, d).count() == 3  # pages are only appended
+    rows = read_event_pages(spark, d, dedupe=True)
     assert sorted(r.event_id_cnty for r in rows.collect()) == ["EV1", "EV2"]
+    with open(os.path.join(d, "page_9.json"), "w") as fh:
+        json.dump({"data": [dict(ev, event_id_cnty=None)] * 3}, fh)
+    assert read_event_pages(spark, d, dedupe=True).count() == 5  # rows without an id all stay
     c = spark.createDataFrame([("Niger", 1), ("Togo", 2), (None, 3)], "country_name string, v int")
     assert [r.v for r in subset_country(c, "NIGER").collect()] == [1]
 
