@@ -232,7 +232,7 @@ BULLETIN_MESSAGE_LINE = '     "%s"'
 SUMMARY_TITLE = "  EARLY WARNING — DASHBOARD SUMMARY"
 SUMMARY_DATA_LINE = "  Data: %d–%d  |  %d Regions"
 SUMMARY_DIST_HEADER = "  IPC PHASE DISTRIBUTION (ALL HISTORY)"
-SUMMARY_DIST_LINE = "    %s Phase %d — %-12s: %5d months (%s%%)  %s"
+SUMMARY_DIST_LINE = "    %s Phase %d — %-12s: %,5d months (%s%%)  %s"
 SUMMARY_TOP_HEADER = "  TOP ANOMALOUS REGIONS (HISTORICAL)"
 SUMMARY_TOP_LINE = "    • %s: %d anomalous months"
 SUMMARY_LATEST_HEADER = "  LATEST SNAPSHOT — %s"

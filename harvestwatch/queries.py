@@ -791,8 +791,8 @@ _SUMMARY = (
     "UNION ALL SELECT 2, 1e9::DOUBLE, '', '' "
     f"UNION ALL SELECT 3, -1e9::DOUBLE, '', printf({O.lit(K.SUMMARY_LATEST_HEADER)}, strftime(make_date(year, month, 1), '%B %Y')) "
     "FROM (SELECT year, month FROM latest LIMIT 1) "
-    f"UNION ALL SELECT 1, CAST(pred_ipc_phase AS DOUBLE), '', printf({O.lit(K.SUMMARY_DIST_LINE)}, "
-    f"{O._ICON}, pred_ipc_phase, {O._LABEL}, n, "
+    f"UNION ALL SELECT 1, CAST(pred_ipc_phase AS DOUBLE), '', printf('    %s Phase %d — %-12s: %5s months (%s%%)  %s', "
+    f"{O._ICON}, pred_ipc_phase, {O._LABEL}, format('{{:,}}', n), "
     f"{O.jfmt('%4.1f', 'n * 100.0::DOUBLE / (SELECT n FROM tot)', 1)}, "
     "repeat('█', CAST(trunc(n * 100.0::DOUBLE / (SELECT n FROM tot) / 2.0::DOUBLE) AS INTEGER))) FROM d "
     f"UNION ALL SELECT * FROM (SELECT 2, CAST(-count(*) AS DOUBLE), region, printf({O.lit(K.SUMMARY_TOP_LINE)}, "
