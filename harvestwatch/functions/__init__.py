@@ -10,7 +10,7 @@ from .rules import (
     season_phase, is_lean_season, vulnerability, ipc_score, ipc_phase_rule,
     flood_price_interaction, compound_risk_flag, region_type, compound_risk_score,
     price_direction, weather_message, price_message, phase_label, phase_action,
-    phase_icon, risk_tier,
+    phase_icon, risk_tier, is_unusual, is_stressed,
 )
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -137,3 +137,13 @@ def risk_tier(phase="pred_ipc_phase", anomaly="is_anomaly") -> Column:
     p, a = as_col(phase), F.coalesce(as_col(anomaly), F.lit(0))
     return (F.when(p >= 3, F.lit("crisis")).when(a == 1, F.lit("unusual"))
             .when(p == 2, F.lit("stressed")).otherwise(F.lit("minimal")))
+
+
+def is_unusual(phase="pred_ipc_phase", anomaly="is_anomaly") -> Column:
+    """Below crisis and anomalous; may hold together with ``is_stressed``."""
+    return F.coalesce((as_col(phase) < 3) & (as_col(anomaly) == 1), F.lit(False))
+
+
+def is_stressed(phase="pred_ipc_phase") -> Column:
+    """Phase 2, anomalous or not."""
+    return F.coalesce(as_col(phase) == 2, F.lit(False))

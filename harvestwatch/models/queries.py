@@ -14,6 +14,7 @@ from ..plans import standin as S
 from ..session import cut_lineage
 from .forest import isolation_forest
 from .importance import permutation_importance
+from .metrics import classification_report, regression_metrics
 from .split import hash_split, stratified_split
 from .supervised import feature_importance, fit_phase, fit_price, predict_phase, predict_price
 
@@ -63,6 +64,18 @@ def q_price_model(spark, sf, trees: int = 200):
     return pred.select(*KEYS, "split", "target_price_change", "pred_price_change", "pred_price_direction")
 
 
+def q_phase_evaluation(spark, sf):
+    """Report of the fitted classifier on the held-out rows."""
+    pred = cut_lineage(q_phase_model(spark, sf).where(F.col("split") == "test"))
+    return classification_report(pred, "ipc_phase", "pred_ipc_phase")
+
+
+def q_price_evaluation(spark, sf):
+    """Errors of the fitted regressor on the held-out rows."""
+    pred = q_price_model(spark, sf).where(F.col("split") == "test")
+    return regression_metrics(pred, "target_price_change", "pred_price_change")
+
+
 def q_isolation_forest(spark, sf):
     f = _features(spark, sf)
     cols = select_by_keyword(feature_columns(f), K.ANOMALY_KEYWORDS)
@@ -87,6 +100,8 @@ MODEL_QUERIES = {
     "stratified_split": q_stratified_split,
     "phase_model": q_phase_model,
     "price_model": q_price_model,
+    "phase_evaluation": q_phase_evaluation,
+    "price_evaluation": q_price_evaluation,
     "isolation_forest": q_isolation_forest,
     "importance": q_importance,
     "permutation_importance": q_permutation_importance,

@@ -753,20 +753,37 @@ def _tier_sql() -> str:
     return ("SELECT district, year, month, "
             "CASE WHEN pred_ipc_phase >= 3 THEN 'crisis' WHEN coalesce(is_anomaly, 0) = 1 THEN 'unusual' "
             "WHEN pred_ipc_phase = 2 THEN 'stressed' ELSE 'minimal' END AS tier, "
+            "coalesce(pred_ipc_phase < 3 AND is_anomaly = 1, false) AS unusual, "
+            "coalesce(pred_ipc_phase = 2, false) AS stressed, "
             + ", ".join(f"{weather(s)} || ' ' || {price(s)} AS message_{s}" for s in ("bulletin", "notebook", "dashboard"))
             + " FROM recent")
 
 
-@register("farmer_messages", O.q(_tier_sql(), ("district", "tier", "message_bulletin", "message_notebook",
+@register("farmer_messages", O.q(_tier_sql(), ("district", "tier", "unusual", "stressed", "message_bulletin", "message_notebook",
                                                 "message_dashboard")))
 def q_farmer_messages(spark, sf):
-    from .functions import price_message, risk_tier, weather_message
+    from .functions import is_stressed, is_unusual, price_message, risk_tier, weather_message
     r = trailing_months(scored(spark, sf), 12)
-    return r.select("district", "year", "month", risk_tier().alias("tier"), *[
+    return r.select("district", "year", "month", risk_tier().alias("tier"), is_unusual().alias("unusual"),
+                    is_stressed().alias("stressed"), *[
         F.concat(weather_message(style=s), F.lit(" "), price_message(style=s)).alias(f"message_{s}")
         for s in ("bulletin", "notebook", "dashboard")])
 
 
+@register("split_counts", O.q(
+    "SELECT label, split, CASE split WHEN 'test' THEN k ELSE n - k END AS n "
+    "FROM (SELECT label, n, CAST(floor(n * 0.2::DOUBLE + 0.5::DOUBLE) AS BIGINT) AS k, unnest(['test', 'train']) AS split "
+    "FROM (SELECT CASE WHEN month = 1 THEN NULL ELSE ipc_phase END AS label, count(*) AS n FROM features GROUP BY 1)) "
+    "WHERE CASE split WHEN 'test' THEN k ELSE n - k END > 0", ("split", "label")))
+def q_split_counts(spark, sf):
+    """Rows per class and side of the stratified split; January rows have no label."""
+    from .models.split import stratified_split
+    f = S.features(spark, sf).select("district", "year", "month", "ipc_phase").withColumn(
+        "label", F.when(F.col("month") != 1, F.col("ipc_phase")))
+    out = stratified_split(f, "label", ["district", "year", "month"], 0.2, 42)
+    return out.groupBy("label", "split").agg(F.count("*").alias("n"))
+
+
 @register("confusion_matrix", O.r6("WITH " + O.CTE.strip() + _PERSIST +
     "SELECT y, " + ", ".join(f"count(*) FILTER (WHERE pred = {c}) AS \"{c}\"" for c in (1, 2, 3, 4)) +
     " FROM persist GROUP BY y"))
