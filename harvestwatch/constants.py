@@ -183,6 +183,11 @@ ANOMALY_KEYWORDS = ("rainfall", "flood", "price", "conflict", "risk", "season",
 SEED = 42
 TEST_FRACTION = 0.2
 FOREST_TREES = 200
+BOOST_LEARNING_RATE = 0.05
+BOOST_ROW_SHARE = 0.8
+BOOST_MIN_CHILD = 3
+PRICE_TARGETS = ("price_change_pct", "price_millet", "price_sorghum", "price_cowpeas")
+PRICE_TARGET_MIN_ROWS = 100
 FOREST_SUBSAMPLE = 256
 FOREST_MAX_FEATURES = 0.8
 FOREST_CONTAMINATION = 0.03

@@ -14,8 +14,9 @@ Spark plan:
   row-level pre-filter first keeps about ``trees x psi`` rows whatever ``n``
   is, so the pair expansion is bounded by the forest size, not the table;
 * fit (M8): ``groupBy("tree").applyInPandas`` -- each group holds about
-  ``psi`` rows (capped at ``psi`` by hash order), so no group grows with the
-  data; the output is the node table (at most ``trees x (2 psi - 1)`` rows);
+  ``1.25 psi`` rows, of which the first ``psi`` by hash are taken, so no group
+  grows with the data (rows without a unique key get one for the draw, so that
+  copies of a row are drawn one by one); the output is the node table (at most ``trees x (2 psi - 1)`` rows);
 * score (M9): the node table is the model -- bounded by the forest size, it
   is shipped to executors as a broadcast variable, and an Arrow-batched
   ``pandas_udf`` walks every tree for a whole batch with numpy.
@@ -32,6 +33,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .. import constants as K
 from ..session import cut_lineage
 from ..functions._util import np_round
+from ..operators import quantile_table
 
 EULER = 0.5772156649
 
@@ -108,16 +110,23 @@ def _build_tree(pdf: pd.DataFrame, psi: int, n_features: int, max_features: floa
 def fit_forest(df: DataFrame, cols, trees: int = K.FOREST_TREES, psi: int = K.FOREST_SUBSAMPLE,
                max_features: float = K.FOREST_MAX_FEATURES, seed: int = K.SEED, keys=None) -> DataFrame:
     """M8: the node table of an isolation forest over ``cols`` (already
-    scaled).  ``keys`` identify rows for the sampling hash (default: the
-    feature values themselves)."""
-    keys = list(keys or cols)
-    n = df.select(F.count(F.lit(1))).first()[0]  # † one count decides the sampling rates
-    if n == 0:
+    scaled).  ``keys`` identify rows for the sampling hash, so that a draw can
+    be repeated; where they are not given or not unique, the row's place in its
+    partition is added and copies are drawn one by one.  A table of fewer than
+    ``psi`` rows is its own sub-sample."""
+    keys = list(keys or [])
+    # † one row decides the sampling rates and whether the keys are unique
+    n, most = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.max("n")).first()
+    if not n:
         return df.sparkSession.createDataFrame([], NODE_SCHEMA)
+    psi = min(psi, n)
+    ident = [F.col(k) for k in keys] if keys else [F.col(c) for c in cols]
+    if not keys or most > 1:
+        ident.append(F.monotonically_increasing_id())
     f_pair = min(1.0, psi * 1.25 / n)                       # per (row, tree) keep rate
     f_row = min(1.0, 1.0 - (1.0 - f_pair) ** trees)         # P(row used by any tree)
     span = 1 << 40
-    rid = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
+    rid = F.xxhash64(*ident, F.lit(seed))
     x = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols])
     rows = (df.select(rid.alias("rid"), x.alias("x"))
             .where(F.pmod(F.col("rid"), F.lit(span)) < F.lit(int(f_row * span))))
@@ -149,7 +158,8 @@ def _forest_arrays(nodes: DataFrame):
 
 def score_forest(df: DataFrame, nodes: DataFrame, cols, psi: int = K.FOREST_SUBSAMPLE,
                  out: str = "anomaly_score", digits: int = 4) -> DataFrame:
-    """M9: ``out`` = 2^(-mean path / c(psi)) (higher = more anomalous)."""
+    """M9: ``out`` = 2^(-mean path / c(psi)) (higher = more anomalous).  ``psi``
+    is the number of rows that a tree was built from."""
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast(_forest_arrays(nodes))
     norm = float(c_factor(psi))
@@ -171,12 +181,22 @@ def score_forest(df: DataFrame, nodes: DataFrame, cols, psi: int = K.FOREST_SUBS
                 node[inner] = np.where(go_left, t["left"][node[inner]], t["right"][node[inner]])
             total += t["depth"][node] + c_factor(t["size"][node])
         mean = total / max(len(forest), 1)
-        return pd.Series(np.power(2.0, -mean / norm))
+        return pd.Series(np.power(2.0, -mean / norm) if norm else np.full(len(X), 0.5))
 
     x = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols])
     return df.withColumn(out, np_round(path_score(x), digits))
 
 
+FULL_DIGITS = 12  # the decision is taken on the score before display rounding
+
+
+def _flagged(scored: DataFrame, threshold: float, digits: int) -> DataFrame:
+    flag = F.coalesce(F.col("anomaly_score") > F.lit(threshold), F.lit(False))
+    return scored.withColumns({"is_anomaly": flag.cast("int"),
+                               "anomaly_label": F.when(flag, F.lit(-1)).otherwise(F.lit(1)),
+                               "anomaly_score": np_round(F.col("anomaly_score"), digits)})
+
+
 class ForestModel:
     """A fitted isolation forest: node table, scaler, columns and the score
     threshold fixed at fit time (so new data is flagged against the
@@ -191,10 +211,8 @@ class ForestModel:
         """M9: anomaly_score, anomaly_label (-1/1), is_anomaly."""
         z = apply_scaler(df, self.scaler)
         zcols = ["z_" + c for c in self.cols]
-        scored = score_forest(z, self.nodes, zcols, self.psi, digits=digits).drop(*zcols)
-        flag = F.coalesce(F.col("anomaly_score") > F.lit(self.threshold), F.lit(False))
-        return scored.withColumns({"is_anomaly": flag.cast("int"),
-                                   "anomaly_label": F.when(flag, F.lit(-1)).otherwise(F.lit(1))})
+        scored = score_forest(z, self.nodes, zcols, self.psi, digits=FULL_DIGITS).drop(*zcols)
+        return _flagged(scored, self.threshold, digits)
 
     def save(self, path: str) -> None:
         """Node table as Parquet, parameters as a one-row JSON table."""
@@ -226,13 +244,12 @@ def fit_isolation_forest(df: DataFrame, cols, contamination: float = K.FOREST_CO
     z = apply_scaler(df, scaler)
     zcols = ["z_" + c for c in cols]
     nodes = cut_lineage(fit_forest(z, zcols, trees, psi, max_features, seed, keys))
-    scored = cut_lineage(score_forest(z, nodes, zcols, psi).drop(*zcols))
-    # † one scalar: exact quantile over scores rounded to 4 places (bounded domain)
-    thr = scored.select(F.percentile("anomaly_score", F.lit(1.0 - contamination))).first()[0]
+    # the root of a tree knows how many rows the tree was built from
+    psi = nodes.where("node = 0").agg(F.max("size")).first()[0] or psi
+    scored = cut_lineage(score_forest(z, nodes, zcols, psi, digits=FULL_DIGITS).drop(*zcols))
+    thr = quantile_table(scored, "anomaly_score", 1.0 - contamination).first()[0]  # † one scalar
     model = ForestModel(nodes, scaler, cols, thr if thr is not None else float("inf"), psi)
-    flag = F.coalesce(F.col("anomaly_score") > F.lit(model.threshold), F.lit(False))
-    return model, scored.withColumns({"is_anomaly": flag.cast("int"),
-                                      "anomaly_label": F.when(flag, F.lit(-1)).otherwise(F.lit(1))})
+    return model, _flagged(scored, model.threshold, 4)
 
 
 def isolation_forest(df: DataFrame, cols, contamination: float = K.FOREST_CONTAMINATION,

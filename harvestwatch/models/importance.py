@@ -1,11 +1,12 @@
 """Permutation importance (M16): how much a metric drops when one feature's
-values are shuffled across a sample -- one scoring job for all features.
+values are shuffled over the scored rows -- one scoring job for all features.
 
-The sample (O5, a fixed-size seeded sample: the limit is the feature) gets a
-row index; for feature j every row takes feature j from the row ``j + 1``
-positions further on (a rotation, i.e. a permutation without fixed points).
-The donor value comes from an equi-join on the donor index, so the job is
-``sample x features`` rows, never a cross product of the table.
+Rows are dealt into hash buckets of about ``bucket_rows`` rows and numbered in
+each; for feature j a row takes feature j from the row ``j + 1`` places further
+on in its bucket (a rotation, so no row keeps its own value where a bucket has
+more rows than there are features).  The donor comes from an equi-join on
+(bucket, place), so the job is ``rows x features`` rows and no task ever numbers
+more than one bucket.
 """
 
 from __future__ import annotations
@@ -14,28 +15,37 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators import sample_rows
+from ..session import cut_lineage
 from .supervised import prepare
 
+BUCKET_ROWS = 4096
+
 
 def permutation_importance(model: PipelineModel, df: DataFrame, cols, label: str, keys,
-                           n: int = 400, seed: int = 42, task: str = "classification",
-                           label_values=None, k: int | None = 15) -> DataFrame:
+                           n: int | None = None, seed: int = 42, task: str = "classification",
+                           k: int | None = 15, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Importance of ``cols`` over all rows of ``df`` (held-out rows, as a rule), or
+    over a seeded sample of ``n`` (O5).  ``keys`` identify rows."""
     cols = list(cols)
-    sample = prepare(sample_rows(df, n, keys, seed), cols)
-    # the sample is bounded by n: a single ordered window over it is cheap
-    w = Window.orderBy(F.xxhash64(*[F.col(c) for c in keys], F.lit(seed)), *keys)
-    s = sample.select(F.row_number().over(w).alias("idx"), F.col(label).alias("__y"),
-                      F.array(*[F.col(c) for c in cols]).alias("__x"))
-    size = s.select(F.count(F.lit(1))).scalar()
-    base = s.select("idx", "__y", "__x", F.lit(-1).alias("j"))
-    donors = s.select(F.col("idx").alias("d_idx"), F.col("__x").alias("d_x"))
-    perm = (s.select("idx", "__y", "__x", F.explode(F.sequence(F.lit(0), F.lit(len(cols) - 1))).alias("j"))
-            .withColumn("d_idx", F.pmod(F.col("idx") + F.col("j"), size) + F.lit(1))
-            .join(donors, on="d_idx")
-            .select("idx", "__y", F.transform("__x", lambda v, i: F.when(i == F.col("j"), F.col("d_x")[i])
-                                              .otherwise(v)).alias("__x"), "j"))
+    rows = prepare(df if n is None else sample_rows(df, n, keys, seed), cols)
+    rows = cut_lineage(rows.select(  # read three times: as base, to permute, as donors
+        F.xxhash64(*[F.col(c) for c in keys], F.lit(seed)).alias("h"), F.col(label).alias("__y"),
+        F.array(*[F.col(c) for c in cols]).alias("__x")))
+    total = rows.count()  # † decides the number of buckets
+    bucket = F.pmod("h", F.lit(max(1, total // bucket_rows)))
+    w = Window.partitionBy("bucket")
+    s = rows.withColumn("bucket", bucket).select(
+        "bucket", F.row_number().over(w.orderBy("h", "__x")).alias("idx"), F.count(F.lit(1)).over(w).alias("size"),
+        "__y", "__x")
+    base = rows.select("__y", "__x", F.lit(-1).alias("j"))
+    donors = s.select("bucket", F.col("idx").alias("d_idx"), F.col("__x").alias("d_x"))
+    perm = (s.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(len(cols) - 1))))
+            .withColumn("d_idx", (F.pmod(F.col("idx") + F.col("j"), F.col("size")) + F.lit(1)).cast("int"))
+            .join(donors, on=["bucket", "d_idx"])
+            .select("__y", F.transform("__x", lambda v, i: F.when(i == F.col("j"), F.col("d_x")[i])
+                                       .otherwise(v)).alias("__x"), "j"))
     allrows = base.unionByName(perm).select(
-        "idx", "__y", "j", *[F.col("__x")[i].alias(c) for i, c in enumerate(cols)])
+        "__y", "j", *[F.col("__x")[i].alias(c) for i, c in enumerate(cols)])
     stages = model.stages[1:] if task == "classification" else model.stages
     scored = PipelineModel(stages=stages).transform(allrows)
     if task == "classification":

@@ -9,14 +9,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..operators import add_lead, filter_abs_le, select_by_keyword, select_covered, select_features
+from ..operators import select_by_keyword, select_covered, select_features
 from ..plans import standin as S
 from ..session import cut_lineage
 from .forest import isolation_forest
 from .importance import permutation_importance
 from .metrics import classification_report, regression_metrics
 from .split import hash_split, stratified_split
-from .supervised import feature_importance, fit_phase, fit_price, predict_phase, predict_price
+from .supervised import feature_importance, fit_phase, fit_price, predict_phase, predict_price, price_frame
 
 # Union of both exclusion lists (price_lag1 for the older lag name)
 EXCLUDE = ("region", "district", "year", "month", "ipc_phase", "compound_risk_flag", "price_lag1")
@@ -49,10 +49,8 @@ def q_phase_model(spark, sf, trees: int = 300):
 
 def _price_frame(spark, sf):
     f = _features(spark, sf)
-    cols = [c for c in feature_columns(f) if c != "price_change_pct"]
-    t = add_lead(f, "price_change_pct", "target_price_change")
-    t = filter_abs_le(t.where(F.col("target_price_change").isNotNull()), "target_price_change", 200)
-    cols = select_covered(t, cols, 0.5)
+    t, source = price_frame(f)
+    cols = select_covered(t, [c for c in feature_columns(f) if c != source], 0.5)
     return f, t, cols
 
 
@@ -85,15 +83,17 @@ def q_isolation_forest(spark, sf):
 
 def q_importance(spark, sf, trees: int = 200):
     f, t, cols = _price_frame(spark, sf)
-    model = fit_price(t, cols, trees=trees)
+    train = hash_split(t, KEYS, 0.8, K.SEED).where(F.col("split") == "train")
+    model = fit_price(train, cols, trees=trees)
     return feature_importance(model, cols, spark, 15)
 
 
 def q_permutation_importance(spark, sf, trees: int = 300):
     f = _features(spark, sf)
     cols = feature_columns(f)
-    model = fit_phase(f, cols, "ipc_phase", trees=trees)
-    return permutation_importance(model, f, cols, "ipc_phase", KEYS, n=400, task="classification")
+    split = cut_lineage(stratified_split(f, "ipc_phase", KEYS, K.TEST_FRACTION, K.SEED))
+    model = fit_phase(split.where(F.col("split") == "train"), cols, "ipc_phase", trees=trees)
+    return permutation_importance(model, split.where(F.col("split") == "test"), cols, "ipc_phase", KEYS)
 
 
 MODEL_QUERIES = {

@@ -20,6 +20,7 @@ from .. import constants as K
 from ..functions import phase_action, phase_label, price_direction
 from .metrics import with_class_weight
 from ..functions._util import np_round
+from ..operators import add_lead, filter_abs_le, first_viable, pct_change
 
 
 def prepare(df: DataFrame, cols) -> DataFrame:
@@ -28,11 +29,17 @@ def prepare(df: DataFrame, cols) -> DataFrame:
 
 
 def fit_phase(df: DataFrame, cols, label: str = "ipc_phase", trees: int = 300, depth: int = 6,
-              seed: int = K.SEED, weighted: bool = True, algo: str = "forest") -> PipelineModel:
+              seed: int = K.SEED, weighted: bool = True, algo: str = "forest",
+              learning_rate: float = K.BOOST_LEARNING_RATE, row_share: float = K.BOOST_ROW_SHARE,
+              min_child: int = K.BOOST_MIN_CHILD) -> PipelineModel:
     """M1 + M4 + M5: label index (alphabetical, contiguous from 0), class
     weights, weighted random-forest classifier.  A forest is used for every
     class count so the model has a probability column (M10).
 
+    ``algo="boosted"`` takes the published learning rate, row share and smallest
+    child (rows here, a sum of Hessians there).  Spark's boosted trees have no
+    column share and no gain, L1 or L2 penalty.
+
     Returns a PipelineModel whose first stage is the label index; scoring
     uses the later stages only, so unlabeled rows can be scored."""
     data = prepare(df, cols).withColumn(label, F.col(label).cast("string"))
@@ -42,6 +49,7 @@ def fit_phase(df: DataFrame, cols, label: str = "ipc_phase", trees: int = 300, d
     if algo == "boosted":
         # boosted trees per class (Spark's GBT is binary): one-vs-rest
         gbt = GBTClassifier(featuresCol="features", labelCol="label_idx", maxIter=trees, maxDepth=depth,
+                            stepSize=learning_rate, subsamplingRate=row_share, minInstancesPerNode=min_child,
                             seed=seed)
         clf = OneVsRest(classifier=gbt, featuresCol="features", labelCol="label_idx")
         if weighted:
@@ -77,6 +85,21 @@ def predict_phase(model: PipelineModel, df: DataFrame, cols, action_style: str =
     return out.drop(*[c for c in ("features", "rawPrediction", "probability", "prediction") if c in out.columns])
 
 
+TARGET = "target_price_change"
+
+
+def price_frame(df: DataFrame, key: str = "district", max_abs: float = 200.0) -> tuple[DataFrame, str | None]:
+    """The rows a regressor can be fitted to, with their target, and the column
+    that the target comes from: the next month's price change, or where that has
+    too few values the percent change of a price.  No column at all: no rows."""
+    source = first_viable(df, K.PRICE_TARGETS, K.PRICE_TARGET_MIN_ROWS)
+    if source is None:
+        return df.withColumn(TARGET, F.lit(None).cast("double")).limit(0), None
+    t = (add_lead(df, source, TARGET) if source == K.PRICE_TARGETS[0]
+         else pct_change(df, source, TARGET, key=key, digits=None))
+    return filter_abs_le(t.where(F.col(TARGET).isNotNull()), TARGET, max_abs), source
+
+
 def fit_price(df: DataFrame, cols, target: str = "target_price_change", trees: int = K.FOREST_TREES,
               depth: int = 10, min_leaf: int = 5, seed: int = K.SEED) -> PipelineModel:
     """M6: random-forest regressor on the next-period price change."""

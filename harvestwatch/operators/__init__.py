@@ -1,7 +1,7 @@
 """DataFrame operators: DataFrame in, DataFrame out, no actions unless marked †."""
 
 from .monthly import (require, with_year_month, rename_all, monthly_mean, pivot_mean,
-                      monthly_events, global_quantile, quantile_flag)
+                      monthly_events, global_quantile, quantile_flag, quantile_table)
 from .windows import (panel_window, add_lags, add_lead, pct_change, pct_change_col, rolling,
                       rolling_col, streak, with_group_mean, anomaly_vs_mean, latest_row)
 from .joins import join_master, with_labels, panel_spine, std_region_table

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import constants as K
 from ..functions import price_direction
-from ..operators import with_labels
+from ..operators import global_quantile, with_labels
 from ..functions._util import np_round
 
 
@@ -21,7 +21,7 @@ def with_anomaly_threshold(df: DataFrame, score: str = "anomaly_score",
                            contamination: float = K.FOREST_CONTAMINATION) -> DataFrame:
     """Flag rows whose score is above the (1 - contamination) quantile; the
     quantile is a scalar subquery over the whole table."""
-    thr = df.select(F.percentile(F.col(score), F.lit(1.0 - contamination))).scalar()
+    thr = global_quantile(df, score, 1.0 - contamination)
     return df.withColumn("is_anomaly", F.coalesce(F.col(score) > thr, F.lit(False)).cast("int"))
 
 

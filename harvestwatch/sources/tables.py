@@ -37,7 +37,11 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.csv(path)
+    return normalised(reader.csv(path))
+
+
+def normalised(df: DataFrame) -> DataFrame:
+    """Missing-value tokens of all text columns as NULL."""
     return df.select(*[
         normalise_missing(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType)
         else F.col(f.name) for f in df.schema])
@@ -73,12 +77,12 @@ def read_event_pages(spark: SparkSession, path: str, dedupe: bool = False) -> Da
     """Landed JSON pages (``{"data": [...]}``, one file per page)
     read in parallel with an explicit schema and exploded into event rows.
 
-    Pages are only appended; with ``dedupe`` one row per event id stays, and all
+    Missing-value tokens become NULL, as in a table scan.  Pages are only appended; with ``dedupe`` one row per event id stays, and all
     rows without an id.  De-duplication is a hash aggregate with map-side partial
     aggregation, so even if one id had a third of all copies, each task ships
     one row per id."""
     pages = spark.read.schema(EVENT_PAGE).option("multiLine", True).json(path)
-    rows = pages.select(F.explode("data").alias("e")).select("e.*")
+    rows = normalised(pages.select(F.explode("data").alias("e")).select("e.*"))
     if dedupe:
         known = F.col("event_id_cnty").isNotNull()
         rows = rows.filter(known).dropDuplicates(["event_id_cnty"]).unionByName(rows.filter(~known))
@@ -101,10 +105,14 @@ def write_stage(df: DataFrame, path: str, partition_by=("year",), cluster_by=("d
     executor only costs the tasks of the current stage.
     """
     keys = [c for c in cluster_by if c in df.columns]
+    parts = [c for c in (partition_by or ()) if c in df.columns]
+    if parts:
+        # each task writes few partitions; REBALANCE also splits a large one
+        df = df.hint("rebalance", *parts)
     if keys:
         # partition columns first: the writer needs rows ordered by them, and
         # with this prefix it adds no sort of its own that would undo ours
-        df = df.sortWithinPartitions(*[c for c in (partition_by or ()) if c in df.columns], *keys)
+        df = df.sortWithinPartitions(*parts, *keys)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

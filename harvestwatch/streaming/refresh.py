@@ -4,8 +4,8 @@ The published pipeline refreshes by dropping new raw files and re-running
 the batch.  Here a file-source stream picks up only the new files (the
 stream checkpoint remembers which were processed); each micro-batch is
 reduced to monthly *partial* aggregates (sums and counts, which add up) and
-appended to a partials table keyed by batch id, so a retried batch is
-skipped (exactly-once).  The monthly table is a cheap re-aggregation of the
+written to a partials table keyed by batch id, so a retried batch writes its
+own part again (exactly-once).  The monthly table is a cheap re-aggregation of the
 partials, followed by the usual batch steps (lags, quantile flag, master).
 
 Late data is never dropped: there is no watermark, and a late row simply
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import constants as K
 from ..functions import flag_gt, flag_lt, flag_pattern, parse_date, parse_double, std_region
 from ..operators import add_lags, quantile_flag
-from ..sources import EVENTS_RAW, RAINFALL_RAW
+from ..sources import EVENTS_RAW, RAINFALL_RAW, drop_tag_rows, normalised
 
 
 def _event_partials(batch: DataFrame) -> DataFrame:
@@ -67,7 +67,9 @@ def start_refresh(spark: SparkSession, landing_dir: str, partials_dir: str, chec
     reader = spark.readStream.schema(schema).option("header", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    stream = reader.csv(landing_dir)
+    stream = normalised(reader.csv(landing_dir))
+    if kind != "events":
+        stream = drop_tag_rows(stream)
     w = stream.writeStream.foreachBatch(_append_partials(partials_dir, reduce)).option(
         "checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

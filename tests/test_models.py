@@ -55,7 +55,7 @@ def test_price_model_and_importance(spark, feats):
 def test_permutation_importance(spark, feats):
     cols = MQ.feature_columns(feats)
     model = fit_phase(feats, cols, "ipc_phase", trees=10)
-    imp = permutation_importance(model, feats, cols, "ipc_phase", MQ.KEYS, n=100, k=15).collect()
+    imp = permutation_importance(model, feats, cols, "ipc_phase", MQ.KEYS, k=15, bucket_rows=64).collect()
     assert 0 < len(imp) <= 15 and {r.feature for r in imp} <= set(cols)
 
 
@@ -126,3 +126,45 @@ def test_tag_rows_keep_data_rows(spark):
     from harvestwatch.sources import drop_tag_rows
     df = spark.createDataFrame([("#date", "x"), ("2003-01-01", "# noted"), (None, "#y")], "date string, notes string")
     assert drop_tag_rows(df).count() == 2
+
+
+def test_permutation_importance_reads_every_row(spark):
+    from harvestwatch.models.supervised import fit_price
+    df = spark.range(500).selectExpr("id", "double(id % 7) AS a", "double(id % 3) AS b", "double(id % 7) AS y")
+    model = fit_price(df, ["a", "b"], target="y", trees=10)
+    got = {r.feature: r.importance for r in permutation_importance(
+        model, df, ["a", "b"], "y", ["id"], task="regression", k=None, bucket_rows=50).collect()}
+    assert got["a"] > 5 * abs(got["b"]) and got["a"] > 0.5
+
+
+def test_forest_draws_copies_one_by_one(spark):
+    from harvestwatch.models.forest import fit_forest
+    df = spark.range(20000).selectExpr("id", "if(id % 3 = 0, 0D, double(id)) AS x", "double(id % 11) AS z",
+                                       "if(id % 3 = 0, 0, id) AS hot")
+    for keys in (None, ["hot"], ["id"]):
+        nodes = fit_forest(df, ["x", "z"], trees=8, psi=64, keys=keys)
+        sizes = [r["size"] for r in nodes.where("node = 0").collect()]
+        assert len(sizes) == 8 and all(30 < s <= 64 for s in sizes)
+
+
+def test_small_table_is_its_own_subsample(spark):
+    from harvestwatch.models.forest import fit_isolation_forest
+    df = spark.range(100).selectExpr("id", "randn(1) AS a", "randn(2) AS b").cache()
+    model, scored = fit_isolation_forest(df, ["a", "b"], keys=["id"], trees=50)
+    assert model.psi == 100
+    assert abs(scored.agg(F.avg("anomaly_score")).first()[0] - 0.5) < 0.06
+    assert scored.where("is_anomaly = 1").count() == 3
+
+
+def test_price_target_falls_back(spark):
+    from harvestwatch.models.supervised import price_frame
+    rows = spark.range(300).selectExpr("'d' AS district", "cast(1990 + id div 12 AS int) AS year",
+                                       "cast(id % 12 + 1 AS int) AS month")
+    none = rows.selectExpr("*", "cast(null AS double) AS price_change_pct")
+    t, source = price_frame(none)
+    assert source is None and t.count() == 0
+    millet = none.selectExpr("*", "100D + (year - 1990) * 12 + month AS price_millet")
+    t, source = price_frame(millet)
+    assert source == "price_millet" and t.count() == 299
+    first = t.orderBy("year", "month").first()
+    assert abs(first["target_price_change"] - 100 / 101) < 1e-9
