@@ -119,6 +119,12 @@ def predict_price(model: PipelineModel, df: DataFrame, cols) -> DataFrame:
             .drop("features", "prediction"))
 
 
+def without_price(df: DataFrame) -> DataFrame:
+    """The columns of ``predict_price`` where no price could be learnt: no change known."""
+    return (df.withColumn("pred_price_change", F.lit(None).cast("double"))
+            .withColumn("pred_price_direction", price_direction("pred_price_change")))
+
+
 def feature_importance(model: PipelineModel, cols, spark, k: int | None = 15) -> DataFrame:
     """M15 + O4: impurity importances as a (feature, importance) table, top k."""
     imp = model.stages[-1].featureImportances.toArray().tolist()

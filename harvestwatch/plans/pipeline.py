@@ -19,12 +19,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import constants as K
 from ..models import queries as MQ
-from ..session import cut_lineage, materialize_all
+from ..session import cut_lineage, delete_path, materialize_all, path_exists
 from ..models.forest import fit_isolation_forest
+from ..models.metrics import classification_report, regression_metrics
 from ..models.split import hash_split, stratified_split
-from ..models.supervised import fit_phase, fit_price, predict_phase, predict_price, save_model
-from ..operators import (add_lead, filter_abs_le, select_by_keyword, select_covered, select_features,
-                         with_labels)
+from ..models.supervised import (TARGET, fit_phase, fit_price, predict_phase, predict_price, price_frame,
+                                save_model, without_price)
+from ..operators import select_by_keyword, select_covered, select_features, with_labels
 from ..sources import (EVENTS_RAW, PRICES_RAW, RAINFALL_RAW, drop_tag_rows, read_event_pages,
                        read_table, write_feed, write_lines, write_stage)
 from . import reports as R
@@ -50,24 +51,38 @@ def load_raw(spark: SparkSession, paths: dict) -> dict[str, DataFrame]:
 def score_models(features: DataFrame, out_dir: str | None = None, phase_trees: int = 300,
                  price_trees: int = K.FOREST_TREES, forest_trees: int = K.FOREST_TREES) -> DataFrame:
     """Fit the three models on the feature table and attach the prediction
-    columns (notebook names: pred_price_change, anomaly_score)."""
+    columns (notebook names: pred_price_change, anomaly_score).  Where no price
+    has enough values the regressor is left out and no change is predicted.
+    With ``out_dir`` the models are saved and measured on the held-out rows, and
+    the evaluation report is written."""
     keys = ["district", "year", "month"]
     cols = select_features(features, MQ.EXCLUDE)
     split = cut_lineage(stratified_split(features, "ipc_phase", keys, K.TEST_FRACTION, K.SEED))
     phase = fit_phase(split.where(F.col("split") == "train"), cols, "ipc_phase", trees=phase_trees)
-    t = add_lead(features, "price_change_pct", "target_price_change")
-    t = filter_abs_le(t.where(F.col("target_price_change").isNotNull()), "target_price_change", 200)
-    reg_cols = select_covered(t, [c for c in cols if c != "price_change_pct"], 0.5)
-    price = fit_price(hash_split(t, keys).where(F.col("split") == "train"), reg_cols, trees=price_trees)
+    t, source = price_frame(features)
+    price = None
+    if source:
+        reg_cols = select_covered(t, [c for c in cols if c != source], 0.5)
+        t = hash_split(t, keys)
+        price = fit_price(t.where(F.col("split") == "train"), reg_cols, trees=price_trees)
     if out_dir:
         save_model(phase, os.path.join(out_dir, "models", "phase"))
-        save_model(price, os.path.join(out_dir, "models", "price"))
+        at = os.path.join(out_dir, "models", "price")
+        if price:
+            save_model(price, at)
+        else:
+            delete_path(features.sparkSession, at)  # none of an earlier run either
     scored = predict_phase(phase, features, cols)
-    scored = predict_price(price, scored, reg_cols)
+    scored = predict_price(price, scored, reg_cols) if price else without_price(scored)
     anomaly_cols = select_by_keyword(cols, K.ANOMALY_KEYWORDS)
     forest, out = fit_isolation_forest(scored, anomaly_cols, trees=forest_trees, keys=keys)
     if out_dir:
         forest.save(os.path.join(out_dir, "models", "forest"))
+        held_out = predict_phase(phase, split.where(F.col("split") == "test"), cols)
+        errors = predict_price(price, t.where(F.col("split") == "test"), reg_cols) if price else None
+        report = R.model_report(classification_report(cut_lineage(held_out), "ipc_phase", "pred_ipc_phase"),
+                                errors and regression_metrics(errors, TARGET, "pred_price_change"), out)
+        write_lines(report, f"{out_dir}/evaluation")
     return out
 
 
@@ -77,11 +92,12 @@ def score_saved(features: DataFrame, model_dir: str) -> DataFrame:
     from ..models.forest import ForestModel
     from ..models.supervised import load_model
     phase = load_model(os.path.join(model_dir, "phase"))
-    price = load_model(os.path.join(model_dir, "price"))
+    at = os.path.join(model_dir, "price")
+    price = load_model(at) if path_exists(features.sparkSession, at) else None
     forest = ForestModel.load(features.sparkSession, os.path.join(model_dir, "forest"))
     phase_cols = list(phase.stages[1].getInputCols())
-    price_cols = list(price.stages[0].getInputCols())
-    scored = predict_price(price, predict_phase(phase, features, phase_cols), price_cols)
+    scored = predict_phase(phase, features, phase_cols)
+    scored = predict_price(price, scored, price.stages[0].getInputCols()) if price else without_price(scored)
     return forest.transform(scored)
 
 

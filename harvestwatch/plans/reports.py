@@ -190,3 +190,25 @@ def evaluation_lines(metrics: DataFrame) -> DataFrame:
     """Metric report lines from a ``(model, metric, value)`` table."""
     return metrics.select("model", "metric",
                           F.format_string(K.EVALUATION_LINE, "model", "metric", "value").alias("value"))
+
+
+def model_report(classes: DataFrame, errors: DataFrame | None, scored: DataFrame) -> DataFrame:
+    """Evaluation report as ``(seq, value)`` lines, from a classification
+    report, regression metrics (None: no regressor) and the scored table."""
+    one = scored.agg(F.sum("is_anomaly").alias("found"), F.count(F.lit(1)).alias("rows"),
+                     F.count_distinct("region").alias("regions"), F.min("year").alias("y0"), F.max("year").alias("y1"))
+    one = one.withColumn("f1", classes.agg(F.max("weighted_f1")).scalar())
+    if errors is not None:
+        mae, r2 = errors.select("mae", "r2").first()  # † one row
+        one = one.withColumns({"mae": F.lit(mae).cast("double"), "r2": F.lit(r2).cast("double")})
+    price = ([F.format_string(K.REPORT_MAE_LINE, "mae"), F.format_string(K.REPORT_R2_LINE, "r2")]
+             if errors is not None else [F.lit(K.REPORT_NO_PRICE_LINE)])
+    share = F.col("found") * F.lit(100.0) / F.col("rows")
+    rule, blank = F.lit(K.REPORT_RULE), F.lit("")
+    lines = [F.lit(RULE), F.lit(K.REPORT_TITLE), F.lit(RULE), blank,
+             F.lit(K.REPORT_PHASE_HEADER), rule, F.format_string(K.REPORT_F1_LINE, "f1"), blank,
+             F.lit(K.REPORT_PRICE_HEADER), rule, *price, blank,
+             F.lit(K.REPORT_ANOMALY_HEADER), rule, F.format_string(K.REPORT_ANOMALY_LINE, "found", share), blank,
+             F.lit(K.REPORT_DATA_HEADER), rule, F.format_string(K.REPORT_REGIONS_LINE, "regions"),
+             F.format_string(K.REPORT_YEARS_LINE, "y0", "y1"), F.format_string(K.REPORT_ROWS_LINE, "rows")]
+    return one.select(F.posexplode(F.array(*lines)).alias("seq", "value"))

@@ -113,16 +113,24 @@ _written: list[str] = []
 def release_stages(keep: DataFrame) -> None:
     """Delete the stage tables written so far in this session, but for those that
     ``keep`` reads.  For callers whose earlier results have been written out."""
-    spark = keep.sparkSession
-    jvm, used = spark._jvm, "\n".join(keep.inputFiles())
+    spark, used = keep.sparkSession, "\n".join(keep.inputFiles())
     for path in list(_written):
         if path.rsplit("/", 1)[-1] in used:
             continue
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        delete_path(spark, path)
         _written.remove(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A path for a stage table inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)

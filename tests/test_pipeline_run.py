@@ -74,7 +74,9 @@ def test_pipeline_run_rule_scores(spark):
     assert spark.sql("SELECT count(*) FROM features").first()[0] == feats.count()
 
 
-def test_pipeline_run_with_models(spark):
+def test_pipeline_run_with_models(spark, monkeypatch):
+    from harvestwatch import constants as K
+    monkeypatch.setattr(K, "PRICE_TARGET_MIN_ROWS", 50)  # the fixture has 96 district-months
     base = tempfile.mkdtemp(prefix="hw-run-m-")
     paths = _fixtures(base)
     from harvestwatch.plans import pipeline as P
@@ -90,6 +92,9 @@ def test_pipeline_run_with_models(spark):
     assert pred.where(F.col("pred_ipc_phase").isNull()).count() == 0
     assert os.path.isdir(f"{base}/out/models/phase")
 
+    report = [r.value for r in spark.read.text(f"{base}/out/evaluation").collect()]
+    assert len(report) == 22 and any("Weighted F1" in x for x in report) and any("R²" in x for x in report)
+
     rescored = P.score_saved(st["features"], f"{base}/out/models")
     a = {(r.district, r.year, r.month): (r.pred_ipc_phase, r.is_anomaly) for r in pred.collect()}
     b = {(r.district, r.year, r.month): (r.pred_ipc_phase, r.is_anomaly) for r in rescored.collect()}
@@ -103,3 +108,17 @@ def test_cli_run_and_score(spark):
     assert main(["run", "--rainfall", paths["rainfall"], "--prices", paths["prices"],
                  "--events-pages", paths["events_pages"], "--out", f"{base}/out", "--no-models"]) == 0
     assert spark.read.parquet(f"{base}/out/features").count() == len(DISTRICTS) * 24
+
+
+def test_models_without_a_price_series(spark):
+    from harvestwatch.plans import pipeline as P
+    base = tempfile.mkdtemp(prefix="hw-noprice-")
+    st = run(spark, _fixtures(base), f"{base}/out", models=False)
+    prices = [c for c in st["features"].columns if "price" in c]
+    bare = st["features"].withColumns({c: F.lit(None).cast(st["features"].schema[c].dataType) for c in prices})
+    out = P.score_models(bare, f"{base}/bare", phase_trees=5, price_trees=5, forest_trees=5)
+    assert out.count() == bare.count() and out.where("pred_price_change IS NOT NULL").count() == 0
+    again = P.score_saved(bare, f"{base}/bare/models")
+    assert again.where("pred_price_change IS NULL").count() == bare.count()
+    report = [r.value for r in spark.read.text(f"{base}/bare/evaluation").collect()]
+    assert any("no price" in x for x in report)
