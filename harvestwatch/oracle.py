@@ -1,14 +1,15 @@
 """DuckDB SQL for every registered query (the correctness oracle).
 
-Written independently of the Spark code, as plain SQL over the benchmark
-tables.  Literals that mix with doubles carry ``::DOUBLE`` (a bare ``0.3`` is
+Plain SQL over the benchmark tables.  Calendars, families, labels, actions and
+thresholds are written out here a second time, so that a wrong value in
+``constants`` shows as a mismatch; message texts and line formats of the report
+queries, and the stand-in parameters, are shared.  Literals that mix with doubles carry ``::DOUBLE`` (a bare ``0.3`` is
 DECIMAL).  Formats that Spark renders with Java's half-up rounding are
 emulated by rounding a DECIMAL first.
 """
 
 from __future__ import annotations
 
-from . import constants as K
 from .plans import standin as S
 
 
@@ -76,27 +77,38 @@ def r6(sql: str, text_cols=()) -> str:
 NORTH = _in(S.STANDIN_NORTH)
 VULN = _in(S.STANDIN_VULNERABLE)
 COAST = _in(S.STANDIN_COASTAL)
-FAMILIES = [name for _, name in K.COMMODITY_FAMILIES]
+FAMILIES = ["price_maize", "price_millet", "price_sorghum", "price_rice", "price_cowpeas", "price_groundnuts"]
 
 
 def _season_sql() -> str:
-    def cal(seasons):
-        w = " ".join(f"WHEN month IN ({', '.join(str(m) for m in ms)}) THEN '{name}'" for ms, name in seasons)
-        return f"CASE {w} ELSE 'lean' END"
-    return (f"CASE WHEN coalesce(region IN {NORTH}, false) THEN {cal(K.NORTH_SEASONS)} "
-            f"ELSE {cal(K.SOUTH_SEASONS)} END")
+    return (f"CASE WHEN coalesce(region IN {NORTH}, false) THEN "
+            "CASE WHEN month BETWEEN 3 AND 5 THEN 'pre_planting' WHEN month IN (6, 7) THEN 'planting' "
+            "WHEN month IN (8, 9) THEN 'growing' WHEN month IN (10, 11) THEN 'harvest' ELSE 'lean' END "
+            "ELSE CASE WHEN month IN (3, 4) THEN 'planting_s1' WHEN month IN (5, 6) THEN 'growing_s1' "
+            "WHEN month = 7 THEN 'harvest_s1' WHEN month = 8 THEN 'inter_season' "
+            "WHEN month IN (9, 10) THEN 'growing_s2' WHEN month = 11 THEN 'harvest_s2' ELSE 'lean' END END")
 
 
-_KW = " OR ".join(f"contains(lower(commodity_clean), '{k.lower()}')" for k in K.COMMODITY_KEYWORDS)
-_FAM = "CASE " + " ".join(f"WHEN contains(lower(commodity_clean), '{kw}') THEN '{name}'"
-                          for kw, name in K.COMMODITY_FAMILIES) + " END"
+_KW = "regexp_matches(lower(commodity_clean), 'maize|millet|sorghum|rice|cowpeas|groundnuts')"
+_FAM = ("CASE WHEN commodity_clean ILIKE '%maize%' THEN 'price_maize' "
+        "WHEN commodity_clean ILIKE '%millet%' THEN 'price_millet' "
+        "WHEN commodity_clean ILIKE '%sorghum%' THEN 'price_sorghum' "
+        "WHEN commodity_clean ILIKE '%rice%' THEN 'price_rice' "
+        "WHEN commodity_clean ILIKE '%cowpea%' THEN 'price_cowpeas' "
+        "WHEN commodity_clean ILIKE '%groundnut%' THEN 'price_groundnuts' END")
 _WIDE = ",\n    ".join(f"avg(price) FILTER (WHERE fam = '{f}') AS {f}" for f in FAMILIES)
 _PRICE_COLS = ", ".join(f"p.{f}" for f in FAMILIES)
-_SEASON_DUMMIES = ",\n    ".join(f"coalesce(season_phase = '{v}', false) AS season_{v}" for v in K.SEASON_PHASES)
-_LABEL = _case_map("pred_ipc_phase", K.PHASE_LABELS)
-_ACTION_SHORT = _case_map("pred_ipc_phase", K.PHASE_ACTIONS_SHORT)
-_ACTION_LONG = _case_map("pred_ipc_phase", K.PHASE_ACTIONS_LONG)
-_ICON = f"coalesce({_case_map('pred_ipc_phase', K.PHASE_ICONS)}, '{K.DEFAULT_ICON}')"
+_SEASON_DUMMIES = ",\n    ".join(f"coalesce(season_phase = '{v}', false) AS season_{v}" for v in (
+    "growing", "growing_s1", "growing_s2", "harvest", "harvest_s1", "harvest_s2", "inter_season", "lean", "planting",
+    "planting_s1", "pre_planting"))
+_LABEL = _case_map("pred_ipc_phase", {1: "Minimal", 2: "Stressed", 3: "Crisis", 4: "Emergency"})
+_ACTION_SHORT = _case_map("pred_ipc_phase", {
+    1: "Monitor", 2: "Alert field teams — pre-position supplies", 3: "Deploy food stocks and vouchers",
+    4: "EMERGENCY — cash transfers NOW"})
+_ACTION_LONG = _case_map("pred_ipc_phase", {
+    1: "No action needed — continue monitoring", 2: "Alert field teams — pre-position supplies",
+    3: "Deploy food stocks and vouchers immediately", 4: "EMERGENCY — deploy cash transfers NOW"})
+_ICON = "CASE pred_ipc_phase WHEN 1 THEN '🟢' WHEN 2 THEN '🟡' WHEN 3 THEN '🟠' WHEN 4 THEN '🔴' ELSE '⚪' END"
 
 FILL_COLS = ("rainfall_anomaly_lag1", "rainfall_anomaly_lag2", "rainfall_anomaly_lag3", "price_lag1",
              "rainfall_rolling_3m", "rainfall_rolling_6m", "price_change_lag1", "price_change_lag2",
@@ -151,7 +163,7 @@ ev_raw AS (
   SELECT printf('%d-%d', l_orderkey, l_linenumber) AS event_id_cnty, CAST(l_shipdate AS DATE) AS date,
          trim(r_name) AS region, coalesce(CAST(l_quantity AS DOUBLE), 0.0::DOUBLE) AS fatalities,
          CAST(coalesce(regexp_matches(lower({_case_map('l_returnflag', S.STANDIN_EVENT_TYPE)}),
-                                      '{K.FLOOD_EVENT_PATTERN}'), false) AS INTEGER) AS is_flood_event
+                                      'flood|displacement|displaced'), false) AS INTEGER) AS is_flood_event
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN geo ON s_nationkey = n_nationkey),
 ev_month AS (
   SELECT region, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
@@ -184,7 +196,7 @@ joined AS (
 seasoned AS (
   SELECT *, {_season_sql()} AS season_phase FROM joined),
 ruled AS (
-  SELECT *, CAST(coalesce(season_phase IN {_in(K.LEAN_PHASES)}, false) AS INTEGER) AS is_lean_season,
+  SELECT *, CAST(coalesce(season_phase IN ('lean', 'pre_planting'), false) AS INTEGER) AS is_lean_season,
          CASE WHEN coalesce(region IN {VULN}, false) THEN 2 ELSE 1 END AS district_vulnerability
   FROM seasoned),
 scored_rule AS (
@@ -266,8 +278,8 @@ pred0 AS (
   FROM features),
 pred1 AS (
   SELECT *, {_LABEL} AS pred_ipc_label, {_ACTION_SHORT} AS pred_ipc_action,
-         CASE WHEN pred_price_change > 5.0::DOUBLE THEN '{K.RISING}'
-              WHEN pred_price_change < -5.0::DOUBLE THEN '{K.FALLING}' ELSE '{K.STABLE}' END AS pred_price_direction
+         CASE WHEN pred_price_change > 5.0::DOUBLE THEN '↑ Rising'
+              WHEN pred_price_change < -5.0::DOUBLE THEN '↓ Falling' ELSE '→ Stable' END AS pred_price_direction
   FROM pred0),
 scored AS (
   SELECT *, CAST(coalesce(anomaly_score > (SELECT quantile_cont(anomaly_score, 0.97) FROM pred1), false)

@@ -943,6 +943,95 @@ def q_conflict_streamed(spark, sf):
     return conflict_from_partials(spark, f"{base}/partials")
 
 
+def _landing(spark) -> str:
+    import uuid
+    from .session import stage_path
+    return stage_path(spark, "landing-" + uuid.uuid4().hex)
+
+
+@register("landed_pages", O.q(
+    "SELECT region, CAST(year(date) AS INTEGER) AS year, count(*) AS n_rows, "
+    "count(event_id_cnty) AS n_events, sum(fatalities) AS fatalities FROM ev_raw GROUP BY 1, 2", ("region",)))
+def q_landed_pages(spark, sf):
+    """Events landed as JSON pages, read back and appended."""
+    from .sources import EVENT_FIELDS, read_event_pages
+    ev = S.events_raw(spark, sf)
+    cells = [(F.col(f).cast("string") if f in ev.columns else F.lit(None).cast("string")).alias(f)
+             for f in EVENT_FIELDS]
+    path = _landing(spark)
+    ev.select(F.array(F.struct(*cells)).alias("data")).write.json(path)  # a page per line, landed without a shuffle
+    got = read_event_pages(spark, path, multiline=False)
+    return got.groupBy(F.trim("admin1").alias("region"), F.year(parse_date("event_date")).alias("year")).agg(
+        F.count("*").alias("n_rows"), F.count("event_id_cnty").alias("n_events"),
+        F.sum(parse_double("fatalities")).alias("fatalities"))
+
+
+@register("landed_csv", O.q(
+    "SELECT region, district, count(*) AS n, min(date) AS date_min, max(date) AS date_max, sum(rfh) AS rfh FROM rain_raw "
+    "WHERE contains(lower(region), 'ame') GROUP BY 1, 2",
+    ("region", "district", "date_min", "date_max")))
+def q_landed_csv(spark, sf):
+    """Rainfall landed as CSV with a tag row (a second landing does nothing), read back
+    as text, the tag row dropped, one country kept."""
+    from .sources import RAINFALL_RAW, drop_tag_rows, read_table, save_if_absent, subset_country
+    rain = S.rain_raw(spark, sf)
+    rain = rain.select(*[(F.col(f.name).cast("string") if f.name in rain.columns else F.lit(None).cast("string"))
+                         .alias(f.name) for f in RAINFALL_RAW])
+    tag = spark.createDataFrame([("#date", "#adm1", "#adm2", "#rain", *[None] * 8)], RAINFALL_RAW)
+    path = _landing(spark)
+    for _ in range(2):
+        rain.unionByName(tag).write.mode("ignore").option("header", True).csv(path)
+    kept = _landing(spark)
+    for _ in range(2):
+        save_if_absent(subset_country(drop_tag_rows(read_table(spark, path, RAINFALL_RAW)), "ame", "adm1_name"), kept)
+    got = read_table(spark, kept, fmt="parquet")
+    return got.groupBy(F.trim("adm1_name").alias("region"), F.trim("adm2_name").alias("district")).agg(
+        F.count("*").alias("n"), F.min(parse_date("date")).alias("date_min"),
+        F.max(parse_date("date")).alias("date_max"), F.sum(parse_double("rfh")).alias("rfh"))
+
+
+@register("label_index", O.q(
+    "SELECT district, year, month, ipc_phase, CAST(dense_rank() OVER (ORDER BY ipc_phase) - 1 AS DOUBLE) AS label_idx "
+    "FROM features", ("district",)))
+def q_label_index(spark, sf):
+    """M1: contiguous index of the phases that occur."""
+    from pyspark.ml.feature import StringIndexer
+    f = S.features(spark, sf).select("district", "year", "month", "ipc_phase", F.col("ipc_phase").cast("string").alias("label"))
+    return StringIndexer(inputCol="label", outputCol="label_idx", stringOrderType="alphabetAsc").fit(f).transform(f).drop("label")
+
+
+_SCALED = ("rainfall_anomaly_pct", "price_change_pct", "conflict_events")
+
+
+@register("standardise", O.q(
+    "SELECT district, year, month, " + ", ".join(
+        f"(coalesce({c}, 0) - avg(coalesce({c}, 0)) OVER ()) / stddev_pop(coalesce({c}, 0)) OVER () AS z_{c}"
+        for c in ("rainfall_anomaly_pct", "price_change_pct", "conflict_events")) + " FROM features", ("district",)))
+def q_standardise(spark, sf):
+    """M7: mean 0 and population deviation 1, missing values as 0."""
+    from .models.forest import apply_scaler, fit_scaler
+    f = S.features(spark, sf)
+    return apply_scaler(f, fit_scaler(f, _SCALED)).select("district", "year", "month", *[f"z_{c}" for c in _SCALED])
+
+
+_CHOICE = ("rainfall_mm", "price_change_pct", "price_volatility_3m", "flood_flag", "drought_flag", "month")
+
+
+@register("feature_choice", O.q(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, min({c}) < max({c}) AS varies, "
+        f"count({c}) * 1.0::DOUBLE / count(*) > 0.99::DOUBLE AS covered FROM features"
+        for c in ("rainfall_mm", "price_change_pct", "price_volatility_3m", "flood_flag", "drought_flag", "month")),
+    round6=False))
+def q_feature_choice(spark, sf):
+    """Which columns vary, and which are known in over 99 % of rows."""
+    from .operators import select_covered, select_features
+    f = S.features(spark, sf).select(*_CHOICE)
+    varies, covered = select_features(f), select_covered(f, _CHOICE, 0.99)
+    return spark.createDataFrame([(c, c in varies, c in covered) for c in _CHOICE],
+                                 "feature string, varies boolean, covered boolean")
+
+
 # ---- 15. remaining dashboard chart tables (A10, A11, A15) --------------------------
 
 @register("mean_phase_by_month", O.q("SELECT month, avg(pred_ipc_phase) AS mean_pred_ipc_phase FROM scored "

@@ -73,15 +73,16 @@ def subset_country(df: DataFrame, name: str, column: str | None = None) -> DataF
     return df.filter(F.coalesce(F.lower(F.col(column)).contains(name.lower()), F.lit(False)))
 
 
-def read_event_pages(spark: SparkSession, path: str, dedupe: bool = False) -> DataFrame:
+def read_event_pages(spark: SparkSession, path: str, dedupe: bool = False, multiline: bool = True) -> DataFrame:
     """Landed JSON pages (``{"data": [...]}``, one file per page)
-    read in parallel with an explicit schema and exploded into event rows.
+    read in parallel with an explicit schema and exploded into event rows; without
+    ``multiline`` a file holds a page per line and large files are split.
 
     Missing-value tokens become NULL, as in a table scan.  Pages are only appended; with ``dedupe`` one row per event id stays, and all
     rows without an id.  De-duplication is a hash aggregate with map-side partial
     aggregation, so even if one id had a third of all copies, each task ships
     one row per id."""
-    pages = spark.read.schema(EVENT_PAGE).option("multiLine", True).json(path)
+    pages = spark.read.schema(EVENT_PAGE).option("multiLine", multiline).json(path)
     rows = normalised(pages.select(F.explode("data").alias("e")).select("e.*"))
     if dedupe:
         known = F.col("event_id_cnty").isNotNull()
