@@ -77,6 +77,9 @@ class Tree:
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
+    # a power of two is taken out first, so that squares neither overflow nor vanish
+    _, power = np.frexp(np.abs(vectors).max(axis=1, keepdims=True, initial=0.0))
+    vectors = np.ldexp(vectors, -power)
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 

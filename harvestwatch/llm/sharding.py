@@ -7,13 +7,14 @@ hash of its key; where that shard is full it goes on clockwise to the next node
 of a shard with room.  With loads bounded by the mean (``slack = 0``) all counts
 are at most one apart, and only the overflow of a full shard leaves its place.
 
-Scale: rows are counted per place of the ring (the hash's slot and a row salt,
-so that a key holding a third of the rows spreads over ``SALTS`` cells).  That
-histogram is bounded by ``SLOTS * SALTS`` whatever the input; the driver walks
-it once and says which ranks of which cell go to which shard.  Rows get their
-rank within the cell, so no window is larger than a cell, and join that plan,
-whose size is bounded likewise.  The salt is written before it is used, so a
-redone task sees the same one.
+Scale: rows are counted per slot of the ring, and each slot is salted into as
+many cells as its share of all rows asks for, so a key holding a third of the
+rows spreads over a third of the ``CELLS``.  That histogram is bounded by ``CELLS
++ SLOTS`` whatever the input; the driver walks it once and says which ranks of
+which cell go to which shard.  Rows get their rank within the cell, so no window
+is larger than a cell (about one part in ``CELLS`` of all rows), and join that
+plan, whose size is bounded likewise.  What the salt is made from is written
+before it is used, so a redone task sees the same one.
 
 Defined results: a null text has no bytes and size 1; null keys hash like one
 key; repeated rows are placed one by one; an empty table gives no rows; extra
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ._common import cut_lineage, prepare, table
 
-SLOTS, SALTS, NODES = 4096, 8, 64
+SLOTS, CELLS, NODES = 4096, 32768, 64
 
 
 def ring(shards: int, nodes: int = NODES) -> list[tuple[int, int]]:
@@ -76,22 +77,34 @@ def plan(cells: list[tuple[int, int, int]], shards: int, slack: float = 0.0) ->
     return out
 
 
+def salted(numbered: DataFrame) -> DataFrame:
+    """Add ``__salt``: rows (``__slot``, ``__row``) of a slot dealt to cells of like size."""
+    sizes = [(r["__slot"], r["count"]) for r in numbered.groupBy("__slot").count().collect()]  # at most SLOTS rows
+    total = sum(n for _, n in sizes)
+    cells = numbered.sparkSession.createDataFrame(
+        [(slot, -(-n * CELLS // total)) for slot, n in sizes], "c_slot int, c_cells int")
+    joined = numbered.join(F.broadcast(cells), F.col("__slot") == F.col("c_slot"))
+    return joined.withColumn("__salt", F.pmod(F.xxhash64("__row"), F.col("c_cells")).cast("int")).drop(
+        "c_slot", "c_cells")
+
+
 def assign(df: DataFrame, key: str, shards: int, slack: float = 0.0) -> DataFrame:
     """Add ``shard`` (int) and ``slot`` (long, gapless from 0 in each shard).
     The columns of ``df`` order the rows of a cell, so they should be narrow."""
     spark = df.sparkSession
     columns = df.columns
-    placed = cut_lineage(df.withColumn(
+    numbered = cut_lineage(df.withColumn(
         "__slot", F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")).withColumn(
-        "__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")))
-    counts = placed.groupBy("__slot", "__salt").count().collect()  # at most SLOTS * SALTS rows
+        "__row", F.monotonically_increasing_id()))
+    placed = salted(numbered)
+    counts = placed.groupBy("__slot", "__salt").count().collect()  # at most CELLS + SLOTS rows
     pieces = plan([(r["__slot"], r["__salt"], r["count"]) for r in counts], shards, slack)
     plan_df = spark.createDataFrame(
         pieces, "p_slot int, p_salt int, p_first long, p_last long, p_shard int, p_base long")
     ranked = placed.withColumn("__rank", F.row_number().over(
         Window.partitionBy("__slot", "__salt").orderBy(*columns)).cast("long") - 1)
     joined = ranked.join(
-        F.broadcast(plan_df),  # at most SLOTS * SALTS + shards ** 2 rows
+        F.broadcast(plan_df),  # at most CELLS + SLOTS + shards ** 2 rows
         (F.col("__slot") == F.col("p_slot")) & (F.col("__salt") == F.col("p_salt"))
         & F.col("__rank").between(F.col("p_first"), F.col("p_last")))
     return joined.select(*columns, F.col("p_shard").alias("shard"),

@@ -8,7 +8,8 @@ labelled urls) and judge the rest.
 
 Scale: urls are read once (only that column), features are column expressions.
 The trees are fitted to at most about ``MAX_TRAIN`` labelled urls, a documented
-bound, chosen by a hash of the url; suffix statistics count all labelled urls,
+bound, chosen by a hash of page and url (so the copies of a hot url are chosen
+one by one); suffix statistics count all labelled urls,
 are combined before the shuffle, and are joined on the suffix (adaptive
 execution broadcasts or splits by what it measured).
 
@@ -21,6 +22,7 @@ no rows.
 
 from __future__ import annotations
 
+import math
 import string
 
 from pyspark.ml.classification import GBTClassifier
@@ -110,7 +112,7 @@ def judge(df: DataFrame, rules=RULES, max_train: int = MAX_TRAIN) -> DataFrame:
     else:
         share = min(1.0, max_train / sum(seen.values()))
         train = ready.filter(F.col("rule_verdict").isNotNull()
-                             & (F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < int(share * (1 << 20)))).select(
+                             & (F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 40)) < math.ceil(share * (1 << 40)))).select(
             "features", F.when(F.col("rule_verdict") == "block", 1.0).otherwise(0.0).alias("label"))
         model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=5, maxBins=32, cacheNodeIds=False).fit(
             cut_lineage(train))

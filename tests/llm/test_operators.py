@@ -154,6 +154,10 @@ def test_url_rules(spark):
     assert all(got[i]["verdict"] in ("allow", "block") for i in got) and got[2]["verdict"] == "block"
     assert urls.judge(df.limit(0)).count() == 0
     assert {r["verdict"] for r in urls.judge(df.filter("page_id > 4")).collect()} == {"allow"}
+    hot = spark.range(3000).select("id", F.when(F.col("id") < 2000, "http://a.net/es/1").otherwise(
+        F.concat(F.lit("http://b.com/"), "id")).alias("url")).withColumnRenamed("id", "page_id")
+    got = Counter(r["verdict"] for r in urls.judge(hot, max_train=300).collect())
+    assert got == {"block": 2000, "allow": 1000}
 
 
 def test_langid(spark):
@@ -187,6 +191,10 @@ def test_sharding(spark):
     got = Counter(r["shard"] for r in sharding.assign(hot, "doc_id", 8).collect())
     assert len(got) == 8 and max(got.values()) - min(got.values()) <= 1
     assert sharding.assign(hot.limit(0), "doc_id", 8).count() == 0
+    third = spark.range(30000).select((F.when(F.col("id") % 3 > 0, F.col("id"))).alias("doc_id"))
+    cells = sharding.salted(third.withColumn("__slot", F.pmod(F.xxhash64("doc_id"), F.lit(sharding.SLOTS)).cast(
+        "int")).withColumn("__row", F.monotonically_increasing_id())).groupBy("__slot", "__salt").count().collect()
+    assert sum(r["count"] for r in cells) == 30000 and max(r["count"] for r in cells) < 30
     nodes = sharding.ring(8)
     alone = sharding.plan([(s, 0, 1) for s in range(0, 4096, 8)], 8, slack=100.0)
     own = sharding.owners(nodes, [1] * 8)
@@ -261,6 +269,10 @@ def test_embeddings_edges(spark, monkeypatch):
     assert got.pop(1) == got.pop(2) == got.pop(11) == (2, 1)
     assert all(v == (0, k) for k, v in got.items())
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
+    far = [(1, [1e300, 1e299]), (2, [2e300, 2e299]), (3, [1e-300, 1e-301]), (4, [-1e300, 1e299]), (5, [5e-324, 0.0])]
+    far = spark.createDataFrame([(*r, 1) for r in far], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_duplicates(far).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (0, 4), 5: (3, 1)}
     monkeypatch.setattr(embeddings, "LIMIT", 10)
     rng = np.random.default_rng(1)
     near = [(i, (np.ones(8) + 0.01 * rng.standard_normal(8)).tolist(), 1) for i in range(40)]
