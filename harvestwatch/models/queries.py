@@ -6,12 +6,14 @@ the shared checkpoint folder) because training makes several passes over it.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..operators import select_by_keyword, select_covered, select_features
 from ..plans import standin as S
-from ..session import cut_lineage
+from ..session import cut_lineage, stage_path
 from .forest import isolation_forest
 from .importance import permutation_importance
 from .metrics import classification_report, regression_metrics
@@ -96,6 +98,16 @@ def q_permutation_importance(spark, sf, trees: int = 300):
     return permutation_importance(model, split.where(F.col("split") == "test"), cols, "ipc_phase", KEYS)
 
 
+def q_saved_scores(spark, sf):
+    """The feature table scored with models that were saved and loaded."""
+    from ..plans.pipeline import score_models, score_saved
+    f, base = _features(spark, sf), stage_path(spark, "models-" + uuid.uuid4().hex)
+    score_models(f, base)
+    return score_saved(f, f"{base}/models").select(
+        *KEYS, "pred_ipc_phase", "pred_ipc_confidence", "pred_price_change", "pred_price_direction",
+        "anomaly_score", "is_anomaly")
+
+
 MODEL_QUERIES = {
     "stratified_split": q_stratified_split,
     "phase_model": q_phase_model,
@@ -105,4 +117,5 @@ MODEL_QUERIES = {
     "isolation_forest": q_isolation_forest,
     "importance": q_importance,
     "permutation_importance": q_permutation_importance,
+    "saved_scores": q_saved_scores,
 }

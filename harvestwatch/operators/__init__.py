@@ -12,7 +12,7 @@ from .slices import (period_index, latest_period, trailing_months, top_k, sample
                      filter_positive, filter_abs_le, filter_panel, fill_zero,
                      lag_rolling_flag_columns, col_or, one_hot, month_cycle, time_trend,
                      select_features, select_covered, select_by_keyword, first_viable,
-                     display_projection, project, FEED_COLUMNS, SNAPSHOT_COLUMNS,
+                     display_projection, FEED_COLUMNS, SNAPSHOT_COLUMNS,
                      DOWNLOAD_COLUMNS)
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -165,7 +165,3 @@ SNAPSHOT_COLUMNS = ("district", "region", "pred_ipc_phase", "pred_ipc_label",
 DOWNLOAD_COLUMNS = ("district", "region", "pred_ipc_phase", "pred_ipc_label",
                     "pred_ipc_confidence", "pred_ipc_action", "pred_price_direction",
                     "is_anomaly", "compound_risk_score")
-
-
-def project(df: DataFrame, cols) -> DataFrame:
-    return df.select(*cols)

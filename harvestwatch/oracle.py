@@ -1,16 +1,16 @@
 """DuckDB SQL for every registered query (the correctness oracle).
 
 Plain SQL over the benchmark tables.  Calendars, families, labels, actions and
-thresholds are written out here a second time, so that a wrong value in
-``constants`` shows as a mismatch; message texts and line formats of the report
-queries, and the stand-in parameters, are shared.  Literals that mix with doubles carry ``::DOUBLE`` (a bare ``0.3`` is
+thresholds are written out here, texts, formats and stand-in parameters in
+``oracle_values``, so that a wrong value in the code under test shows as a
+mismatch.  Literals that mix with doubles carry ``::DOUBLE`` (a bare ``0.3`` is
 DECIMAL).  Formats that Spark renders with Java's half-up rounding are
 emulated by rounding a DECIMAL first.
 """
 
 from __future__ import annotations
 
-from .plans import standin as S
+from . import oracle_values as V
 
 
 def _in(vals) -> str:
@@ -74,9 +74,9 @@ def r6(sql: str, text_cols=()) -> str:
     return f"SELECT round(COLUMNS(*), 6) FROM ({sql}) q"
 
 
-NORTH = _in(S.STANDIN_NORTH)
-VULN = _in(S.STANDIN_VULNERABLE)
-COAST = _in(S.STANDIN_COASTAL)
+NORTH = _in(V.STANDIN_NORTH)
+VULN = _in(V.STANDIN_VULNERABLE)
+COAST = _in(V.STANDIN_COASTAL)
 FAMILIES = ["price_maize", "price_millet", "price_sorghum", "price_rice", "price_cowpeas", "price_groundnuts"]
 
 
@@ -136,7 +136,7 @@ rainfall AS (
   FROM rain_anom),
 price_raw AS (
   SELECT CAST(l_shipdate AS DATE) AS date, trim(r_name) AS region,
-         trim({_case_map('p_type', S.STANDIN_COMMODITY)}) AS commodity_clean,
+         trim({_case_map('p_type', V.STANDIN_COMMODITY)}) AS commodity_clean,
          l_extendedprice / l_quantity AS price
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN geo ON s_nationkey = n_nationkey
        JOIN part ON l_partkey = p_partkey),
@@ -162,7 +162,7 @@ prices AS (
 ev_raw AS (
   SELECT printf('%d-%d', l_orderkey, l_linenumber) AS event_id_cnty, CAST(l_shipdate AS DATE) AS date,
          trim(r_name) AS region, coalesce(CAST(l_quantity AS DOUBLE), 0.0::DOUBLE) AS fatalities,
-         CAST(coalesce(regexp_matches(lower({_case_map('l_returnflag', S.STANDIN_EVENT_TYPE)}),
+         CAST(coalesce(regexp_matches(lower({_case_map('l_returnflag', V.STANDIN_EVENT_TYPE)}),
                                       'flood|displacement|displaced'), false) AS INTEGER) AS is_flood_event
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN geo ON s_nationkey = n_nationkey),
 ev_month AS (

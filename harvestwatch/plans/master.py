@@ -40,3 +40,10 @@ def build_master(rain: DataFrame, prices: DataFrame | None, conflict: DataFrame
     rainfall value or key are dropped (the filter is pushed below the joins)."""
     spine = require(rain, MASTER_KEYS)
     return with_rules(join_master(spine, prices, conflict), north, vulnerable)
+
+
+def rain_only_master(rain: DataFrame, north=K.NORTH_REGIONS) -> DataFrame:
+    """The rows of the master table with rainfall and season: prices and events
+    join the spine on unique keys, so they neither add nor drop rows."""
+    spine = require(rain, MASTER_KEYS).withColumn("season_phase", season_phase("region", "month", north))
+    return spine.withColumn("is_lean_season", is_lean_season("season_phase"))

@@ -104,11 +104,6 @@ def document_order():
     return [F.col(c) for c in ("part", "k_phase", "region", "district", "year", "month", "line_no")]
 
 
-def bulletin_order():
-    return [F.col("pred_ipc_phase").desc(), F.col("region"), F.col("district"),
-            F.col("year"), F.col("month"), F.col("line_no")]
-
-
 def _fmt1(c) -> Column:
     return F.format_string("%4.1f", c)
 

@@ -26,7 +26,7 @@ from ..sources.driver import table
 from .clean import (clean_conflict, clean_conflict_from_monthly, clean_prices, clean_rainfall,
                     monthly_events_stage_from_raw)
 from .features import build_features
-from .master import build_master
+from .master import build_master, rain_only_master
 
 # Stand-in parameters: region groups over the benchmark's five region names,
 # chosen so every season, vulnerability and region-type branch is reached.
@@ -146,6 +146,12 @@ def master(spark: SparkSession, sf_dir: str) -> DataFrame:
                         vulnerable=STANDIN_VULNERABLE)
 
 
+def rain_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``master`` with their rainfall columns and season only: for
+    queries that ask for no prices or events, whose raw rows are not read."""
+    return rain_only_master(rainfall_monthly(spark, sf_dir), north=STANDIN_NORTH)
+
+
 def features(spark: SparkSession, sf_dir: str, profile_key: str = "region") -> DataFrame:
     # cut: scoring and report queries reference the feature panel several
     # times (anomaly threshold, latest period, trailing window subqueries)

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from . import constants as K
 from . import oracle as O
+from . import oracle_values as V
 from .functions import flag_pattern, matches_any, parse_date, parse_double, std_region
 from .operators import (add_lead, count_where_by, distribution, entity_profile,
                         filter_abs_le, filter_panel, histogram, kpis, latest_period, mean_by,
@@ -23,6 +24,7 @@ from .plans import reports as R
 from .plans import scenario as SC
 from .plans import standin as S
 from .plans.predict import rule_scores
+from .session import cut_lineage
 from .sources.driver import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,6 +175,37 @@ def q_json_value(spark, sf):
     return ev.select("event_id", F.from_json("props", "k BIGINT")["k"].alias("k"))
 
 
+_RAW_REGIONS = (" Accra ", "Kumasi", "Brong-Ahafo", "Brong Ahafo", "Ho", "Wa", "Sunyani", "Cape Coast",
+                "Sekondi-Takoradi", "Tamale", "Bolgatanga", "Koforidua", "Bono East", " Nowhere ", None)
+
+
+@register("std_region_aliases", O.q(
+    "SELECT c_custkey, ['Greater Accra', 'Ashanti', 'Bono', 'Bono', 'Volta', 'Upper West', 'Bono', 'Central', 'Western', "
+    "'Northern', 'Upper East', 'Eastern', 'Bono East', 'Nowhere', 'Unknown'][c_custkey % 15 + 1] AS region FROM customer",
+    ("region",)))
+def q_std_region_aliases(spark, sf):
+    """P5: aliases, padded, unmapped and missing names, dealt over the customers."""
+    raw = F.get(F.array(*[F.lit(r).cast("string") for r in _RAW_REGIONS]), F.pmod("c_custkey", F.lit(15)).cast("int"))
+    return table(spark, sf, "customer").select("c_custkey", std_region(raw).alias("region"))
+
+
+@register("safe_parse_dirty", O.q(
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 6 IN (0, 1, 5) THEN CAST(o_orderdate AS DATE) END AS order_date, "
+    "CASE o_orderkey % 6 WHEN 0 THEN o_orderkey::DOUBLE WHEN 3 THEN 1000.0::DOUBLE WHEN 5 THEN 12.5::DOUBLE END AS number "
+    "FROM orders", ("order_date",)))
+def q_safe_parse_dirty(spark, sf):
+    """Cells as they come in raw files; what cannot be read is null."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").cast("string").alias("d"))
+    kind = F.pmod("o_orderkey", F.lit(6)).cast("int")
+
+    def dealt(*cells):
+        return F.get(F.array(*cells), kind)
+    dates = dealt(F.col("d"), F.concat("d", F.lit(" 00:00:00")), F.lit("not a date"), F.lit(""), F.lit("2001-02-30"),
+                  F.concat(F.lit(" "), "d", F.lit(" ")))
+    numbers = dealt(F.col("o_orderkey").cast("string"), F.lit("n/a"), F.lit("nan"), F.lit("1e3"), F.lit("1,234"), F.lit(" 12.5 "))
+    return o.select("o_orderkey", parse_date(dates).alias("order_date"), parse_double(numbers).alias("number"))
+
+
 # ---- 5. master and rules: J1, R1-R6, R8 --------------------------------------
 
 _MASTER_COLS = ("region, district, year, month, rainfall_mm, rainfall_anomaly_pct, flood_flag, drought_flag, "
@@ -192,7 +225,7 @@ def q_master_join(spark, sf):
 @register("season_phase", O.q("SELECT district, year, month, region, season_phase, is_lean_season FROM master",
                               ("district", "region", "season_phase")))
 def q_season_phase(spark, sf):
-    return S.master(spark, sf).select("district", "year", "month", "region", "season_phase", "is_lean_season")
+    return S.rain_spine(spark, sf).select("district", "year", "month", "region", "season_phase", "is_lean_season")
 
 
 @register("ipc_rule", O.q("SELECT district, year, month, district_vulnerability, ipc_phase FROM master",
@@ -312,13 +345,13 @@ def q_kpis(spark, sf):
 @register("mean_by_year", O.q("SELECT year, avg(rainfall_anomaly_pct) AS mean_rainfall_anomaly_pct "
                               "FROM master GROUP BY year"))
 def q_mean_by_year(spark, sf):
-    return mean_by(S.master(spark, sf), "year", "rainfall_anomaly_pct")
+    return mean_by(S.rain_spine(spark, sf), "year", "rainfall_anomaly_pct")
 
 
 @register("flood_rate_by_month", O.q("SELECT month, avg(flood_flag) * 100.0::DOUBLE AS flood_rate "
                                      "FROM master GROUP BY month"))
 def q_flood_rate_by_month(spark, sf):
-    return mean_by(S.master(spark, sf), "month", "flood_flag", "flood_rate", scale=100.0)
+    return mean_by(S.rain_spine(spark, sf), "month", "flood_flag", "flood_rate", scale=100.0)
 
 
 @register("period_series", O.q(
@@ -421,6 +454,26 @@ def q_alert_feed(spark, sf):
     return R.alert_feed(scored(spark, sf), 12)
 
 
+@register("feed_order", O.q(
+    "SELECT district, year, month, row_number() OVER (PARTITION BY year, month ORDER BY pred_ipc_phase DESC, district) "
+    "AS position FROM recent", ("district",)))
+def q_feed_order(spark, sf):
+    """O1: the place of each row of the feed in its month."""
+    rows = R.alert_feed(scored(spark, sf), 12)
+    place = F.row_number().over(Window.partitionBy("year", "month").orderBy(*R.feed_order()))
+    return rows.select("district", "year", "month", place.cast("long").alias("position"))
+
+
+@register("snapshot_order", O.q(
+    "SELECT district, row_number() OVER (ORDER BY pred_ipc_phase DESC, is_anomaly DESC, district) AS position FROM latest",
+    ("district",)))
+def q_snapshot_order(spark, sf):
+    """O2: the place of each district in the latest snapshot (one month: a row per district)."""
+    rows = latest_period(scored(spark, sf))
+    place = F.row_number().over(Window.partitionBy("year", "month").orderBy(*R.snapshot_order()))
+    return rows.select("district", place.cast("long").alias("position"))
+
+
 @register("alert_snapshot", O.q(f"SELECT {', '.join(R.SNAPSHOT_COLUMNS)} FROM latest", _FEED_TEXT))
 def q_alert_snapshot(spark, sf):
     return R.alert_snapshot(scored(spark, sf))
@@ -430,21 +483,21 @@ _BULLETIN = f"""
 , flagged AS (SELECT * FROM recent WHERE pred_ipc_phase >= 2 OR is_anomaly = 1),
 items AS (
   SELECT region, district, year, month, pred_ipc_phase, list_filter([
-    printf({O.lit(K.BULLETIN_BLOCK_HEADER)}, {O._ICON}, upper(region), district, strftime(make_date(year, month, 1), '%B %Y')),
-    printf({O.lit(K.BULLETIN_PHASE_LINE)}, pred_ipc_phase, {O._LABEL}),
-    printf({O.lit(K.BULLETIN_ACTION_LINE)}, {O._ACTION_LONG}),
-    printf({O.lit(K.BULLETIN_PRICE_LINE)}, pred_price_direction, {O.jfmt('%+.1f', 'pred_price_change', 1)}),
-    printf({O.lit(K.BULLETIN_RAIN_LINE)}, {O.jfmt('%+.1f', 'rainfall_anomaly_pct', 1)}),
-    CASE WHEN is_anomaly = 1 THEN '{K.BULLETIN_ANOMALY_LINE}' END,
+    printf({O.lit(V.BULLETIN_BLOCK_HEADER)}, {O._ICON}, upper(region), district, strftime(make_date(year, month, 1), '%B %Y')),
+    printf({O.lit(V.BULLETIN_PHASE_LINE)}, pred_ipc_phase, {O._LABEL}),
+    printf({O.lit(V.BULLETIN_ACTION_LINE)}, {O._ACTION_LONG}),
+    printf({O.lit(V.BULLETIN_PRICE_LINE)}, pred_price_direction, {O.jfmt('%+.1f', 'pred_price_change', 1)}),
+    printf({O.lit(V.BULLETIN_RAIN_LINE)}, {O.jfmt('%+.1f', 'rainfall_anomaly_pct', 1)}),
+    CASE WHEN is_anomaly = 1 THEN '{V.BULLETIN_ANOMALY_LINE}' END,
     '',
-    '{K.BULLETIN_VOICE_HEADER}',
-    printf({O.lit(K.BULLETIN_MESSAGE_LINE)}, (CASE WHEN rainfall_anomaly_pct < -20 THEN '{K.WEATHER_MESSAGES["bulletin"]["dry"]}'
-                      WHEN rainfall_anomaly_pct > 50 THEN '{K.WEATHER_MESSAGES["bulletin"]["wet"]}'
-                      ELSE '{K.WEATHER_MESSAGES["bulletin"]["other"]}' END) || ' ' ||
-           (CASE WHEN contains(pred_price_direction, 'Rising') THEN '{K.PRICE_MESSAGES["bulletin"]["rising"]}'
-                 WHEN contains(pred_price_direction, 'Falling') THEN '{K.PRICE_MESSAGES["bulletin"]["falling"]}'
-                 ELSE '{K.PRICE_MESSAGES["bulletin"]["other"]}' END)),
-    '{K.BULLETIN_BROADCAST_NOTE.replace("'", "''")}',
+    '{V.BULLETIN_VOICE_HEADER}',
+    printf({O.lit(V.BULLETIN_MESSAGE_LINE)}, (CASE WHEN rainfall_anomaly_pct < -20 THEN '{V.WEATHER_MESSAGES["bulletin"]["dry"]}'
+                      WHEN rainfall_anomaly_pct > 50 THEN '{V.WEATHER_MESSAGES["bulletin"]["wet"]}'
+                      ELSE '{V.WEATHER_MESSAGES["bulletin"]["other"]}' END) || ' ' ||
+           (CASE WHEN contains(pred_price_direction, 'Rising') THEN '{V.PRICE_MESSAGES["bulletin"]["rising"]}'
+                 WHEN contains(pred_price_direction, 'Falling') THEN '{V.PRICE_MESSAGES["bulletin"]["falling"]}'
+                 ELSE '{V.PRICE_MESSAGES["bulletin"]["other"]}' END)),
+    '{V.BULLETIN_BROADCAST_NOTE.replace("'", "''")}',
     ''], lambda x: x IS NOT NULL) AS lines
   FROM flagged)
 SELECT region, district, year, month, pred_ipc_phase, CAST(u.pos - 1 AS INTEGER) AS line_no, u.value AS value
@@ -476,7 +529,7 @@ _SCEN_CTE = """
 
 
 def _scenario_score_sql() -> str:
-    T = K.SCENARIO_DRIVERS
+    T = V.SCENARIO_DRIVERS
 
     def t(key, **parts):
         s = "'" + T[key].replace("'", "''") + "'"
@@ -506,13 +559,13 @@ def _scenario_score_sql() -> str:
                f"CASE WHEN ndvi_anom <= -0.15 THEN {t('vegetation', ndvi=nd)} END, "
                f"CASE WHEN prev_ipc >= 3 THEN {t('carry_over', prev='CAST(prev_ipc AS VARCHAR)')} END, "
                f"CASE WHEN population_density >= 200 THEN {t('density', density=d)} END], lambda x: x IS NOT NULL)")
-    c = K.SCENARIO_PHASE_CENTRES
+    c = V.SCENARIO_PHASE_CENTRES
     return (_SCEN_CTE + f", s1 AS (SELECT *, {score} AS s, {drivers} AS dl FROM scen), "
             "s2 AS (SELECT *, CASE WHEN s <= 0.5 THEN 1 WHEN s <= 1.8 THEN 2 WHEN s <= 3.5 THEN 3 ELSE 4 END AS phase FROM s1) "
             "SELECT scenario_id, phase, "
             f"nround(greatest(0.55::DOUBLE, least(0.97::DOUBLE, 0.97::DOUBLE - abs(s - CASE phase WHEN 1 THEN {c[1]}::DOUBLE "
             f"WHEN 2 THEN {c[2]}::DOUBLE WHEN 3 THEN {c[3]}::DOUBLE ELSE {c[4]}::DOUBLE END) * 0.12::DOUBLE)), 2) AS confidence, "
-            f"nround(s, 2) AS score, array_to_string(CASE WHEN len(dl) = 0 THEN ['{K.SCENARIO_NORMAL_DRIVER}'] ELSE dl END, ' | ') "
+            f"nround(s, 2) AS score, array_to_string(CASE WHEN len(dl) = 0 THEN ['{V.SCENARIO_NORMAL_DRIVER}'] ELSE dl END, ' | ') "
             "AS drivers FROM s2")
 
 
@@ -524,22 +577,22 @@ def q_scenario_score(spark, sf):
 
 
 def _status_sql() -> str:
-    St = K.SCENARIO_STATUS
-    P = K.SCENARIO_PARAMETERS
+    St = V.SCENARIO_STATUS
+    P = V.SCENARIO_PARAMETERS
     rows = [
-        (f"printf({O.lit(K.SCENARIO_PCT_FORMAT)}, rainfall_anom)",
+        (f"printf({O.lit(V.SCENARIO_PCT_FORMAT)}, rainfall_anom)",
          f"CASE WHEN rainfall_anom >= 50 THEN '{St['rain'][0]}' WHEN rainfall_anom <= -40 THEN '{St['rain'][1]}' ELSE '{St['rain'][2]}' END"),
-        (f"printf({O.lit(K.SCENARIO_PCT_FORMAT)}, price_change)",
+        (f"printf({O.lit(V.SCENARIO_PCT_FORMAT)}, price_change)",
          f"CASE WHEN price_change >= 30 THEN '{St['price'][0]}' WHEN price_change >= 15 THEN '{St['price'][1]}' ELSE '{St['price'][2]}' END"),
-        (f"CASE WHEN flood_flag THEN '{K.FLOOD_YES}' ELSE '{K.FLOOD_NO}' END",
+        (f"CASE WHEN flood_flag THEN '{V.FLOOD_YES}' ELSE '{V.FLOOD_NO}' END",
          f"CASE WHEN flood_flag THEN '{St['flood'][0]}' ELSE '{St['flood'][1]}' END"),
         ("CAST(conflict_events AS VARCHAR)",
          f"CASE WHEN conflict_events >= 5 THEN '{St['conflict'][0]}' WHEN conflict_events >= 2 THEN '{St['conflict'][1]}' ELSE '{St['conflict'][2]}' END"),
-        (f"printf({O.lit(K.SCENARIO_NDVI_FORMAT)}, ndvi_anom)",
+        (f"printf({O.lit(V.SCENARIO_NDVI_FORMAT)}, ndvi_anom)",
          f"CASE WHEN ndvi_anom <= -0.15 THEN '{St['ndvi'][0]}' ELSE '{St['ndvi'][1]}' END"),
-        (f"printf({O.lit(K.SCENARIO_DENSITY_FORMAT)}, population_density)",
+        (f"printf({O.lit(V.SCENARIO_DENSITY_FORMAT)}, population_density)",
          f"CASE WHEN population_density >= 200 THEN '{St['density'][0]}' ELSE '{St['density'][1]}' END"),
-        (f"printf({O.lit(K.SCENARIO_PREV_FORMAT)}, prev_ipc, {O._case_map('prev_ipc', K.PHASE_LABELS)})",
+        (f"printf({O.lit(V.SCENARIO_PREV_FORMAT)}, prev_ipc, {O._case_map('prev_ipc', V.PHASE_LABELS)})",
          f"CASE WHEN prev_ipc >= 3 THEN '{St['prev'][0]}' ELSE '{St['prev'][1]}' END"),
     ]
     parts = [f"SELECT scenario_id, {i + 1} AS seq, '{name}' AS parameter, {v} AS value, {s} AS status FROM scen"
@@ -560,10 +613,12 @@ def q_scenario_status(spark, sf):
     "(SELECT unnest(generate_series(CAST(date_trunc('month', min(date)) AS DATE), "
     "CAST(date_trunc('month', max(date)) AS DATE), INTERVAL 1 MONTH)) AS date FROM rain_raw) g", round6=False))
 def q_panel_spine(spark, sf):
+    # one pass over the raw rows; the rest reads one row per district
     raw = S.rain_raw(spark, sf).select(F.trim("adm2_name").alias("district"), F.to_date("date").alias("date"))
-    start = raw.select(F.trunc(F.min("date"), "month")).scalar()
-    end = raw.select(F.trunc(F.max("date"), "month")).scalar()
-    return panel_spine(raw.select("district").distinct(), start, end, "1 month")
+    known = cut_lineage(raw.groupBy("district").agg(F.min("date").alias("lo"), F.max("date").alias("hi")))
+    ends = known.select(F.struct(F.trunc(F.min("lo"), "month").alias("lo"),
+                                 F.trunc(F.max("hi"), "month").alias("hi"))).scalar()
+    return panel_spine(known.select("district"), ends.getField("lo"), ends.getField("hi"), "1 month")
 
 
 # ---- 12. metrics on a persistence forecast: M4, M12-M14 ---------------------------
@@ -658,13 +713,13 @@ def q_source_overview(spark, sf):
     "count(DISTINCT year) AS n_year FROM master"))
 def q_distinct_counts(spark, sf):
     from .operators import distinct_count
-    return distinct_count(S.master(spark, sf), ["district", "region", "year"])
+    return distinct_count(S.rain_spine(spark, sf), ["district", "region", "year"])
 
 
 @register("district_list", O.q("SELECT DISTINCT district FROM master WHERE region = 'AFRICA'", round6=False))
 def q_district_list(spark, sf):
     from .operators import distinct_values
-    return distinct_values(S.master(spark, sf).where(F.col("region") == "AFRICA"), "district")
+    return distinct_values(S.rain_spine(spark, sf).where(F.col("region") == "AFRICA"), "district")
 
 
 @register("year_range", O.q(
@@ -698,7 +753,7 @@ def q_conflict_by_year(spark, sf):
 @register("flood_by_region_year", O.q("SELECT region, year, CAST(sum(flood_flag) AS BIGINT) AS flood_months "
                                       "FROM master GROUP BY region, year", ("region",)))
 def q_flood_by_region_year(spark, sf):
-    return sum_by(S.master(spark, sf), ["region", "year"], "flood_flag", "flood_months")
+    return sum_by(S.rain_spine(spark, sf), ["region", "year"], "flood_flag", "flood_months")
 
 
 @register("latest_per_district", O.q(
@@ -734,7 +789,7 @@ def q_alert_download(spark, sf):
 
 
 def _tier_sql() -> str:
-    W, P = K.WEATHER_MESSAGES, K.PRICE_MESSAGES
+    W, P = V.WEATHER_MESSAGES, V.PRICE_MESSAGES
 
     def weather(style):
         m = W[style]
@@ -797,26 +852,26 @@ _SUMMARY = (
     "d AS (SELECT pred_ipc_phase, count(*) AS n FROM scored GROUP BY pred_ipc_phase), "
     "lines AS ("
     f"SELECT 0 AS section, 0.0::DOUBLE AS k1, 'a' AS k2, '{'=' * 60}' AS value "
-    f"UNION ALL SELECT 0, 1.0::DOUBLE, 'b', {O.lit(K.SUMMARY_TITLE)} "
-    f"UNION ALL SELECT 0, 2.0::DOUBLE, 'c', printf({O.lit(K.SUMMARY_DATA_LINE)}, min(year), max(year), "
+    f"UNION ALL SELECT 0, 1.0::DOUBLE, 'b', {O.lit(V.SUMMARY_TITLE)} "
+    f"UNION ALL SELECT 0, 2.0::DOUBLE, 'c', printf({O.lit(V.SUMMARY_DATA_LINE)}, min(year), max(year), "
     "count(DISTINCT region)) FROM scored "
     f"UNION ALL SELECT 0, 3.0::DOUBLE, 'd', '{'=' * 60}' "
     "UNION ALL SELECT 0, 4.0::DOUBLE, 'e', '' "
-    f"UNION ALL SELECT 1, -1e9::DOUBLE, '', {O.lit(K.SUMMARY_DIST_HEADER)} "
+    f"UNION ALL SELECT 1, -1e9::DOUBLE, '', {O.lit(V.SUMMARY_DIST_HEADER)} "
     "UNION ALL SELECT 1, 1e9::DOUBLE, '', '' "
-    f"UNION ALL SELECT 2, -1e9::DOUBLE, '', {O.lit(K.SUMMARY_TOP_HEADER)} "
+    f"UNION ALL SELECT 2, -1e9::DOUBLE, '', {O.lit(V.SUMMARY_TOP_HEADER)} "
     "UNION ALL SELECT 2, 1e9::DOUBLE, '', '' "
-    f"UNION ALL SELECT 3, -1e9::DOUBLE, '', printf({O.lit(K.SUMMARY_LATEST_HEADER)}, strftime(make_date(year, month, 1), '%B %Y')) "
+    f"UNION ALL SELECT 3, -1e9::DOUBLE, '', printf({O.lit(V.SUMMARY_LATEST_HEADER)}, strftime(make_date(year, month, 1), '%B %Y')) "
     "FROM (SELECT year, month FROM latest LIMIT 1) "
     f"UNION ALL SELECT 1, CAST(pred_ipc_phase AS DOUBLE), '', printf('    %s Phase %d — %-12s: %5s months (%s%%)  %s', "
     f"{O._ICON}, pred_ipc_phase, {O._LABEL}, format('{{:,}}', n), "
     f"{O.jfmt('%4.1f', 'n * 100.0::DOUBLE / (SELECT n FROM tot)', 1)}, "
     "repeat('█', CAST(trunc(n * 100.0::DOUBLE / (SELECT n FROM tot) / 2.0::DOUBLE) AS INTEGER))) FROM d "
-    f"UNION ALL SELECT * FROM (SELECT 2, CAST(-count(*) AS DOUBLE), region, printf({O.lit(K.SUMMARY_TOP_LINE)}, "
+    f"UNION ALL SELECT * FROM (SELECT 2, CAST(-count(*) AS DOUBLE), region, printf({O.lit(V.SUMMARY_TOP_LINE)}, "
     "region, count(*)) FROM scored WHERE is_anomaly = 1 GROUP BY region ORDER BY count(*) DESC, region LIMIT 5) "
     "UNION ALL SELECT 3, CAST(-pred_ipc_phase AS DOUBLE), district, "
-    f"printf({O.lit(K.SUMMARY_LATEST_LINE)}, {O._ICON}, district, region, pred_ipc_phase, "
-    f"pred_ipc_label, pred_price_direction, CASE WHEN is_anomaly = 1 THEN {O.lit(K.SUMMARY_ANOMALY_MARK)} ELSE '' END) FROM latest) "
+    f"printf({O.lit(V.SUMMARY_LATEST_LINE)}, {O._ICON}, district, region, pred_ipc_phase, "
+    f"pred_ipc_label, pred_price_direction, CASE WHEN is_anomaly = 1 THEN {O.lit(V.SUMMARY_ANOMALY_MARK)} ELSE '' END) FROM latest) "
     "SELECT section, k1, k2, value FROM lines")
 
 
@@ -835,7 +890,7 @@ _MASTER_PROFILE_COLS = sorted(
 _DTYPE = ("CASE typeof(min({c})) WHEN 'DOUBLE' THEN 'float64' WHEN 'VARCHAR' THEN 'object' "
           "WHEN 'BOOLEAN' THEN 'bool' ELSE 'int64' END")
 _REPORT_SQL = " UNION ALL ".join(
-    f"SELECT {i + 1} AS seq, printf({O.lit(K.FEATURE_REPORT_LINE)}, {i + 1}, '{c}', {_DTYPE.format(c=c)}, "
+    f"SELECT {i + 1} AS seq, printf({O.lit(V.FEATURE_REPORT_LINE)}, {i + 1}, '{c}', {_DTYPE.format(c=c)}, "
     f"CAST(sum(CAST({c} IS NULL AS BIGINT)) AS BIGINT)) AS value FROM master"
     for i, c in enumerate(_MASTER_PROFILE_COLS))
 
@@ -849,7 +904,7 @@ def q_feature_report(spark, sf):
     "SELECT count(DISTINCT district) AS districts, count(DISTINCT region) AS regions, count(*) AS rows, "
     "min(year) AS year_min, max(year) AS year_max FROM master"))
 def q_run_summary(spark, sf):
-    return R.run_summary(S.master(spark, sf))
+    return R.run_summary(S.rain_spine(spark, sf))
 
 
 _EVAL = """
@@ -869,7 +924,7 @@ m AS (
 """
 
 
-_EVAL_VALUE = f"printf({O.lit(K.EVALUATION_LINE)}, model, metric, round(CAST(value AS DECIMAL(38,10)), 4)::DOUBLE)"
+_EVAL_VALUE = f"printf({O.lit(V.EVALUATION_LINE)}, model, metric, round(CAST(value AS DECIMAL(38,10)), 4)::DOUBLE)"
 
 
 @register("evaluation_lines", O.np_rounds("WITH " + O.CTE.strip() + _PERSIST + _EVAL +
@@ -896,7 +951,7 @@ def q_evaluation_lines(spark, sf):
     ("district",)))
 def q_pct_change_district(spark, sf):
     from .operators import pct_change
-    m = S.master(spark, sf).select("district", "year", "month", "rainfall_mm")
+    m = S.rain_spine(spark, sf).select("district", "year", "month", "rainfall_mm")
     return pct_change(m, "rainfall_mm", "rainfall_change_pct", key="district", digits=None).drop("rainfall_mm")
 
 
@@ -1032,6 +1087,36 @@ def q_feature_choice(spark, sf):
                                  "feature string, varies boolean, covered boolean")
 
 
+# ---- raw overview tables (A10, A11, A16 on the raw rows) ---------------------------
+
+@register("raw_rain_histogram", O.q(
+    ", b AS (SELECT min(rfh) AS lo, max(rfh) AS hi FROM rain_raw), "
+    "h AS (SELECT CAST(CASE WHEN hi = lo THEN 1 ELSE least(CAST(floor(60.0::DOUBLE * (rfh - lo) / (hi - lo)) "
+    "AS BIGINT) + 1, 60) END AS INTEGER) AS bin FROM rain_raw JOIN b ON true WHERE rfh IS NOT NULL) "
+    "SELECT bin, count(*) AS count, (SELECT lo FROM b) + (bin - 1) * (((SELECT hi FROM b) - (SELECT lo FROM b)) "
+    "/ 60.0::DOUBLE) AS lo, (SELECT lo FROM b) + bin * (((SELECT hi FROM b) - (SELECT lo FROM b)) / 60.0::DOUBLE) "
+    "AS hi FROM h GROUP BY bin"))
+def q_raw_rain_histogram(spark, sf):
+    """Readings in 60 bins; joined once, one column of it read twice."""
+    return histogram(cut_lineage(S.rain_raw(spark, sf).select("rfh")), "rfh", 60)
+
+
+@register("raw_price_by_commodity", O.q(
+    "SELECT commodity_clean AS commodity, avg(price) AS mean_price FROM price_raw GROUP BY 1", ("commodity",)))
+def q_raw_price_by_commodity(spark, sf):
+    """A10: mean price of each raw commodity name."""
+    return mean_by(S.prices_raw(spark, sf), "commodity", "price", "mean_price")
+
+
+@register("raw_events_by_type", O.q(
+    "SELECT CASE l_returnflag WHEN 'R' THEN 'Flood displacement' WHEN 'A' THEN 'Protests' WHEN 'N' THEN 'Battles' END "
+    "AS event_type, count(*) AS n FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN geo ON s_nationkey = n_nationkey "
+    "GROUP BY 1", ("event_type",)))
+def q_raw_events_by_type(spark, sf):
+    """Events of each type."""
+    return S.events_raw(spark, sf).groupBy("event_type").agg(F.count("*").alias("n"))
+
+
 # ---- 15. remaining dashboard chart tables (A10, A11, A15) --------------------------
 
 @register("mean_phase_by_month", O.q("SELECT month, avg(pred_ipc_phase) AS mean_pred_ipc_phase FROM scored "
@@ -1051,7 +1136,7 @@ def q_price_series(spark, sf):
 @register("flood_by_year", O.q("SELECT year, CAST(sum(flood_flag) AS BIGINT) AS flood_months FROM scored "
                                "GROUP BY year"))
 def q_flood_by_year(spark, sf):
-    return sum_by(scored(spark, sf), "year", "flood_flag", "flood_months")
+    return sum_by(S.rain_spine(spark, sf), "year", "flood_flag", "flood_months")
 
 
 _DOC = _BULLETIN.replace(
@@ -1061,8 +1146,8 @@ _DOC = _BULLETIN.replace(
     "u.value AS value FROM items, LATERAL (SELECT unnest(lines) AS value, generate_subscripts(lines, 1) AS pos) u), "
     "nb AS (SELECT count(*) AS n FROM body WHERE line_no = 0), "
     "title AS (SELECT strftime(make_date(year, month, 1), '%B %Y') AS t FROM latest LIMIT 1), "
-    f"head AS (SELECT unnest(['{'=' * 60}', {O.lit(K.BULLETIN_TITLE)}, printf({O.lit(K.BULLETIN_PERIOD)}, t), "
-    f"'{'=' * 60}', '', CASE WHEN n = 0 THEN '{K.BULLETIN_NONE}' ELSE replace('{K.BULLETIN_FLAGGED}', '{{n}}', "
+    f"head AS (SELECT unnest(['{'=' * 60}', {O.lit(V.BULLETIN_TITLE)}, printf({O.lit(V.BULLETIN_PERIOD)}, t), "
+    f"'{'=' * 60}', '', CASE WHEN n = 0 THEN '{V.BULLETIN_NONE}' ELSE replace('{V.BULLETIN_FLAGGED}', '{{n}}', "
     "CAST(n AS VARCHAR)) END, '']) AS value, generate_subscripts(['', '', '', '', '', '', ''], 1) - 1 AS line_no "
     "FROM title, nb) "
     "SELECT 0 AS part, 0 AS k_phase, '' AS region, '' AS district, 0 AS year, 0 AS month, "

@@ -5,6 +5,6 @@ from .tables import (
     subset_country, read_event_pages, save_if_absent, write_stage, write_feed,
     write_lines, source_overview,
 )
-from .driver import load_tables, table
+from .driver import table
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -12,11 +12,3 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-
-
-def load_tables(spark: SparkSession, sf_dir: str, names=TABLES, views: bool = False) -> dict[str, DataFrame]:
-    out = {n: table(spark, sf_dir, n) for n in names}
-    if views:
-        for n, df in out.items():
-            df.createOrReplaceTempView(n)
-    return out
