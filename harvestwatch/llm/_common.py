@@ -16,10 +16,20 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]"
 
 
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def prepare(spark: SparkSession) -> None:
-    """Point the session at the shared folder and make the package importable on the workers."""
+    """Point the session at the shared folder, make the package importable on the
+    workers, and bound the Arrow batches of texts (a smaller bound of the session
+    stays): the operators work on slices of a few MB, so larger batches only hold
+    memory outside the heap of the executors."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    now = str(spark.conf.get(_BATCH_SETTING)).rstrip("b")
+    if not now.lstrip("-").isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
 
 
 def let(value: Column, body) -> Column:
