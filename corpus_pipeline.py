@@ -37,7 +37,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     learnt = ~langid.held_out(F.col(at["doc_id"]))
     models = langid.learn(plain.filter(learnt), at["text"], at["lang"])
     scored = cut_lineage(langid.predict(plain, models, at["text"]))
-    return _back(langid.calibrated(scored, learnt).filter(~F.col("rejected")), docs)
+    return _back(langid.calibrated(scored, learnt, at["lang"]).filter(~F.col("rejected")), docs)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,8 +10,12 @@ searched by bisection.
 
 A document gets the language of the lowest cross-entropy per letter.  It is
 rejected if that lies far above what learning documents of that language show:
-over mean + ``Z`` * sqrt(variance of documents + variance per letter / letters),
-all measured on all learning documents.
+over center + ``Z`` * sqrt(spread of documents ** 2 + spread per letter ** 2 /
+letters).  Center and spreads are medians (of entropies, of distances from the
+center, of distances times the root of letters, the last at least one bit) over
+the learning documents whose ``lang`` is the predicted one, copies counted once,
+so texts of no learnt language and a minority of odd documents do not move them.
+A predicted language without such documents rejects nothing.
 
 Scale: one pass counts grams (a worker holds a bounded table of words and hands
 on sums), the shuffle carries distinct grams per task, so hot sources or copies
@@ -37,7 +41,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +53,7 @@ ORDER, SLOT_BITS, MAX_LANGUAGES = 4, 20, 64
 START, STOP = "\x02", "\x03"
 HASH_SEED = 42  # that of Spark's xxhash64
 Z, SAMPLE_LETTERS = 8.0, 20.0
+CLASS, NORMAL = 0.01, 1.4826  # width of a class of entropies; a normal deviation by the median one
 MAX_HELD = 300_000
 UNKNOWN = "und"
 
@@ -244,18 +249,34 @@ def predict(df: DataFrame, models: Models, text: str = "text") -> DataFrame:
         T.StructField("entropy", T.DoubleType()), T.StructField("letters", T.LongType())]))
 
 
-def calibrated(scored: DataFrame, learnt: Column, z: float = Z) -> DataFrame:
-    """Add ``rejected``; ``learnt`` tells the rows to calibrate on.  ``scored``
-    is read twice, so it should be a written table."""
-    rows = scored.filter(learnt & F.col("entropy").isNotNull())
-    means = rows.groupBy(F.col("lang_pred").alias("__l")).agg(F.avg("entropy").alias("__mean"))
-    near = rows.join(F.broadcast(means), rows["lang_pred"] == means["__l"])  # at most MAX_LANGUAGES rows
-    spread = near.groupBy(F.col("lang_pred").alias("__lang")).agg(
-        F.first("__mean").alias("__mean"),
-        F.avg((F.col("entropy") - F.col("__mean")) ** 2).alias("__docs"),
-        F.avg((F.col("entropy") - F.col("__mean")) ** 2 * F.col("letters")).alias("__var"))
+def _median(rows: DataFrame, value: Column, step: float) -> DataFrame:
+    """(__lang, value): per predicted language the upper edge of the class of width
+    ``step`` that holds the median; a task hands on counts per class."""
+    counts = rows.groupBy(F.col("lang_pred").alias("__lang"), F.floor(value / step).alias("k")).agg(
+        F.count("*").alias("n"))  # a bounded number of classes per language
+    upto = Window.partitionBy("__lang").orderBy("k")
+    return counts.select("__lang", "k", F.sum("n").over(upto).alias("upto"), F.sum("n").over(
+        Window.partitionBy("__lang")).alias("all")).filter(2 * F.col("upto") >= F.col("all")).groupBy("__lang").agg(
+        ((F.min("k") + 1) * step).alias("value"))
+
+
+def calibrated(scored: DataFrame, learnt: Column, lang: str = "lang", z: float = Z) -> DataFrame:
+    """Add ``rejected``; ``learnt`` tells the rows to calibrate on, of which those
+    count whose ``lang`` is the predicted one.  ``scored`` is read more than once,
+    so it should be a written table."""
+    rows = cut_lineage(scored.filter(learnt & (F.col(lang).cast("string") == F.col("lang_pred"))).select(
+        "lang_pred", "entropy", "letters").distinct())  # copies count once
+    center = cut_lineage(_median(rows, F.col("entropy"), CLASS)).toDF("__c_lang", "__center")
+    near = rows.join(F.broadcast(center), rows["lang_pred"] == center["__c_lang"])  # a row per language
+    far = F.abs(F.col("entropy") - F.col("__center"))
+    docs = _median(near, far, CLASS).toDF("__d_lang", "__docs")
+    per_letter = _median(near, F.log2(F.greatest(far * F.sqrt("letters"), F.lit(1.0))), CLASS).toDF("__v_lang", "__var")
+    spread = center.join(docs, center["__c_lang"] == docs["__d_lang"]).join(
+        per_letter, center["__c_lang"] == per_letter["__v_lang"]).select(
+        F.col("__c_lang").alias("__lang"), "__center", (F.lit(NORMAL) * F.col("__docs")).alias("__docs"),
+        (F.lit(NORMAL) * F.pow(F.lit(2.0), "__var")).alias("__letter"))
     joined = scored.join(F.broadcast(spread), scored["lang_pred"] == spread["__lang"], "left")
-    limit = F.col("__mean") + z * F.sqrt(F.col("__docs") + F.col("__var") / F.col("letters"))
+    limit = F.col("__center") + z * F.sqrt(F.col("__docs") ** 2 + F.col("__letter") ** 2 / F.col("letters"))
     return joined.select(*[scored[c] for c in scored.columns], F.coalesce(
         (F.col("lang_pred") == UNKNOWN) | (F.col("entropy") > limit), F.lit(False)).alias("rejected"))
 
@@ -268,6 +289,6 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learnt from four folds of five."""
     docs = table(spark, sf_dir, "documents")
     models = learn(docs.filter(~held_out(F.col("doc_id"))))
-    scored = cut_lineage(predict(docs.select("doc_id", "text"), models).drop("text"))
+    scored = cut_lineage(predict(docs.select("doc_id", "text", "lang"), models).drop("text"))
     return calibrated(scored, ~held_out(F.col("doc_id"))).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "entropy", "rejected")

@@ -180,6 +180,33 @@ def test_langid_probabilities_sum_to_one(spark):
     assert abs(np.exp2(-m.costs([context + x for x in letters]))[:, 0].sum() - 1) < 1e-6
 
 
+def unlearnt_texts(n):
+    """Texts of a language that no document is labelled with."""
+    rng = np.random.default_rng(11)
+    parts = ["zq", "xv", "kj", "wz", "qx", "vj", "uu", "y"]
+    return [" ".join("".join(rng.choice(parts, rng.integers(2, 5))) for _ in range(80)) for _ in range(n)]
+
+
+def test_langid_rejects_a_third_of_unlabelled_texts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    n = docs.count()
+    junk = spark.createDataFrame([(10**6 + i, t, None) for i, t in enumerate(unlearnt_texts(n // 2))], docs.schema)
+    both = docs.unionByName(junk)
+    scored = langid.cut_lineage(langid.predict(both, langid.learn(both)))
+    got = langid.calibrated(scored, F.lit(True)).collect()
+    assert all(r["rejected"] for r in got if r["doc_id"] >= 10**6)
+    assert sum(r["rejected"] for r in got if r["doc_id"] < 10**6) <= 0.02 * n
+
+
+def test_langid_copies_do_not_narrow_the_limit(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    one = docs.filter("lang = 'en' and length(text) > 500").orderBy("doc_id").limit(1)
+    both = docs.unionByName(one.crossJoin(spark.range(2 * docs.count())).select((F.col("id") + 10**6).alias("doc_id"), "text", "lang"))
+    scored = langid.cut_lineage(langid.predict(both, langid.learn(docs)))
+    got = langid.calibrated(scored, F.lit(True)).collect()
+    assert sum(r["rejected"] for r in got) <= 0.02 * docs.count()
+
+
 def test_sharding(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = queries()["op9_sharding"](spark, SF).collect()
