@@ -21,10 +21,11 @@ travels, the others refer to it.  So a passage in a third of all documents sends
 one entry per task, and no group of occurrences is ever gathered.
 
 Defined results: a null text has no words; a text under ``WINDOW`` words loses
-none; a null ``doc_id`` counts as the smallest; rows that share a ``doc_id``
-count as one document, fully repeated rows get equal results, and what is
-removed at a place in one row of an id is removed there in its other rows;
-clashing columns are replaced, other columns stay; an empty table gives no rows.
+none; a null ``doc_id`` counts as the smallest; every row is a document of its
+own: rows that share a ``doc_id`` come in the order of their texts' digests, and
+of fully repeated rows one is the first and the others are its copies; clashing
+columns are replaced, other columns stay; an empty table gives no rows.  Only if
+an id repeats are the rows sorted and written once more, with a key each.
 """
 
 from __future__ import annotations
@@ -192,8 +193,6 @@ def _factors(buckets: int):
         pos, ref_doc, ref_pos = (flat.field(c).to_numpy(zero_copy_only=False) for c in (0, 1, 2))
         has = flat.field(3).to_numpy(zero_copy_only=False)
         docs = part.column(0).to_numpy(zero_copy_only=False)
-        ok = pos + ANCHOR <= np.diff(words.first)[row]  # rows that share an id differ in length
-        row, pos, ref_doc, ref_pos, has = row[ok], pos[ok], ref_doc[ok], ref_pos[ok], has[ok]
         total = len(words.hash)
         near = np.zeros(total + 1, np.int32)
         begin = words.first[row]
@@ -243,11 +242,23 @@ def _duplicates(batches):
     yield from _batches(np.concatenate([spans, found]))
 
 
-def duplicate_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, begins, ends): the starts of each document's duplicate windows."""
+def with_keys(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Add ``__doc``, a number of each row's own that ascends with ``doc_id`` (nulls
+    first), then the digest of the text: the id itself, if no id repeats."""
+    df = df.withColumn("__doc", F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(SMALLEST)))
+    if df.groupBy("__doc").count().filter("count > 1").isEmpty():
+        return df
+    # the place in the input parts fully repeated rows, so that many are dealt out too
+    df = df.withColumn("__at", F.monotonically_increasing_id())
+    df = df.orderBy("__doc", F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))), "__at").drop("__at")
+    return cut_lineage(df.withColumn("__doc", F.monotonically_increasing_id()))
+
+
+def duplicate_spans(df: DataFrame, text: str = "text") -> DataFrame:
+    """(doc, begins, ends): the starts of each row's duplicate windows, by ``__doc``."""
     spark = df.sparkSession
     buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = df.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(SMALLEST)).alias("doc"), F.col(text).alias("text"))
+    docs = df.select(F.col("__doc").alias("doc"), F.col(text).alias("text"))
     refs = docs.mapInArrow(_anchors(buckets), PACKED).repartition("bucket").mapInArrow(
         _index, "doc long, pos int, ref_doc long, ref_pos int, has_ref boolean")
     refs = refs.groupBy("doc").agg(F.collect_list(F.struct("pos", "ref_doc", "ref_pos", "has_ref")).alias("refs"))
@@ -259,11 +270,13 @@ def duplicate_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Add ``n_words``, ``n_removed`` and ``kept_text`` (kept words joined by one space)."""
     prepare(df.sparkSession)
-    df = with_columns_replaced(df, "n_words", "n_removed", "kept_text", "__doc", "__begins", "__ends")
-    spans = cut_lineage(duplicate_spans(df, doc_id, text))
-    spans = spans.select(F.col("doc").alias("__doc"), F.col("begins").alias("__begins"), F.col("ends").alias("__ends"))
-    joined = df.join(spans, F.coalesce(df[doc_id].cast("long"), F.lit(SMALLEST)) == spans["__doc"], "left").select(
-        *[df[c] for c in df.columns], "__begins", "__ends")
+    df = with_columns_replaced(df, "n_words", "n_removed", "kept_text", "__doc", "__at", "__begins", "__ends")
+    keyed = with_keys(df, doc_id, text)
+    spans = cut_lineage(duplicate_spans(keyed, text))
+    df.sparkSession.sparkContext._jvm.System.gc()  # else the shuffle files behind it stay until the driver collects garbage
+    spans = spans.select(F.col("doc").alias("__key"), F.col("begins").alias("__begins"), F.col("ends").alias("__ends"))
+    joined = keyed.join(spans, keyed["__doc"] == spans["__key"], "left").select(
+        *[keyed[c] for c in df.columns], "__begins", "__ends")
     at, n = [c.lower() for c in df.columns].index(text.lower()), len(df.columns)
 
     def run(batches):
@@ -275,11 +288,8 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFram
                 begins, ends = part.column(n), part.column(n + 1)
                 row = np.repeat(np.arange(len(part)), begins.value_lengths().fill_null(0).to_numpy())
                 b, e = (x.flatten().to_numpy(zero_copy_only=False) for x in (begins, ends))
-                last = counts[row] - WINDOW + 1  # windows of this row; those of an equal id may be more
-                b, e = np.minimum(b, np.maximum(last, 0)), np.minimum(e, np.maximum(last, 0))
-                some = e > b
-                np.add.at(change, words.first[row[some]] + b[some], 1)
-                np.add.at(change, words.first[row[some]] + e[some] + WINDOW - 1, -1)
+                np.add.at(change, words.first[row] + b, 1)
+                np.add.at(change, words.first[row] + e + WINDOW - 1, -1)
                 kept = np.cumsum(change)[:total] == 0
                 kept_counts = np.bincount(words.doc[kept], minlength=len(part))
                 yield pa.RecordBatch.from_arrays(

@@ -265,6 +265,25 @@ def test_substrings_brute_force(spark):
     assert substrings.dedup(df.limit(0)).count() == 0
 
 
+def test_substrings_repeated_ids(spark):
+    rng = np.random.default_rng(6)
+    vocab = [f"w{i}" for i in range(300)]
+    passage = " ".join(rng.choice(vocab, 30))
+    fresh = lambda n: " ".join(rng.choice(vocab, n))
+    ids = [None, None, None, None, 1, 1, 1, 2, 2, 3]
+    texts = [f"{passage} {fresh(40)}", f"{passage} {fresh(60)}", fresh(50), None,
+             f"{fresh(7)} {passage} {fresh(50)}", fresh(90), fresh(80), f"{passage} {fresh(20)}", fresh(70), fresh(45)]
+    docs = list(zip(ids, texts, strict=True)) + [(3, texts[-1])] * 3 + [(None, texts[2]), (4, texts[5])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = df.withColumn("at", F.xxhash64(F.coalesce("text", F.lit("")))).repartition(5)
+    inputs = sorted(((substrings.SMALLEST if r["doc_id"] is None else r["doc_id"], r["at"], r["text"]) for r in rows.collect()),
+                    key=lambda r: r[:2])
+    want = brute_substrings([(k, r[2]) for k, r in enumerate(inputs)])
+    want = sorted((r[0], r[1], " ".join(want[k])) for k, r in enumerate(inputs))
+    got = substrings.dedup(rows).collect()
+    assert sorted((substrings.SMALLEST if r["doc_id"] is None else r["doc_id"], r["at"], r["kept_text"]) for r in got) == want
+
+
 def test_jaccard_hot_group_and_edges(spark):
     rng = np.random.default_rng(6)
     base = [f"t{i}" for i in rng.integers(0, 10000, 200)]
