@@ -1,11 +1,12 @@
 """The corpus pipeline on a small table, against its stages by brute force."""
 
 import tempfile
+import zlib
 
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from test_operators import brute_substrings
+from test_operators import brute_substrings, unlearnt_texts
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,3 +34,11 @@ def test_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_language_of_few_documents_is_learnt(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    ids = [i for i in range(10**6, 10**6 + 200) if zlib.crc32(str(i).encode()) % 5 == 0][:7] + [None]
+    few = spark.createDataFrame([(i, t, "xx") for i, t in zip(ids, unlearnt_texts(8), strict=True)], docs.schema)
+    kept = corpus_pipeline.language_id(spark, docs.unionByName(few), SF)
+    assert kept.filter("lang = 'xx'").count() == 8
