@@ -12,10 +12,11 @@ from .packing import op4_packing
 from .quality import OP2_SQL, op2_quality
 from .sharding import op9_sharding
 from .substrings import OP8_SQL, op8_substrings
+from .toxicity import op12_toxicity
 from .urls import op5_urls
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_quality, op3_chat, op4_packing, op5_urls, op6_jaccard, op7_langid, op8_substrings, op9_sharding,
-                                   op10_embeddings, op11_audit)}
+                                   op10_embeddings, op11_audit, op12_toxicity)}
 
 
 def queries():
