@@ -13,10 +13,11 @@ from .quality import OP2_SQL, op2_quality
 from .sharding import op9_sharding
 from .substrings import OP8_SQL, op8_substrings
 from .toxicity import op12_toxicity
+from .trie import OP13_SQL, op13_trie
 from .urls import op5_urls
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_quality, op3_chat, op4_packing, op5_urls, op6_jaccard, op7_langid, op8_substrings, op9_sharding,
-                                   op10_embeddings, op11_audit, op12_toxicity)}
+                                   op10_embeddings, op11_audit, op12_toxicity, op13_trie)}
 
 
 def queries():
@@ -25,4 +26,4 @@ def queries():
 
 def oracle_sql():
     return {"op2_quality": OP2_SQL, "op3_chat": OP3_SQL, "op6_jaccard": OP6_SQL, "op8_substrings": OP8_SQL,
-            "op10_embeddings": OP10_SQL, "op11_audit": OP11_SQL}
+            "op10_embeddings": OP10_SQL, "op11_audit": OP11_SQL, "op13_trie": OP13_SQL}
