@@ -92,8 +92,10 @@ def training_texts(docs: DataFrame, labels: DataFrame, learnt: Column, label: st
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(
         F.broadcast(marks), "doc_id")  # about max_train rows of two numbers
     rows = cut_lineage(rows.select("text", "y", F.md5("text").alias("digest")))
-    means = rows.groupBy("digest").agg(F.avg("y").alias("y"), (1.0 / F.count("*")).alias("weight"))
-    return rows.drop("y").join(means, "digest").select("text", "y", "weight")
+    # texts that occur more than once; written, so that the planner knows its size and need not shuffle the texts
+    copies = cut_lineage(rows.groupBy("digest").agg(F.avg("y").alias("mean"), F.count("*").alias("n")).filter("n > 1"))
+    return rows.join(copies, "digest", "left").select(
+        "text", F.coalesce("mean", "y").alias("y"), (1.0 / F.coalesce("n", F.lit(1))).alias("weight"))
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
