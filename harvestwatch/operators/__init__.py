@@ -4,6 +4,7 @@ from .monthly import (require, with_year_month, rename_all, monthly_mean, pivot_
                       monthly_events, global_quantile, quantile_flag, quantile_table)
 from .windows import (panel_window, add_lags, add_lead, pct_change, pct_change_col, rolling,
                       rolling_col, streak, with_group_mean, anomaly_vs_mean, latest_row)
+from .dense import carry_forward, densify, interpolate, period_of
 from .joins import join_master, with_labels, panel_spine, std_region_table
 from .aggregates import (distribution, distinct_count, distinct_values, min_max, mean_by, sum_by,
                          count_where_by, kpis, entity_profile, period_series, histogram,

@@ -69,42 +69,55 @@ def monthly_events(df: DataFrame, keys, id_col: str = "event_id_cnty",
                  F.coalesce(F.sum(flag), F.lit(0)).cast("long").alias("flood_displace_events")))
 
 
-CLASSES_PER_E = 1024
-
-
-def _value_class(v: Column) -> Column:
-    """A number that never falls as ``v`` grows, with at most 1.5 million values
-    over all doubles (NaN last, as Spark orders it)."""
-    return F.when(F.isnan(v), F.lit(float("inf"))).otherwise(
-        F.signum(v) * F.floor(F.log1p(F.abs(v)) * F.lit(CLASSES_PER_E)))
+# A summary of this many points per pass; tables of no more rows need no bracket.
+SUMMARY_POINTS = 20_000
+BRACKET = 5.0 / SUMMARY_POINTS  # on both sides of the rank; the summary errs by 1 / SUMMARY_POINTS
+RANGES = 256
 
 
 def quantile_table(df: DataFrame, c: str, q: float) -> DataFrame:
     """A5 as a one-row table ``quantile``: exact and interpolated, NULLs left
     out, NULL for no values.
 
-    Counts per value and then per class of near values (both with map-side
-    partial aggregation); running counts over the class table, whose size has a
-    fixed bound, name the at most two classes that hold the two ranks, and only
-    values of those are ranked.  No task holds a map of all values.
+    A mergeable quantile summary names two values that bracket the rank with about
+    one row of 2,000 between them.  A second pass counts what lies below and each
+    value inside; the bracket is cut into ranges, whose totals name the one or two
+    that hold the ranks, and only values of those are put in order.  Both passes
+    combine before the shuffle, and no task orders more than a range of the bracket.
     """
     v = F.col(c).cast("double")
-    values = (df.where(F.col(c).isNotNull()).groupBy(v.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("b", _value_class(F.col("v"))))
-    everything = Window.partitionBy()
-    classes = (values.groupBy("b").agg(F.sum("n").alias("bn"))
-               .select("b", "bn", F.sum("bn").over(everything).alias("total"),
-                       (F.sum("bn").over(Window.orderBy("b")) - F.col("bn")).alias("before"))
-               .withColumn("pos", (F.col("total") - 1) * F.lit(float(q)))
-               .withColumns({"lo": F.floor("pos"), "hi": F.ceil("pos")})
-               .where((F.col("before") <= F.col("hi")) & (F.col("before") + F.col("bn") > F.col("lo"))))
-    # at most two rows: the classes of two neighbouring ranks
-    ranked = values.join(F.broadcast(classes), on="b").select(
-        "v", "pos", "lo", "hi",
-        (F.col("before") + F.sum("n").over(Window.partitionBy("b").orderBy("v"))).alias("upto"))
-    ends = ranked.agg(F.min(F.when(F.col("upto") > F.col("lo"), F.col("v"))).alias("v_lo"),
-                      F.min(F.when(F.col("upto") > F.col("hi"), F.col("v"))).alias("v_hi"),
-                      F.max("pos").alias("pos"), F.max("lo").alias("lo"), F.max("hi").alias("hi"))
+    rows = df.where(F.col(c).isNotNull()).select(v.alias("v"))
+    around = [max(0.0, q - BRACKET), min(1.0, q + BRACKET)]
+    summary = rows.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("v", around, SUMMARY_POINTS).alias("ends"),
+                       F.min("v").alias("least"), F.max("v").alias("most"))
+    whole = F.col("n") <= SUMMARY_POINTS
+    s = summary.select(F.struct(
+        "n", F.when(whole, F.col("least")).otherwise(F.col("ends")[0]).alias("lo"),
+        F.when(whole, F.col("most")).otherwise(F.col("ends")[1]).alias("hi")).alias("s")).scalar()
+    lo, hi = s.getField("lo"), s.getField("hi")
+    counts = rows.where(F.col("v") <= hi).groupBy(F.when(F.col("v") >= lo, F.col("v")).alias("v")).agg(
+        F.count(F.lit(1)).alias("n"))  # the row without a value counts what lies below
+    width = hi - lo
+    at = F.when((width > 0) & (width < 1.7e308), F.least(F.lit(RANGES - 1), F.floor((F.col("v") - lo) / width * RANGES))
+                ).otherwise(F.lit(0)).cast("int")
+    counts = counts.withColumn("b", F.when(F.col("v").isNull(), F.lit(-1)).otherwise(at))
+    totals = counts.groupBy("b").agg(F.sum("n").alias("n")).agg(F.collect_list(F.struct("b", "n")).alias("r"))
+    before = lambda b: F.aggregate("r", F.lit(0).cast("long"),
+                                   lambda a, x: a + F.when(x["b"] < b, x["n"]).otherwise(F.lit(0)))
+    ranges = totals.select(F.map_from_entries(F.transform("r", lambda x: F.struct(
+        x["b"], F.struct(before(x["b"]).alias("before"), x["n"].alias("held"))))).alias("m")).scalar()  # an entry per range
+
+    pos = (s.getField("n") - 1) * F.lit(float(q))
+    ranked = (counts.where(F.col("v").isNotNull())
+              .withColumn("r", F.element_at(ranges, F.col("b")))
+              .withColumns({"before": F.col("r.before"), "held": F.col("r.held"), "pos": pos,
+                            "r_lo": F.floor(pos), "r_hi": F.ceil(pos)})
+              .where((F.col("before") <= F.col("r_hi")) & (F.col("before") + F.col("held") > F.col("r_lo")))
+              .select("v", "pos", "r_lo", "r_hi",
+                      (F.col("before") + F.sum("n").over(Window.partitionBy("b").orderBy("v"))).alias("upto")))
+    ends = ranked.agg(F.min(F.when(F.col("upto") > F.col("r_lo"), F.col("v"))).alias("v_lo"),
+                      F.min(F.when(F.col("upto") > F.col("r_hi"), F.col("v"))).alias("v_hi"),
+                      F.max("pos").alias("pos"), F.max("r_lo").alias("lo"), F.max("r_hi").alias("hi"))
     between = (F.col("hi") - F.col("pos")) * F.col("v_lo") + (F.col("pos") - F.col("lo")) * F.col("v_hi")
     return ends.select(F.when((F.col("lo") == F.col("hi")) | (F.col("v_lo") == F.col("v_hi")), F.col("v_lo"))
                        .otherwise(between).alias("quantile"))

@@ -112,13 +112,20 @@ def with_group_mean(df: DataFrame, key, cols: dict, asof: bool = False, order=OR
     key is cheap) joined back on the key; the aggregate has one row per key
     and AQE broadcasts it when its measured size is under the broadcast
     threshold, otherwise it stays a shuffle join (skew-split by AQE).
-    ``asof=True`` uses only strictly earlier periods (no look-ahead), as an
-    expanding window.
+    ``asof=True`` uses only strictly earlier periods (no look-ahead): totals per key and
+    period, added up over the earlier periods of the key (one row per period, so a
+    key with many rows a month is no large window) and joined back.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if asof:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumns({out: F.avg(F.col(c)).over(w) for c, out in cols.items()})
+        earlier = Window.partitionBy(*keys).orderBy("__p").rangeBetween(Window.unboundedPreceding, -1)
+        periods = df.groupBy(*keys, *order).agg(
+            *[f(c).alias(f"__{n}_{out}") for c, out in cols.items() for n, f in (("s", F.sum), ("n", F.count))])
+        periods = periods.withColumn("__p", F.col("year") * 12 + F.col("month"))
+        means = periods.select(*keys, *order, *[
+            F.try_divide(F.sum(f"__s_{out}").over(earlier).cast("double"), F.sum(f"__n_{out}").over(earlier).cast("double")).alias(out)
+            for out in cols.values()])
+        return df.join(means, on=[*keys, *order], how="left")
     means = df.groupBy(*keys).agg(*[F.avg(F.col(c)).alias(out) for c, out in cols.items()])
     return df.join(means, on=keys, how="left")
 

@@ -1183,6 +1183,8 @@ def _register_models():
 
 _register_models()
 
+from . import queries_upkeep  # noqa: E402,F401  (registers its queries)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)

@@ -78,16 +78,18 @@ def read_event_pages(spark: SparkSession, path: str, dedupe: bool = False, multi
     read in parallel with an explicit schema and exploded into event rows; without
     ``multiline`` a file holds a page per line and large files are split.
 
-    Missing-value tokens become NULL, as in a table scan.  Pages are only appended; with ``dedupe`` one row per event id stays, and all
-    rows without an id.  De-duplication is a hash aggregate with map-side partial
+    Missing-value tokens become NULL, as in a table scan.  Pages are only appended; with ``dedupe`` one row per event id stays, that
+    of the page landed last (ties by name, then by value), and all rows without an id.  De-duplication is a hash aggregate with map-side partial
     aggregation, so even if one id had a third of all copies, each task ships
     one row per id."""
     pages = spark.read.schema(EVENT_PAGE).option("multiLine", multiline).json(path)
-    rows = normalised(pages.select(F.explode("data").alias("e")).select("e.*"))
-    if dedupe:
-        known = F.col("event_id_cnty").isNotNull()
-        rows = rows.filter(known).dropDuplicates(["event_id_cnty"]).unionByName(rows.filter(~known))
-    return rows
+    if not dedupe:
+        return normalised(pages.select(F.explode("data").alias("e")).select("e.*"))
+    rows = normalised(pages.select(F.explode("data").alias("e"), F.col("_metadata.file_modification_time").alias("at"),
+                                   F.col("_metadata.file_name").alias("page")).select("e.*", "at", "page"))
+    known, cells = F.col("event_id_cnty").isNotNull(), list(EVENT_FIELDS)
+    last = rows.where(known).groupBy(F.col("event_id_cnty").alias("id")).agg(F.max(F.struct("at", "page", F.struct(*cells).alias("e"))).alias("m"))
+    return last.select("m.e.*").unionByName(rows.where(~known).select(*cells))
 
 
 def save_if_absent(df: DataFrame, path: str, fmt: str = "parquet") -> None:
