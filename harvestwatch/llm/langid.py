@@ -19,13 +19,16 @@ A predicted language without such documents rejects nothing.
 
 Scale: one pass counts grams (a worker holds a bounded table of words and hands
 on sums), the shuffle carries distinct grams per task, so hot sources or copies
-add nothing; the grams of all documents are summed.  What reaches the driver and
-the workers is bounded: gram hashes are taken modulo ``SLOT_BITS`` bits, so an
-order has at most 2**20 rows of one number per language, and over
-``MAX_LANGUAGES`` languages are refused.  Another pass scores, with bounded
-tables per worker; its narrow result is written and gives the thresholds.
-
-Defined results: a null text, or one without a letter, is ``und`` with score 0
+add nothing; the grams of all documents are summed.  The lower orders and the totals of
+contexts are aggregates of that table.  Grams are known by whole 64-bit hashes and
+any number of languages is learnt: the model has an entry of 12 bytes for each
+gram of each language that was seen, no more where a language lacks a gram, so it grows
+with the distinct grams of the corpus (not with its length) and is sent to the workers
+in that form.  Another pass scores, with bounded tables per worker; its narrow result is
+written and gives the thresholds, from counts per class of entropies.
+
+Defined results: a text that is one long run of letters is one word; an empty table
+gives an empty result; a null text, or one without a letter, is ``und`` with score 0
 and is rejected; rows with null ``lang`` are not learnt from; with no learning
 rows at all every text is ``und``; equal cross-entropies go to the language
 first by name; repeated rows get equal results; clashing columns are replaced.
@@ -41,7 +44,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,12 +52,14 @@ from ._common import cut_lineage, prepare, slices, table, with_columns_replaced
 from ._unicode import category_class
 from .bpe import LOW
 
-ORDER, SLOT_BITS, MAX_LANGUAGES = 4, 20, 64
+ORDER = 4
 START, STOP = "\x02", "\x03"
 HASH_SEED = 42  # that of Spark's xxhash64
 Z, SAMPLE_LETTERS = 8.0, 20.0
 CLASS, NORMAL = 0.01, 1.4826  # width of a class of entropies; a normal deviation by the median one
-MAX_HELD = 300_000
+MAX_HELD = 300_000  # words of the table that a learning worker holds
+HELD_COSTS = 4_000_000  # numbers of the tables that a scoring worker holds: entries times languages
+GRAMS_AT_ONCE = 20_000
 UNKNOWN = "und"
 
 
@@ -104,65 +109,105 @@ def gram_counts(df: DataFrame, text: str, lang: str) -> DataFrame:
     return rows.mapInArrow(run, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def smoothed(grams: DataFrame) -> DataFrame:
-    """Rows (lang, size, kind, slot, value): the discounted share of each gram
-    (kind 0) and the weight that a context leaves to the lower order (kind 1)."""
+def counted(grams: DataFrame) -> DataFrame:
+    """Rows (lang, size, kind, hash, context, n, types) of all orders: counts of each gram
+    with the hash of its context (kind 0), and of each context its total and its
+    number of different next letters (kind 1)."""
     out, current = None, grams
     for size in range(ORDER, 0, -1):
-        counts = current.groupBy("lang").agg(
-            F.sum((F.col("n") == 1).cast("double")).alias("n1"), F.sum((F.col("n") == 2).cast("double")).alias("n2"))
-        discounts = counts.select(F.col("lang").alias("d_lang"), F.least(F.lit(0.95), F.greatest(
-            F.lit(0.05), F.col("n1") / F.greatest(F.col("n1") + 2 * F.col("n2"), F.lit(1.0)))).alias("d"))
         context = F.substring("gram", 1, size - 1)
-        contexts = current.groupBy(F.col("lang").alias("c_lang"), context.alias("c_gram")).agg(
-            F.sum("n").alias("total"), F.count("*").alias("types"))
-        contexts = contexts.join(discounts, contexts["c_lang"] == discounts["d_lang"]).drop("d_lang")
-        shares = current.join(contexts, (F.col("lang") == F.col("c_lang")) & (context == F.col("c_gram"))).select(
-            "lang", "gram", (F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total")).alias("value"))
-        weights = contexts.select(F.col("c_lang").alias("lang"), F.col("c_gram").alias("gram"),
-                                  (F.col("d") * F.col("types") / F.col("total")).alias("value"))
-        for kind, rows in enumerate((shares, weights)):
-            rows = rows.groupBy("lang", F.lit(size).alias("size"), F.lit(kind).alias("kind"), F.pmod(
-                F.xxhash64("gram"), F.lit(1 << SLOT_BITS)).cast("int").alias("slot")).agg(F.max("value").alias("value"))
-            out = rows if out is None else out.unionByName(rows)
+        order = F.lit(size).cast("byte").alias("size")
+        shares = current.select("lang", order, F.lit(0).cast("byte").alias("kind"), F.xxhash64("gram").alias("hash"),
+                                F.xxhash64(context).alias("context"), "n", F.lit(0).cast("long").alias("types"))
+        contexts = current.groupBy("lang", context.alias("c")).agg(F.sum("n").alias("n"), F.count("*").alias("types")).select(
+            "lang", order, F.lit(1).cast("byte").alias("kind"), F.xxhash64("c").alias("hash"),
+            F.lit(0).cast("long").alias("context"), "n", "types")
+        rows = shares.unionByName(contexts)
+        out = rows if out is None else out.unionByName(rows)
         if size > 1:
             current = cut_lineage(current.groupBy("lang", F.substring("gram", 2, size - 1).alias("gram")).agg(
                 F.count("*").alias("n")))
     return out
 
 
+class Entries:
+    """A sorted array of hashes, and for each the languages that have it with a value."""
+
+    def __init__(self, hashes: np.ndarray, langs: np.ndarray, values: np.ndarray):
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.first = np.unique(hashes[order], return_index=True)
+        self.first = np.append(self.first, len(order)).astype(np.int64)
+        self.langs, self.values = langs[order].astype(np.int32), values[order].astype(np.float32)
+
+    def find(self, want: np.ndarray, languages: int) -> np.ndarray:
+        """A row of values per hash, 0 for languages that lack it."""
+        out = np.zeros((len(want), languages), np.float32)
+        if not len(self.hashes):
+            return out
+        at = np.minimum(np.searchsorted(self.hashes, want), len(self.hashes) - 1)
+        hit = np.flatnonzero(self.hashes[at] == want)
+        first, size = self.first[at[hit]], self.first[at[hit] + 1] - self.first[at[hit]]
+        entry = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+        out[np.repeat(hit, size), self.langs[entry]] = self.values[entry]
+        return out
+
+
+def hashes_of(texts: list[str]) -> np.ndarray:
+    """Spark's xxhash64 of each text."""
+    return np.fromiter((xxhash.xxh64_intdigest(t.encode(), HASH_SEED) for t in texts), np.uint64, len(texts)).view(np.int64)
+
+
 class Models:
-    """Sorted hash arrays: per order and kind the slots and a row of values per language."""
-
-    def __init__(self, rows):
-        self.languages = sorted(set(rows["lang"]))
-        if len(self.languages) > MAX_LANGUAGES:
-            raise ValueError(f"more than {MAX_LANGUAGES} languages")
-        self.arrays = {}
-        at = rows["lang"].map({x: i for i, x in enumerate(self.languages)}).to_numpy()
-        for (size, kind), group in rows.groupby(["size", "kind"]):
-            slots, row = np.unique(group["slot"].to_numpy(), return_inverse=True)
-            values = np.zeros((len(slots) + 1, len(self.languages)), np.float32)
-            values[row, at[group.index]] = group["value"]
-            self.arrays[int(size), int(kind)] = slots.astype(np.int32), values
-        self.uniform = 1.0 / max(1, len(self.arrays.get((1, 0), ([],))[0]))
-
-    def _values(self, texts: list[str], size: int, kind: int) -> np.ndarray:
-        slots, values = self.arrays[size, kind]
-        want = np.fromiter((xxhash.xxh64_intdigest(t.encode(), HASH_SEED) & ((1 << SLOT_BITS) - 1) for t in texts),
-                           np.int32, len(texts))
-        at = np.searchsorted(slots, want)
-        at[(at == len(slots)) | (slots[np.minimum(at, len(slots) - 1)] != want)] = len(slots)
-        return values[at]
+    """Per order and kind a sorted hash array: the discounted share of each gram (kind 0)
+    and the weight that a context leaves to the lower order (kind 1)."""
+
+    def __init__(self, rows: pa.Table):
+        names = rows.column("lang").combine_chunks().dictionary_encode() if rows.num_rows else pa.array([], pa.string()).dictionary_encode()
+        order = np.argsort(np.array(names.dictionary.to_pylist(), object), kind="stable") if rows.num_rows else np.zeros(0, np.int64)
+        self.languages = [names.dictionary[int(i)].as_py() for i in order]
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        lang = place[names.indices.to_numpy()] if rows.num_rows else np.zeros(0, np.int32)
+        size, kind = rows.column("size").to_numpy(), rows.column("kind").to_numpy()
+        whole = {c: rows.column(c).to_numpy() for c in ("hash", "context", "n", "types")}
+        count, self.arrays = len(self.languages), {}
+        for k in range(1, ORDER + 1):
+            gram, context = np.flatnonzero((size == k) & (kind == 0)), np.flatnonzero((size == k) & (kind == 1))
+            n = whole["n"][gram]
+            n1, n2 = (np.bincount(lang[gram[n == i]], minlength=count) for i in (1, 2))
+            discount = np.clip(n1 / np.maximum(n1 + 2 * n2, 1), 0.05, 0.95)
+            total = self._totals(whole["hash"][context], lang[context], whole["n"][context], whole["context"][gram], lang[gram])
+            d = discount[lang[gram]]
+            self.arrays[k, 0] = Entries(whole["hash"][gram], lang[gram], np.maximum(n - d, 0) / total)
+            self.arrays[k, 1] = Entries(whole["hash"][context], lang[context],
+                                        discount[lang[context]] * whole["types"][context] / whole["n"][context])
+        self.uniform = 1.0 / max(1, len(self.arrays[1, 0].hashes))
+
+    @staticmethod
+    def _totals(hashes, langs, totals, want, want_lang):
+        """The total of each wanted (context, language)."""
+        order = np.lexsort((langs, hashes))
+        back = np.lexsort((want_lang, want))
+        keys = np.rec.fromarrays([np.concatenate([hashes[order], want[back]]), np.concatenate([langs[order], want_lang[back]])])
+        _, group = np.unique(keys, return_inverse=True)
+        by_group = np.zeros(group.max(initial=-1) + 1)
+        by_group[group[:len(order)]] = totals[order]
+        out = np.empty(len(want))
+        out[back] = by_group[group[len(order):]]
+        return out
 
     def costs(self, grams: list[str]) -> np.ndarray:
         """Bits of the last letter of each gram after its first letters, per language."""
-        p = np.full((len(grams), len(self.languages)), self.uniform)
-        for size in range(1, ORDER + 1):
-            weight = self._values([g[ORDER - size:-1] for g in grams], size, 1)
-            share = self._values([g[ORDER - size:] for g in grams], size, 0)
-            p = np.where(weight > 0, share + weight * p, p)  # an unseen context says nothing
-        return -np.log2(np.maximum(p, 1e-12))
+        count, out = len(self.languages), []
+        for at in range(0, len(grams), GRAMS_AT_ONCE):
+            part = grams[at:at + GRAMS_AT_ONCE]
+            p = np.full((len(part), count), self.uniform)
+            for size in range(1, ORDER + 1):
+                weight = self.arrays[size, 1].find(hashes_of([g[ORDER - size:-1] for g in part]), count)
+                share = self.arrays[size, 0].find(hashes_of([g[ORDER - size:] for g in part]), count)
+                p = np.where(weight > 0, share + weight * p, p)  # an unseen context says nothing
+            out.append(-np.log2(np.maximum(p, 1e-12)).astype(np.float32))
+        return np.concatenate(out) if out else np.zeros((0, count), np.float32)
 
 
 class Scorer:
@@ -180,7 +225,7 @@ class Scorer:
 
     def score(self, texts: list[str | None]) -> list[tuple[int, np.ndarray]]:
         """Letters scored and their bits, by language, for each text."""
-        if len(self.words) > MAX_HELD:
+        if (len(self.words) + len(self.grams)) * len(self.models.languages) > HELD_COSTS:
             self._reset()
         found, words, new = [words_of(t) if t else [] for t in texts], self.words, []
         for ws in found:
@@ -201,7 +246,7 @@ class Scorer:
                         new_grams.append(g)
                     flat.append(k)
             if new_grams:
-                self.gram_costs = np.concatenate([self.gram_costs, self.models.costs(new_grams).astype(np.float32)])
+                self.gram_costs = np.concatenate([self.gram_costs, self.models.costs(new_grams)])
             self.word_costs = np.concatenate(
                 [self.word_costs, np.add.reduceat(self.gram_costs[np.array(flat)], np.array(begin), axis=0)])
         get = words.__getitem__
@@ -212,7 +257,7 @@ class Scorer:
 def learn(df: DataFrame, text: str = "text", lang: str = "lang") -> Models:
     """Models of all languages in ``lang``, from all rows where it is not null."""
     prepare(df.sparkSession)
-    return Models(smoothed(cut_lineage(gram_counts(df, text, lang))).toPandas())
+    return Models(counted(cut_lineage(gram_counts(df, text, lang))).toArrow())
 
 
 def predict(df: DataFrame, models: Models, text: str = "text") -> DataFrame:
@@ -221,7 +266,7 @@ def predict(df: DataFrame, models: Models, text: str = "text") -> DataFrame:
     prepare(spark)
     df = with_columns_replaced(df, "lang_pred", "score", "entropy", "letters")
     at = [c.lower() for c in df.columns].index(text.lower())
-    shared = spark.sparkContext.broadcast(models)  # bounded: see above
+    shared = spark.sparkContext.broadcast(models)  # an entry per distinct gram and language: see above
 
     def run(batches):
         scorer, languages = Scorer(shared.value), shared.value.languages
@@ -249,36 +294,40 @@ def predict(df: DataFrame, models: Models, text: str = "text") -> DataFrame:
         T.StructField("entropy", T.DoubleType()), T.StructField("letters", T.LongType())]))
 
 
-def _median(rows: DataFrame, value: Column, step: float) -> DataFrame:
-    """(__lang, value): per predicted language the upper edge of the class of width
-    ``step`` that holds the median; a task hands on counts per class."""
-    counts = rows.groupBy(F.col("lang_pred").alias("__lang"), F.floor(value / step).alias("k")).agg(
-        F.count("*").alias("n"))  # a bounded number of classes per language
-    upto = Window.partitionBy("__lang").orderBy("k")
-    return counts.select("__lang", "k", F.sum("n").over(upto).alias("upto"), F.sum("n").over(
-        Window.partitionBy("__lang")).alias("all")).filter(2 * F.col("upto") >= F.col("all")).groupBy("__lang").agg(
-        ((F.min("k") + 1) * step).alias("value"))
+def _medians(rows: DataFrame, **classes: Column) -> dict[tuple[str, str], float]:
+    """Per predicted language and name the upper edge of the class of width ``CLASS`` that
+    holds the median; a task hands on counts per class, a bounded number per language."""
+    named = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.floor(c / CLASS).alias("k")) for n, c in classes.items()]))
+    counts = rows.select("lang_pred", named.alias("c")).groupBy("lang_pred", "c.name", "c.k").agg(F.count("*").alias("n"))
+    held: dict[tuple[str, str], list[tuple[int, int]]] = {}
+    for r in counts.collect():
+        held.setdefault((r["lang_pred"], r["name"]), []).append((r["k"], r["n"]))
+    out = {}
+    for key, found in held.items():
+        k, n = np.array(sorted(found)).T
+        out[key] = float((k[np.searchsorted(2 * np.cumsum(n), n.sum())] + 1) * CLASS)
+    return out
 
 
 def calibrated(scored: DataFrame, learnt: Column, lang: str = "lang", z: float = Z) -> DataFrame:
     """Add ``rejected``; ``learnt`` tells the rows to calibrate on, of which those
     count whose ``lang`` is the predicted one.  ``scored`` is read more than once,
     so it should be a written table."""
+    spark = scored.sparkSession
     rows = cut_lineage(scored.filter(learnt & (F.col(lang).cast("string") == F.col("lang_pred"))).select(
         "lang_pred", "entropy", "letters").distinct())  # copies count once
-    center = cut_lineage(_median(rows, F.col("entropy"), CLASS)).toDF("__c_lang", "__center")
-    near = rows.join(F.broadcast(center), rows["lang_pred"] == center["__c_lang"])  # a row per language
+    scored = with_columns_replaced(scored, "rejected")
+    center = {k: v for (k, _), v in _medians(rows, center=F.col("entropy")).items()}
+    near = rows.join(F.broadcast(spark.createDataFrame(list(center.items()), "__l string, __center double")),  # a row per language
+                     F.col("lang_pred") == F.col("__l"))
     far = F.abs(F.col("entropy") - F.col("__center"))
-    docs = _median(near, far, CLASS).toDF("__d_lang", "__docs")
-    per_letter = _median(near, F.log2(F.greatest(far * F.sqrt("letters"), F.lit(1.0))), CLASS).toDF("__v_lang", "__var")
-    spread = center.join(docs, center["__c_lang"] == docs["__d_lang"]).join(
-        per_letter, center["__c_lang"] == per_letter["__v_lang"]).select(
-        F.col("__c_lang").alias("__lang"), "__center", (F.lit(NORMAL) * F.col("__docs")).alias("__docs"),
-        (F.lit(NORMAL) * F.pow(F.lit(2.0), "__var")).alias("__letter"))
-    joined = scored.join(F.broadcast(spread), scored["lang_pred"] == spread["__lang"], "left")
-    limit = F.col("__center") + z * F.sqrt(F.col("__docs") ** 2 + F.col("__letter") ** 2 / F.col("letters"))
-    return joined.select(*[scored[c] for c in scored.columns], F.coalesce(
-        (F.col("lang_pred") == UNKNOWN) | (F.col("entropy") > limit), F.lit(False)).alias("rejected"))
+    spread = _medians(near, docs=far, letter=F.log2(F.greatest(far * F.sqrt("letters"), F.lit(1.0))))
+    limits = [(k, c, (NORMAL * spread[k, "docs"]) ** 2, (NORMAL * 2 ** spread[k, "letter"]) ** 2) for k, c in center.items()]
+    limits = F.broadcast(spark.createDataFrame(limits, "__l string, __center double, __docs double, __letter double"))
+    limit = F.col("__center") + z * F.sqrt(F.col("__docs") + F.col("__letter") / F.col("letters"))
+    return scored.join(limits, F.col("lang_pred") == F.col("__l"), "left").select(
+        *[F.col(f"`{c}`") for c in scored.columns],
+        F.coalesce((F.col("lang_pred") == UNKNOWN) | (F.col("entropy") > limit), F.lit(False)).alias("rejected"))
 
 
 def held_out(doc_id: Column) -> Column:
