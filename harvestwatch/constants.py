@@ -223,8 +223,8 @@ SCENARIO_STATUS = {
 FLOOD_YES = "Yes 🚨"
 FLOOD_NO = "No ✅"
 
-# --- FIXED VALUES: report line formats (printf style; used by Spark's
-# format_string and by the SQL oracles) ---------------------------------------
+# --- FIXED VALUES: report line formats (printf style, for Spark's
+# format_string; decimals are filled in as text) ---------------------------------------
 RULE_LINE = "=" * 60
 BULLETIN_TITLE = "  EARLY WARNING — FARMER ALERT BULLETIN"
 BULLETIN_PERIOD = "  Period: %s"
@@ -244,22 +244,21 @@ SUMMARY_LATEST_HEADER = "  LATEST SNAPSHOT — %s"
 SUMMARY_LATEST_LINE = "    %s %-20s %-14s Phase %d — %-12s Price: %-12s %s"
 SUMMARY_ANOMALY_MARK = "⚠️ ANOMALY"
 FEATURE_REPORT_LINE = "%3d. %-45s [%s] missing=%d"
-EVALUATION_LINE = "  %-28s %-14s: %.4f"
+EVALUATION_LINE = "  %-28s %-14s: %s"
 REPORT_TITLE = "  EARLY WARNING — MODEL EVALUATION REPORT"
 REPORT_PHASE_HEADER = "MODEL 1: IPC Phase Classifier"
-REPORT_F1_LINE = "  Weighted F1 Score : %.4f"
+REPORT_F1_LINE = "  Weighted F1 Score : %s"
 REPORT_PRICE_HEADER = "MODEL 2: Price Change Regressor (Random Forest)"
-REPORT_MAE_LINE = "  MAE               : %.3f%%"
-REPORT_R2_LINE = "  R²                : %.4f"
+REPORT_MAE_LINE = "  MAE               : %s%%"
+REPORT_R2_LINE = "  R²                : %s"
 REPORT_NO_PRICE_LINE = "  Not fitted        : no price with enough values"
 REPORT_ANOMALY_HEADER = "MODEL 3: Compound Risk Anomaly Detector (Isolation Forest)"
-REPORT_ANOMALY_LINE = "  Anomalies found   : %d months (%.1f%%)"
+REPORT_ANOMALY_LINE = "  Anomalies found   : %d months (%s%%)"
 REPORT_DATA_HEADER = "DATA SUMMARY"
 REPORT_REGIONS_LINE = "  Regions           : %d"
 REPORT_YEARS_LINE = "  Years             : %d–%d"
 REPORT_ROWS_LINE = "  Total rows        : %,d"
 REPORT_RULE = "-" * 40
 SCENARIO_PCT_FORMAT = "%+d%%"
-SCENARIO_NDVI_FORMAT = "%+.2f"
 SCENARIO_DENSITY_FORMAT = "%d /km²"
 SCENARIO_PREV_FORMAT = "Phase %d — %s"

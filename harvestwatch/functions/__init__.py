@@ -3,7 +3,7 @@
 from .parse import parse_date, parse_double, normalise_missing, nan_to_null
 from .text import (
     matches_any, commodity_family, flag_pattern, period_label, month_short_name,
-    month_year_title, fractional_year, text_bar, signed_pct, std_region,
+    month_year_title, fractional_year, text_bar, fixed, signed_pct, std_region,
 )
 from .flags import flag_gt, flag_lt, flag_ge, flag_in, clip, null_safe_true
 from .rules import (

@@ -66,6 +66,37 @@ def text_bar(pct, char: str = "█", per: float = 2.0) -> Column:
     return F.repeat(F.lit(char), (as_col(pct) / F.lit(per)).cast("int"))
 
 
+def fixed(c, digits: int, sign: bool = False, width: int = 0) -> Column:
+    """fixed-point text rounded from the exact binary value, ties to even, as
+    ``format(x, '.1f')`` does (``3.15`` -> ``3.1``, for its double lies below the tie).
+
+    ``x * 10^digits`` is taken as a double ``p`` and the error of that product: with
+    ``x`` split in halves of 26 bits all parts are exact, so the sum of both is the exact
+    product, and the error decides where ``p`` falls on a tie.  A missing value is
+    ``nan``.  Products of 4.6e18 or more, beyond the integers used here, are left to
+    ``format_string``.  ``width`` pads to the right."""
+    x = as_col(c).cast("double")
+    a, scale = F.abs(x), F.lit(float(10 ** digits))
+    high = a * 134217729.0 - (a * 134217729.0 - a)  # the upper 26 bits
+    p = a * scale
+    error = (high * scale - p) + (a - high) * scale
+    k = F.floor(F.least(p, F.lit(4.6e18)))
+    part = p - k
+    up = (F.when(part == 0.0, F.rint(error).cast("long"))  # beyond 2^52 the error is a whole number and more
+          .when((part > 0.5) | ((part == 0.5) & ((error > 0.0) | ((error == 0.0) & (k % 2 == 1)))), F.lit(1))
+          .otherwise(F.lit(0)))
+    n = k + up
+    unit = 10 ** digits
+    whole = F.call_function("div", n, F.lit(unit)) if digits else n
+    body = F.concat(whole.cast("string"), F.lit("."), F.lpad((n % unit).cast("string"), digits, "0")) if digits else whole.cast("string")
+    large = F.format_string(f"%.{digits}f", a)
+    text = F.when(a == float("inf"), F.lit("inf")).when(x.isNull() | F.isnan(x), F.lit("nan")).when(
+        p >= 4.6e18, large).otherwise(body)
+    minus = F.coalesce(x.cast("string").startswith("-"), F.lit(False))  # of -0.0 too
+    text = F.concat(F.when(minus, F.lit("-")).otherwise(F.lit("+" if sign else "")), text)
+    return F.when(F.char_length(text) < width, F.lpad(text, width, " ")).otherwise(text) if width else text
+
+
 def signed_pct(c, digits: int = 1) -> Column:
-    """``+3.2`` style; Java rounds ties half-up (Python rounds the binary value)."""
-    return F.format_string(f"%+.{digits}f", as_col(c))
+    """``+3.2`` style."""
+    return fixed(c, digits, sign=True)

@@ -9,6 +9,7 @@ from .joins import join_master, with_labels, panel_spine, std_region_table
 from .aggregates import (distribution, distinct_count, distinct_values, min_max, mean_by, sum_by,
                          count_where_by, kpis, entity_profile, period_series, histogram,
                          column_profile, non_null_counts)
+from .sketches import distinct_from, distinct_sketches, label_counts, sketch_error
 from .slices import (period_index, latest_period, trailing_months, top_k, sample_rows,
                      filter_positive, filter_abs_le, filter_panel, fill_zero,
                      lag_rolling_flag_columns, col_or, one_hot, month_cycle, time_trend,

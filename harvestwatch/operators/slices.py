@@ -29,9 +29,11 @@ def latest_period(df: DataFrame) -> DataFrame:
 
 
 def trailing_months(df: DataFrame, n: int = 12) -> DataFrame:
-    """Rows within the last ``n`` months up to the latest period."""
+    """Rows within the last ``n`` months up to the latest period.  The bounds on
+    the year alone let a scan of a table partitioned by year skip the other years."""
     idx = df.select(F.max(period_index())).scalar()
-    return df.filter((period_index() > idx - F.lit(n)) & (period_index() <= idx))
+    years = F.col("year").between(F.floor((idx - F.lit(n - 1)) / 12), F.floor(idx / 12))
+    return df.filter(years & (period_index() > idx - F.lit(n)) & (period_index() <= idx))
 
 
 def top_k(df: DataFrame, by, k: int, ties=()) -> DataFrame:

@@ -4,8 +4,7 @@ Plain SQL over the benchmark tables.  Calendars, families, labels, actions and
 thresholds are written out here, texts, formats and stand-in parameters in
 ``oracle_values``, so that a wrong value in the code under test shows as a
 mismatch.  Literals that mix with doubles carry ``::DOUBLE`` (a bare ``0.3`` is
-DECIMAL).  Formats that Spark renders with Java's half-up rounding are
-emulated by rounding a DECIMAL first.
+DECIMAL).  ``printf`` rounds from the exact binary value, as the source's formats do.
 """
 
 from __future__ import annotations
@@ -28,9 +27,9 @@ def lit(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def jfmt(fmt: str, x: str, digits: int) -> str:
-    """Java-style (half-up on the decimal form) fixed-point format."""
-    return f"printf('{fmt}', round(CAST({x} AS DECIMAL(38,10)), {digits})::DOUBLE)"
+def fmt(form: str, x: str) -> str:
+    """Fixed-point text of a double, rounded from its exact binary value."""
+    return f"printf('{form}', CAST({x} AS DOUBLE))"
 
 
 def _split_args(body: str):

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as K
 from ..functions import (month_year_title, phase_action, phase_icon, phase_label,
-                         price_message, signed_pct, text_bar, weather_message)
+                         price_message, fixed, signed_pct, text_bar, weather_message)
 from ..operators import (FEED_COLUMNS, SNAPSHOT_COLUMNS, column_profile, count_where_by,
                          latest_period, trailing_months)
 
@@ -105,7 +105,7 @@ def document_order():
 
 
 def _fmt1(c) -> Column:
-    return F.format_string("%4.1f", c)
+    return fixed(c, 1, width=4)
 
 
 def summary_lines(scored: DataFrame, top: int = 5) -> DataFrame:
@@ -184,7 +184,7 @@ def run_summary(df: DataFrame, n_features: int | None = None) -> DataFrame:
 def evaluation_lines(metrics: DataFrame) -> DataFrame:
     """Metric report lines from a ``(model, metric, value)`` table."""
     return metrics.select("model", "metric",
-                          F.format_string(K.EVALUATION_LINE, "model", "metric", "value").alias("value"))
+                          F.format_string(K.EVALUATION_LINE, "model", "metric", fixed("value", 4)).alias("value"))
 
 
 def model_report(classes: DataFrame, errors: DataFrame | None, scored: DataFrame) -> DataFrame:
@@ -196,14 +196,14 @@ def model_report(classes: DataFrame, errors: DataFrame | None, scored: DataFrame
     if errors is not None:
         mae, r2 = errors.select("mae", "r2").first()  # † one row
         one = one.withColumns({"mae": F.lit(mae).cast("double"), "r2": F.lit(r2).cast("double")})
-    price = ([F.format_string(K.REPORT_MAE_LINE, "mae"), F.format_string(K.REPORT_R2_LINE, "r2")]
+    price = ([F.format_string(K.REPORT_MAE_LINE, fixed("mae", 3)), F.format_string(K.REPORT_R2_LINE, fixed("r2", 4))]
              if errors is not None else [F.lit(K.REPORT_NO_PRICE_LINE)])
     share = F.col("found") * F.lit(100.0) / F.col("rows")
     rule, blank = F.lit(K.REPORT_RULE), F.lit("")
     lines = [F.lit(RULE), F.lit(K.REPORT_TITLE), F.lit(RULE), blank,
-             F.lit(K.REPORT_PHASE_HEADER), rule, F.format_string(K.REPORT_F1_LINE, "f1"), blank,
+             F.lit(K.REPORT_PHASE_HEADER), rule, F.format_string(K.REPORT_F1_LINE, fixed("f1", 4)), blank,
              F.lit(K.REPORT_PRICE_HEADER), rule, *price, blank,
-             F.lit(K.REPORT_ANOMALY_HEADER), rule, F.format_string(K.REPORT_ANOMALY_LINE, "found", share), blank,
+             F.lit(K.REPORT_ANOMALY_HEADER), rule, F.format_string(K.REPORT_ANOMALY_LINE, "found", fixed(share, 1)), blank,
              F.lit(K.REPORT_DATA_HEADER), rule, F.format_string(K.REPORT_REGIONS_LINE, "regions"),
              F.format_string(K.REPORT_YEARS_LINE, "y0", "y1"), F.format_string(K.REPORT_ROWS_LINE, "rows")]
     return one.select(F.posexplode(F.array(*lines)).alias("seq", "value"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as K
-from ..functions import phase_label
+from ..functions import fixed, phase_label
 from ..functions._util import np_round
 
 _D = lambda x: F.lit(float(x))
@@ -17,7 +17,7 @@ T = K.SCENARIO_DRIVERS
 
 
 def _fmt0(c) -> Column:
-    return F.format_string("%.0f", F.col(c).cast("double"))
+    return fixed(c, 0)
 
 
 def _text(template: str, **parts) -> Column:
@@ -56,7 +56,7 @@ def scenario_score(df: DataFrame) -> DataFrame:
         F.when(flood, F.lit(T["active_flood"])),
         F.when(conflict >= 5, _text(T["high_conflict"], conflict=conflict.cast("string")))
          .when(conflict >= 2, _text(T["moderate_conflict"], conflict=conflict.cast("string"))),
-        F.when(ndvi <= -0.15, _text(T["vegetation"], ndvi=F.format_string("%.2f", ndvi))),
+        F.when(ndvi <= -0.15, _text(T["vegetation"], ndvi=fixed(ndvi, 2))),
         F.when(prev >= 3, _text(T["carry_over"], prev=prev.cast("string"))),
         F.when(dens >= 200, _text(T["density"], density=_fmt0("population_density"))),
     )
@@ -92,7 +92,7 @@ def scenario_status(df: DataFrame, key: str = "scenario_id") -> DataFrame:
          F.when(flood, F.lit(S["flood"][0])).otherwise(F.lit(S["flood"][1]))),
         (conflict.cast("string"),
          F.when(conflict >= 5, F.lit(S["conflict"][0])).when(conflict >= 2, F.lit(S["conflict"][1])).otherwise(F.lit(S["conflict"][2]))),
-        (F.format_string(K.SCENARIO_NDVI_FORMAT, ndvi),
+        (fixed(ndvi, 2, sign=True),
          F.when(ndvi <= -0.15, F.lit(S["ndvi"][0])).otherwise(F.lit(S["ndvi"][1]))),
         (F.format_string(K.SCENARIO_DENSITY_FORMAT, dens.cast("int")),
          F.when(dens >= 200, F.lit(S["density"][0])).otherwise(F.lit(S["density"][1]))),

@@ -486,8 +486,8 @@ items AS (
     printf({O.lit(V.BULLETIN_BLOCK_HEADER)}, {O._ICON}, upper(region), district, strftime(make_date(year, month, 1), '%B %Y')),
     printf({O.lit(V.BULLETIN_PHASE_LINE)}, pred_ipc_phase, {O._LABEL}),
     printf({O.lit(V.BULLETIN_ACTION_LINE)}, {O._ACTION_LONG}),
-    printf({O.lit(V.BULLETIN_PRICE_LINE)}, pred_price_direction, {O.jfmt('%+.1f', 'pred_price_change', 1)}),
-    printf({O.lit(V.BULLETIN_RAIN_LINE)}, {O.jfmt('%+.1f', 'rainfall_anomaly_pct', 1)}),
+    printf({O.lit(V.BULLETIN_PRICE_LINE)}, pred_price_direction, {O.fmt('%+.1f', 'pred_price_change')}),
+    printf({O.lit(V.BULLETIN_RAIN_LINE)}, {O.fmt('%+.1f', 'rainfall_anomaly_pct')}),
     CASE WHEN is_anomaly = 1 THEN '{V.BULLETIN_ANOMALY_LINE}' END,
     '',
     '{V.BULLETIN_VOICE_HEADER}',
@@ -536,10 +536,10 @@ def _scenario_score_sql() -> str:
         for name, expr in parts.items():
             s = s.replace("{" + name + "}", "' || " + expr + " || '")
         return s
-    r = "printf('%.0f', round(CAST(rainfall_anom AS DECIMAL(38,10)), 0)::DOUBLE)"
-    p = "printf('%.0f', round(CAST(price_change AS DECIMAL(38,10)), 0)::DOUBLE)"
-    d = "printf('%.0f', round(CAST(population_density AS DECIMAL(38,10)), 0)::DOUBLE)"
-    nd = O.jfmt('%.2f', 'ndvi_anom', 2)
+    r = "printf('%.0f', rainfall_anom::DOUBLE)"
+    p = "printf('%.0f', price_change::DOUBLE)"
+    d = "printf('%.0f', population_density::DOUBLE)"
+    nd = O.fmt('%.2f', 'ndvi_anom')
     score = ("((((((0.0::DOUBLE + CASE WHEN rainfall_anom >= 50 THEN 2.5::DOUBLE WHEN rainfall_anom <= -40 THEN 2.0::DOUBLE "
              "WHEN rainfall_anom <= -20 THEN 0.8::DOUBLE ELSE 0.0::DOUBLE END) "
              "+ CASE WHEN price_change >= 30 THEN 2.0::DOUBLE WHEN price_change >= 15 THEN 1.0::DOUBLE "
@@ -865,7 +865,7 @@ _SUMMARY = (
     "FROM (SELECT year, month FROM latest LIMIT 1) "
     f"UNION ALL SELECT 1, CAST(pred_ipc_phase AS DOUBLE), '', printf('    %s Phase %d — %-12s: %5s months (%s%%)  %s', "
     f"{O._ICON}, pred_ipc_phase, {O._LABEL}, format('{{:,}}', n), "
-    f"{O.jfmt('%4.1f', 'n * 100.0::DOUBLE / (SELECT n FROM tot)', 1)}, "
+    f"{O.fmt('%4.1f', 'n * 100.0::DOUBLE / (SELECT n FROM tot)')}, "
     "repeat('█', CAST(trunc(n * 100.0::DOUBLE / (SELECT n FROM tot) / 2.0::DOUBLE) AS INTEGER))) FROM d "
     f"UNION ALL SELECT * FROM (SELECT 2, CAST(-count(*) AS DOUBLE), region, printf({O.lit(V.SUMMARY_TOP_LINE)}, "
     "region, count(*)) FROM scored WHERE is_anomaly = 1 GROUP BY region ORDER BY count(*) DESC, region LIMIT 5) "
@@ -924,7 +924,7 @@ m AS (
 """
 
 
-_EVAL_VALUE = f"printf({O.lit(V.EVALUATION_LINE)}, model, metric, round(CAST(value AS DECIMAL(38,10)), 4)::DOUBLE)"
+_EVAL_VALUE = f"printf({O.lit(V.EVALUATION_LINE)}, model, metric, value::DOUBLE)"
 
 
 @register("evaluation_lines", O.np_rounds("WITH " + O.CTE.strip() + _PERSIST + _EVAL +

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from . import oracle as O
+from . import oracle_values as V
 from .functions._util import lit_map
 from .operators import monthly_mean, with_year_month
 from .plans import standin as S
@@ -190,3 +191,55 @@ def q_conflict_corrected(spark, sf):
         landing.write.mode("append").option("header", True).csv(f"{base}/landing")
         start_keyed_refresh(spark, f"{base}/landing", f"{base}/store", f"{base}/ckpt").awaitTermination()
     return conflict_from_partials(spark, f"{base}/store/partials")
+
+
+# ---- S10 / A8: labels with counts; A7: distinct counts from kept sketches --------------
+
+_LABELS = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {c}::VARCHAR AS value, count(*) AS n, count(*) / (SELECT count({c}) FROM quotes)::DOUBLE AS share, "
+    f"row_number() OVER (ORDER BY count(*) DESC, {c}::VARCHAR) AS rank FROM quotes WHERE {c} IS NOT NULL GROUP BY {c}"
+    for c in ("commodity", "event_type", "region", "clerk"))
+
+
+@register("label_overview", O.q(f"""
+, quotes AS (
+  SELECT {O._case_map('p_type', V.STANDIN_COMMODITY)} AS commodity, {O._case_map('l_returnflag', V.STANDIN_EVENT_TYPE)} AS event_type,
+         trim(r_name) AS region, l_suppkey AS clerk
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN geo ON s_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey)
+SELECT "column", value, n, share, CAST(rank AS INTEGER) AS rank FROM ({_LABELS}) WHERE rank <= 12""", ("column", "value")))
+def q_label_overview(spark, sf):
+    """The labels of the raw quotes and events with their counts, and the busiest of many sources."""
+    from .operators import label_counts
+    from .sources.driver import table
+    li = S._lineitem_geo(spark, sf, ["l_partkey", "l_returnflag"])
+    p = table(spark, sf, "part").select("p_partkey", lit_map(S.STANDIN_COMMODITY)[F.col("p_type")].alias("commodity"))
+    quotes = li.join(p, li.l_partkey == p.p_partkey).select(
+        "commodity", lit_map(S.STANDIN_EVENT_TYPE)[F.col("l_returnflag")].alias("event_type"),
+        F.trim("r_name").alias("region"), F.col("l_suppkey").alias("clerk"))
+    return label_counts(cut_lineage(quotes), ["commodity", "event_type", "region", "clerk"], 12)
+
+
+@register("distinct_by_range", O.q("""
+, seen AS (
+  SELECT trim(r_name) AS region, year(o_orderdate) AS year, o_custkey AS station FROM orders
+  JOIN customer ON o_custkey = c_custkey JOIN geo ON c_nationkey = n_nationkey)
+SELECT region, count(DISTINCT station) AS n_station, true AS within FROM seen WHERE year BETWEEN 1993 AND 1996 GROUP BY region
+UNION ALL SELECT 'all', count(DISTINCT station), true FROM seen""", ("region", "within")))
+def q_distinct_by_range(spark, sf):
+    """Distinct stations of a range of years from sketches kept by region and year, next to the
+    exact counts: ``within`` tells that the estimate keeps to its stated error."""
+    from .operators import distinct_from, distinct_sketches, sketch_error
+    from .sources import write_stage
+    from .sources.driver import table
+    o, c = table(spark, sf, "orders").select("o_custkey", "o_orderdate"), table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    g = S._geo(spark, sf)
+    seen = cut_lineage(o.join(c, F.col("o_custkey") == c.c_custkey).join(g, F.col("c_nationkey") == g.n_nationkey).select(
+        F.trim("r_name").alias("region"), F.year("o_orderdate").alias("year"), F.col("o_custkey").alias("station")))
+    kept = write_stage(distinct_sketches(seen, ["region", "year"], ["station"]), _scratch(spark, "sketches"), cluster_by=("region",))
+    years = F.col("year").between(1993, 1996)
+    estimate = distinct_from(kept.where(years), ["region"], ["station"]).unionByName(
+        distinct_from(kept, [], ["station"]).withColumn("region", F.lit("all")))
+    exact = seen.where(years).groupBy("region").agg(F.count_distinct("station").alias("n_station")).unionByName(
+        seen.agg(F.count_distinct("station").alias("n_station")).withColumn("region", F.lit("all")))
+    both = exact.join(estimate.withColumnRenamed("n_station", "e"), "region")
+    return both.select("region", "n_station", (F.abs(F.col("e") - F.col("n_station")) <= 1 + sketch_error() * F.col("n_station")).alias("within"))

@@ -135,14 +135,19 @@ def write_lines(df: DataFrame, path: str, order_by=("seq",), value: str = "value
     df.orderBy(*order_by).select(F.col(value).cast("string")).write.mode("overwrite").text(path)
 
 
+LISTED = 1_000
+
+
 def source_overview(df: DataFrame, date_col: str, distinct_cols=(), list_cols=()) -> DataFrame:
     """One-row overview (rows, date range, distinct counts, value lists).
 
-    Value lists are ``collect_set`` of low-cardinality labels (commodities,
-    event types) -- bounded by the label vocabulary, not the row count.
+    Value lists hold the labels (commodities, event types) of a bounded summary:
+    all of them where a column has at most ``LISTED`` labels, else its most frequent
+    ones; ``operators.label_counts`` has them as rows with exact counts.
     """
     aggs = [F.count(F.lit(1)).alias("rows"),
             F.min(date_col).alias("date_min"), F.max(date_col).alias("date_max")]
     aggs += [F.count_distinct(c).alias(f"n_{c}") for c in distinct_cols]
-    aggs += [F.array_sort(F.collect_set(c)).alias(f"{c}_values") for c in list_cols]
+    aggs += [F.expr(f"array_sort(approx_top_k(`{c}`, {LISTED}, {10 * LISTED}) FILTER (WHERE `{c}` IS NOT NULL).item)").alias(
+        f"{c}_values") for c in list_cols]
     return df.agg(*aggs)

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from harvestwatch import constants as K
-from harvestwatch.functions import (flag_gt, flag_lt, flag_pattern, ipc_phase_rule, ipc_score,
+from harvestwatch.functions import (fixed, signed_pct, flag_gt, flag_lt, flag_pattern, ipc_phase_rule, ipc_score,
                                     month_year_title, parse_date, parse_double, period_label,
                                     price_direction, season_phase, std_region, risk_tier,
                                     weather_message, price_message, is_lean_season)
@@ -100,9 +100,22 @@ def test_messages_and_tiers(spark):
     assert [r.t for r in rows] == ["crisis", "unusual", "stressed", "minimal"]
 
 
-def test_java_signed_format_is_half_up(spark):
-    r = spark.range(1).select(F.format_string("%+.1f", F.lit(3.15))).first()[0]
-    assert r == "+3.2"
+def test_fixed_text_equals_pythons_format(spark):
+    import random
+    pick = random.Random(7)
+    ties = [3.15, 0.25, 0.75, 2.5, 3.5, 0.5, 1.005, 2.675, 1.25, 1.35, 0.05, 0.15, 0.45, 1e15 + 0.5, 1e16, 4503599627370497.5, 0.125, 0.375,
+            90071992547409.25, 9007199254740993.0, 1e17, 123456789012345.67, 5e-324, 1e-9, 0.0, 99.95, 9.995, 999999.9999]
+    more = [pick.uniform(-1, 1) * 10 ** pick.randint(-4, 12) for _ in range(400)] + [round(pick.uniform(0, 100), 2) for _ in range(400)]
+    more += [(2 * k + 1) / 2 ** m for k in range(20) for m in (1, 2, 3, 4)]
+    values = [v * s for v in [*ties, *more] for s in (1, -1)] + [float("inf"), float("-inf")]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for digits in (0, 1, 2, 3, 4):
+        got = df.select("x", fixed("x", digits).alias("a"), fixed("x", digits, sign=True, width=8).alias("b")).collect()
+        assert [(r.x, r.a) for r in got] == [(v, format(v, f".{digits}f")) for v in values]
+        assert [(r.x, r.b) for r in got] == [(v, format(v, f"+8.{digits}f")) for v in values]
+    odd = spark.createDataFrame([(None,), (float("nan"),)], "x double")
+    assert [r[0] for r in odd.select(signed_pct("x")).collect()] == ["+nan", "+nan"]
+    assert spark.range(1).select(signed_pct(F.lit(3.15))).first()[0] == "+3.1"
 
 
 def test_std_region_empty_map(spark):

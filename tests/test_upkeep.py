@@ -233,3 +233,25 @@ def test_quantile_with_half_of_the_values_close_together(spark, monkeypatch, poi
             assert got == pytest.approx(want, rel=1e-12), (name, q)
     plan = quantile_table(df, "v", 0.5)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" in plan and "windowspecdefinition(v" not in plan  # every window has a partition key
+
+
+# -- S10, A7 --------------------------------------------------------------------------
+
+def test_label_counts(spark):
+    from harvestwatch.operators import label_counts
+    rows = [("a", 1), ("b", 1), ("a", 2), (None, 3), ("c", None)] + [(f"x{i % 300}", i % 7) for i in range(3000)] + [("hot", 9)] * 1500
+    got = label_counts(spark.createDataFrame(rows, "s string, n int").repartition(3), ["s", "n"], k=3, tracked=512).collect()
+    by = {c: [(r["value"], r["n"], r["rank"]) for r in sorted(got, key=lambda r: r["rank"]) if r["column"] == c] for c in ("s", "n")}
+    assert by["s"] == [("hot", 1500, 1), ("x0", 10, 2), ("x1", 10, 3)]
+    assert by["n"] == [("9", 1500, 1), ("1", 431, 2), ("2", 430, 3)]
+    assert [r["share"] for r in got if r["value"] == "hot"] == [1500 / 4504]
+    assert label_counts(spark.createDataFrame([], "s string"), ["s"]).count() == 0
+
+
+def test_sketches_unite(spark):
+    from harvestwatch.operators import distinct_from, distinct_sketches, sketch_error
+    rows = [(y, i) for y in (1, 2, 3) for i in range(y * 1000, y * 1000 + 3000)] + [(1, None)]
+    kept = distinct_sketches(spark.createDataFrame(rows, "y int, v int"), ["y"], ["v"])
+    one = {r.y: r.n_v for r in distinct_from(kept, ["y"], ["v"]).collect()}
+    assert all(abs(n - 3000) <= sketch_error() * 3000 for n in one.values())
+    assert abs(distinct_from(kept, [], ["v"]).first()[0] - 5000) <= sketch_error() * 5000  # values of several years count once
