@@ -24,8 +24,7 @@ def label_counts(df: DataFrame, cols, k: int = 20, tracked: int = TRACKED) -> Da
     more, a label of more than ``3.5 / tracked`` of the rows is always a candidate, so a
     row of the result whose ``share`` is above that is certain to hold its rank."""
     cols = list(cols)
-    follow = min(tracked, max(4 * k, 100))
-    tops = df.agg(*[F.expr(f"approx_top_k(CAST(`{c}` AS STRING), {follow}, {tracked}) FILTER (WHERE `{c}` IS NOT NULL)").alias(f"t{i}")
+    tops = df.agg(*[F.expr(f"approx_top_k(CAST(`{c}` AS STRING), {tracked}, {tracked}) FILTER (WHERE `{c}` IS NOT NULL)").alias(f"t{i}")
                     for i, c in enumerate(cols)])
 
     def tagged(i):
@@ -37,7 +36,7 @@ def label_counts(df: DataFrame, cols, k: int = 20, tracked: int = TRACKED) -> Da
                                           for i, c in enumerate(cols)])).alias("c")).select("c.i", "c.v")
     counts = cells.join(F.broadcast(candidates), ["i", "v"]).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
     totals = df.select(F.array(*[F.count(c) for c in cols]).alias("a")).scalar()
-    first = Window.partitionBy("i").orderBy(F.col("n").desc(), "v")  # at most `follow` rows of a column
+    first = Window.partitionBy("i").orderBy(F.col("n").desc(), "v")  # at most `tracked` rows of a column
     return counts.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k).select(
         F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("i") + 1).alias("column"), F.col("v").alias("value"), "n",
         (F.col("n") / F.element_at(totals, F.col("i") + 1)).alias("share"), "rank")
