@@ -5,24 +5,49 @@ all columns in place, the last one the packed pieces.  ``run`` applies them to
 ``documents``; every stage's result is written and read again by the next.
 
 Columns are renamed by position while an operator works, so extra columns whose
-names clash with the operator's own come through unchanged.  A stage on an empty
-table returns an empty table.  Fully repeated rows count as copies of a document.
+names clash with the operator's own come through unchanged.  Every stage keeps on
+an empty table its columns and no rows.  Null and empty texts: ``language_id`` rejects
+them, the later stages take a null text for an empty one (``quality_rules`` fails
+it, ``near_duplicates`` holds all of them for copies of one document, ``substring_dedup``
+leaves them as they are, ``pack`` gives them the end sign alone).  Texts of any length
+are read whole.  Fully repeated rows count as copies of a document, and of copies with
+one id only one row stays; ties of classes go to the smallest id.
+
+What a stage writes for itself is deleted when a later stage of the pipeline starts
+that does not read it: the result of a stage must be written (as ``run`` does) or
+handed on before the next one is called.  No other query's tables are touched.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestwatch.llm import jaccard, langid, packing, quality, substrings
 from harvestwatch.llm._common import cut_lineage, prepare, table
-from harvestwatch.session import release_stages
+from harvestwatch.session import StageScope
+
+
+_scopes: list[StageScope] = []  # of the stages called so far, whose tables may still be read
+
+
+def _stage(fn):
+    """A stage with its own scope of tables; those of earlier stages go, unless ``docs`` reads them."""
+    @functools.wraps(fn)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for old in [x for x in _scopes if not x.read_by(docs)]:
+            old.release()
+            _scopes.remove(old)
+        _scopes.append(StageScope(spark))
+        with _scopes[-1].collecting():
+            return fn(spark, docs, sf_dir)
+    return run
 
 
 def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
-    """The documents with columns named by position, and where each name went.
-    What earlier stages wrote for themselves is deleted, unless ``docs`` reads it."""
-    release_stages(docs)
+    """The documents with columns named by position, and where each name went."""
     names = [f"__c{i}" for i in range(len(docs.columns))]
     return docs.toDF(*names), dict(reversed(list(zip(docs.columns, names, strict=True))))
 
@@ -31,6 +56,7 @@ def _back(df: DataFrame, docs: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
+@_stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and texts far from every language learnt, which
     are those of all labelled documents: nothing is evaluated here on a fold of them."""
@@ -40,6 +66,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _back(langid.calibrated(scored, F.lit(True), at["lang"]).filter(~F.col("rejected")), docs)
 
 
+@_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that fail by themselves or by their host."""
     prepare(spark)
@@ -48,6 +75,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _back(quality.judge(counted, at["source"]).filter("kept"), docs)
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of smallest id of each class of near duplicates."""
     plain, at = _plain(docs)
@@ -61,6 +89,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _back(kept, docs)
 
 
+@_stage
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages that start earlier; a text that loses none stays as it is."""
     plain, at = _plain(docs)
@@ -73,9 +102,9 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _back(cut, docs)
 
 
+@_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the texts into sequences of 2048 tokens."""
-    release_stages(docs)
     return packing.pack(docs)
 
 
@@ -86,9 +115,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, held = table(spark, sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = cut_lineage(docs)
+            written = StageScope(spark)
+            with written.collecting():
+                docs = cut_lineage(docs)
+            if held is not None:
+                held.release()  # the documents that this stage has read
+            held = written
     return docs

@@ -11,9 +11,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..operators import select_by_keyword, select_covered, select_features
+from ..operators import latest_row, sample_rows, select_by_keyword, select_covered, select_features
 from ..plans import standin as S
 from ..session import cut_lineage, stage_path
+from .attribution import attribution_ranking, regression_scorer, shapley_values
+from .calibrate import calibration_error, fit_calibrated
 from .forest import isolation_forest
 from .importance import permutation_importance
 from .metrics import classification_report, regression_metrics
@@ -108,7 +110,54 @@ def q_saved_scores(spark, sf):
         "anomaly_score", "is_anomaly")
 
 
+def q_attribution(spark, sf, trees: int = 100, sample: int = 200):
+    """The 15 features that move the fitted regressor most, by sampled Shapley values of a
+    seeded sample of held-out rows (the sample is the operator's)."""
+    f, t, cols = _price_frame(spark, sf)
+    split = cut_lineage(hash_split(t, KEYS, 0.8, K.SEED))
+    model = fit_price(split.where(F.col("split") == "train"), cols, trees=trees)
+    test = split.where(F.col("split") == "test")
+    values = shapley_values(regression_scorer(model), sample_rows(test, sample, KEYS), cols, KEYS, latest_row(
+        split.where(F.col("split") == "train"), "region", order=(*KEYS[1:], "district")))
+    return attribution_ranking(values)
+
+
+# Boosting rounds and folds of the registered queries: each class of each fold is a model of its own.
+BOOSTED = {"trees": 15, "depth": 4, "learning_rate": 0.3}
+
+
+def _boosted(spark, sf):
+    f = _features(spark, sf)
+    cols = feature_columns(f)
+    split = cut_lineage(stratified_split(f, "ipc_phase", KEYS, K.TEST_FRACTION, K.SEED))
+    return split, cols, fit_calibrated(split.where(F.col("split") == "train"), cols, "ipc_phase", KEYS, folds=2, **BOOSTED)
+
+
+def q_phase_boosted(spark, sf):
+    """M5 boosted, M10 with calibrated confidence, over the whole feature table."""
+    split, _, model = _boosted(spark, sf)
+    return model.predict(split).select(*KEYS, "split", "ipc_phase", "pred_ipc_phase", "pred_ipc_confidence", "pred_ipc_label")
+
+
+def q_phase_boosted_evaluation(spark, sf, trees: int = 100):
+    """Weighted F1 of the boosted classifier and of the forest on the held-out rows, and how far
+    the confidence of each is from its accuracy."""
+    split, cols, model = _boosted(spark, sf)
+    test = split.where(F.col("split") == "test")
+    forest = fit_phase(split.where(F.col("split") == "train"), cols, "ipc_phase", trees=trees)
+    out = None
+    for name, pred in (("boosted", model.predict(test)), ("forest", predict_phase(forest, test, cols))):
+        pred = cut_lineage(pred.select("ipc_phase", "pred_ipc_phase", "pred_ipc_confidence"))
+        f1 = classification_report(pred, "ipc_phase", "pred_ipc_phase").agg(F.max("weighted_f1")).scalar()
+        row = calibration_error(pred).select(F.lit(name).alias("model"), f1.alias("weighted_f1"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 MODEL_QUERIES = {
+    "attribution": q_attribution,
+    "phase_boosted": q_phase_boosted,
+    "phase_boosted_evaluation": q_phase_boosted_evaluation,
     "stratified_split": q_stratified_split,
     "phase_model": q_phase_model,
     "price_model": q_price_model,

@@ -243,3 +243,28 @@ def q_distinct_by_range(spark, sf):
         seen.agg(F.count_distinct("station").alias("n_station")).withColumn("region", F.lit("all")))
     both = exact.join(estimate.withColumnRenamed("n_station", "e"), "region")
     return both.select("region", "n_station", (F.abs(F.col("e") - F.col("n_station")) <= 1 + sketch_error() * F.col("n_station")).alias("within"))
+
+
+# ---- M16: contributions to a linear score, whose exact values are known ----------------
+
+_WEIGHTS = {"rainfall_anomaly_pct": 0.03, "rainfall_anomaly_lag1": -0.02, "price_change_pct": 0.05, "conflict_events": 0.1,
+            "flood_flag": 1.5, "is_lean_season": 1.0}
+_X = ", ".join(f"coalesce({c}, 0.0::DOUBLE)::DOUBLE AS {c}" for c in _WEIGHTS)
+
+
+@register("attribution_linear", O.q(f"""
+, x AS (SELECT region, district, year, month, {_X} FROM features),
+z AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY region ORDER BY year DESC, month DESC, district DESC) = 1),
+m AS (SELECT {', '.join(f'avg({c}) AS {c}' for c in _WEIGHTS)} FROM z)
+""" + " UNION ALL ".join(
+    f"SELECT district, year, month, '{c}' AS feature, {w}::DOUBLE * (x.{c} - m.{c}) AS contribution FROM x, m"
+    for c, w in _WEIGHTS.items()), ("district", "feature")))
+def q_attribution_linear(spark, sf):
+    """Sampled Shapley values of a linear score against the latest row of each region."""
+    from .models.attribution import column_scorer, shapley_values
+    from .operators import latest_row
+    f = S.features(spark, sf).select("region", "district", "year", "month", *_WEIGHTS)
+    back = latest_row(f, "region", order=("year", "month", "district"))
+    score = sum((F.col(c) * w for c, w in _WEIGHTS.items()), F.lit(0.0))
+    values = shapley_values(column_scorer(score), f, list(_WEIGHTS), ["district", "year", "month"], back, pairs=5)
+    return values.select("district", "year", "month", "feature", "contribution")

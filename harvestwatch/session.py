@@ -6,6 +6,8 @@ the session and only set one ourselves where it is unset (local tests).
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
@@ -102,23 +104,67 @@ def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = stage_path(spark, name or uuid.uuid4().hex)
+    scope = _scope.get()
+    if scope is not None:
+        scope.paths.append(path)
     df.write.mode("overwrite").parquet(path)
-    _written.append(path)
     return spark.read.parquet(path)
 
 
-_written: list[str] = []
+class StageScope:
+    """Owns the stage tables that ``cut_lineage`` writes while it is entered, and
+    deletes them when it is left::
 
+        with StageScope(spark):
+            query(spark, sf_dir).write.parquet(out)
 
-def release_stages(keep: DataFrame) -> None:
-    """Delete the stage tables written so far in this session, but for those that
-    ``keep`` reads.  For callers whose earlier results have been written out."""
-    spark, used = keep.sparkSession, "\n".join(keep.inputFiles())
-    for path in list(_written):
-        if path.rsplit("/", 1)[-1] in used:
-            continue
-        delete_path(spark, path)
-        _written.remove(path)
+    ``collecting`` enters it without deleting; ``release`` deletes later.  Tables that
+    no scope owns go when the application ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    @contextlib.contextmanager
+    def collecting(self):
+        token = _scope.set(self)
+        try:
+            yield self
+        finally:
+            _scope.reset(token)
+
+    def __enter__(self):
+        self._token = _scope.set(self)
+        return self
+
+    def __exit__(self, *error):
+        _scope.reset(self._token)
+        self.release()
+
+    def release(self) -> None:
+        while self.paths:
+            delete_path(self.spark, self.paths.pop())
+
+    def read_by(self, df: DataFrame) -> bool:
+        """Whether ``df`` is still to read one of the tables."""
+        roots = scanned_roots(df)
+        return any(root.rstrip("/").endswith(path.rsplit("/hw-stages/", 1)[-1]) for path in self.paths for root in roots)
+
+
+_scope: contextvars.ContextVar[StageScope | None] = contextvars.ContextVar("stage_scope", default=None)
+
+
+def scanned_roots(df: DataFrame) -> set[str]:
+    """The paths that the scans of a plan were opened with (a few, not their files)."""
+    roots, plans = set(), [df._jdf.queryExecution().analyzed()]
+    while plans:
+        plan = plans.pop()
+        children = plan.children()
+        inner = plan.subqueries()
+        plans += [children.apply(i) for i in range(children.size())] + [inner.apply(i) for i in range(inner.size())]
+        if plan.getClass().getSimpleName() == "LogicalRelation" and plan.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            paths = plan.relation().location().rootPaths()
+            roots |= {paths.apply(i).toString() for i in range(paths.size())}
+    return roots
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -133,8 +179,17 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 def stage_path(spark: SparkSession, name: str) -> str:
     """A path for a stage table inside the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    return base.rstrip("/") + "/hw-stages/" + name
+    base = ensure_checkpoint_dir(spark).rstrip("/") + "/hw-stages"
+    if base not in _ends_with_application:
+        at = spark._jvm.org.apache.hadoop.fs.Path(base)
+        files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(at)
+        files.deleteOnExit(at)
+        _ends_with_application.add(base)
+    return f"{base}/{name}"
+
+
+_ends_with_application: set[str] = set()
 
 
 def materialize_all(builders: dict, write=None) -> dict:
@@ -152,5 +207,6 @@ def materialize_all(builders: dict, write=None) -> dict:
     if len(builders) <= 1:
         return {k: write(k, b()) for k, b in builders.items()}
     with ThreadPoolExecutor(max_workers=len(builders)) as pool:
-        futures = {k: pool.submit(lambda k=k, b=b: write(k, b())) for k, b in builders.items()}
+        run = {k: contextvars.copy_context() for k in builders}  # the scope of the caller holds in the threads
+        futures = {k: pool.submit(run[k].run, lambda k=k, b=b: write(k, b())) for k, b in builders.items()}
         return {k: f.result() for k, f in futures.items()}
