@@ -11,10 +11,12 @@ The trees are fitted to at most about ``MAX_TRAIN`` labelled urls, a documented
 bound, chosen by a hash of page and url (so the copies of a hot url are chosen
 one by one); suffix statistics count all labelled urls,
 are combined before the shuffle, and are joined on the suffix (adaptive
-execution broadcasts or splits by what it measured).
+execution broadcasts or splits by what it measured).  A labelled url's own fold is
+left out of its suffix statistics.
 
 Defined results: a null url, or one without ``://``, has empty host and path,
-meets no rule and is judged by the trees on empty features; without labelled
+meets no rule and is judged by the trees on empty features; a url of any length is
+read whole; a url of which the trees are unsure to a tie is allowed; without labelled
 urls of both kinds every other url gets the one kind there is, or ``allow``;
 repeated rows are judged alike; extra columns are dropped; an empty table gives
 no rows.
@@ -35,7 +37,7 @@ from ._common import cut_lineage, prepare, table
 # Fixed rules: (host, path, verdict).
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block"))
-MAX_TRAIN, TREES, DEPTH, PRIOR = 200_000, 10, 4, 10.0
+MAX_TRAIN, TREES, DEPTH, PRIOR, FOLDS = 200_000, 10, 4, 10.0, 5
 FEATURES = ("url_chars", "host_chars", "path_chars", "host_labels", "depth", "digit_ratio", "entropy", "params",
             "query_chars", "hyphens", "suffix_rate", "domain_rate")
 
@@ -88,37 +90,50 @@ def with_features(df: DataFrame, url: str = "url") -> DataFrame:
         "domain", F.substring_index("host", ".", -2))
 
 
-def with_suffix_rates(df: DataFrame) -> DataFrame:
-    """Add the smoothed block rate of a url's suffix and domain among the labelled."""
+def with_suffix_rates(df: DataFrame, labelled: Column) -> DataFrame:
+    """Add the smoothed block rate of a url's suffix and domain among the ``labelled``.
+    A labelled url is left out of its own rates, with all others of its fold (a hash of
+    the url, so copies go together): the trees see no url's own label."""
     blocked = F.when(F.col("rule_verdict") == "block", 1.0).otherwise(0.0)
-    known = df.filter(F.col("rule_verdict").isNotNull())
+    df = df.withColumn("__fold", F.when(labelled, F.pmod(F.xxhash64("url", F.lit(5)), F.lit(FOLDS)).cast("int")))
+    known = df.filter(labelled)
     overall = F.coalesce(known.agg(F.avg(blocked)).scalar(), F.lit(0.0))
     for key, name in (("suffix", "suffix_rate"), ("domain", "domain_rate")):
-        rates = known.groupBy(F.col(key).alias("__key")).agg(F.sum(blocked).alias("__b"), F.count("*").alias("__n"))
+        inside = [F.col("__fold") == k for k in range(FOLDS)]
+        rates = known.groupBy(F.col(key).alias("__key")).agg(
+            F.array(*[F.sum(F.when(x, blocked).otherwise(0.0)) for x in inside]).alias("__b"),
+            F.array(*[F.sum(x.cast("double")) for x in inside]).alias("__n"))
+
+        def others(c):
+            every = F.coalesce(F.aggregate(c, F.lit(0.0), lambda a, x: a + x), F.lit(0.0))
+            return every - F.coalesce(F.get(c, F.col("__fold")), F.lit(0.0))
+
         df = df.join(rates, df[key] == rates["__key"], "left").withColumn(
-            name, (F.coalesce("__b", F.lit(0.0)) + PRIOR * overall) / (F.coalesce("__n", F.lit(0)) + PRIOR)
-        ).drop("__key", "__b", "__n")
-    return df
+            name, (others(F.col("__b")) + PRIOR * overall) / (others(F.col("__n")) + PRIOR)).drop("__key", "__b", "__n")
+    return df.drop("__fold")
 
 
-def judge(df: DataFrame, rules=RULES, max_train: int = MAX_TRAIN) -> DataFrame:
-    """Add ``host``, ``path``, ``rule`` and ``verdict`` to rows (page_id, url)."""
+def judge(df: DataFrame, rules=RULES, max_train: int = MAX_TRAIN, held_out: Column | None = None) -> DataFrame:
+    """Add ``host``, ``path``, ``rule``, ``verdict`` and ``learnt`` (what the trees say, also
+    where a rule decides) to rows (page_id, url).  Rows that ``held_out`` tells are not learnt from."""
     rows = cut_lineage(with_features(with_rule(parts(df), rules)).drop("rest"))
-    ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(with_suffix_rates(rows))
-    seen = {r["rule_verdict"]: r["count"]
-            for r in rows.filter(F.col("rule_verdict").isNotNull()).groupBy("rule_verdict").count().collect()}
+    labelled = F.col("rule_verdict").isNotNull()
+    if held_out is not None:
+        labelled &= ~held_out
+    ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(with_suffix_rates(rows, labelled))
+    seen = {r["rule_verdict"]: r["count"] for r in rows.filter(labelled).groupBy("rule_verdict").count().collect()}
     if len(seen) < 2:
         method = F.lit(next(iter(seen), "allow"))
     else:
         share = min(1.0, max_train / sum(seen.values()))
-        train = ready.filter(F.col("rule_verdict").isNotNull()
-                             & (F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 40)) < math.ceil(share * (1 << 40)))).select(
+        train = ready.filter(labelled & (F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 40)) < math.ceil(share * (1 << 40)))).select(
             "features", F.when(F.col("rule_verdict") == "block", 1.0).otherwise(0.0).alias("label"))
         model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=5, maxBins=32, cacheNodeIds=False).fit(
             cut_lineage(train))
         ready = model.transform(ready)
         method = F.when(F.col("prediction") == 1.0, "block").otherwise("allow")
-    return ready.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", method).alias("verdict"))
+    return ready.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", method).alias("verdict"),
+                        method.alias("learnt"))
 
 
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
