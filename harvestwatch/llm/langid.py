@@ -57,8 +57,8 @@ START, STOP = "\x02", "\x03"
 HASH_SEED = 42  # that of Spark's xxhash64
 Z, SAMPLE_LETTERS = 8.0, 20.0
 CLASS, NORMAL = 0.01, 1.4826  # width of a class of entropies; a normal deviation by the median one
-MAX_HELD = 300_000  # words of the table that a learning worker holds
-HELD_COSTS = 4_000_000  # numbers of the tables that a scoring worker holds: entries times languages
+MAX_HELD = 100_000  # words of the table that a worker holds, learning or scoring
+HELD_COSTS = 1_200_000  # numbers of the tables that a scoring worker holds: entries (MAX_HELD at most) times languages
 GRAMS_AT_ONCE = 20_000
 UNKNOWN = "und"
 
@@ -225,7 +225,7 @@ class Scorer:
 
     def score(self, texts: list[str | None]) -> list[tuple[int, np.ndarray]]:
         """Letters scored and their bits, by language, for each text."""
-        if (len(self.words) + len(self.grams)) * len(self.models.languages) > HELD_COSTS:
+        if len(self.words) + len(self.grams) > min(MAX_HELD, HELD_COSTS // len(self.models.languages)):
             self._reset()
         found, words, new = [words_of(t) if t else [] for t in texts], self.words, []
         for ws in found:
