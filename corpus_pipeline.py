@@ -6,10 +6,9 @@ all columns in place, the last one the packed pieces.  ``run`` applies them to
 
 Columns are renamed by position while an operator works, so extra columns whose
 names clash with the operator's own come through unchanged.  Every stage keeps on
-an empty table its columns and no rows.  Null and empty texts: ``language_id`` rejects
-them, the later stages take a null text for an empty one (``quality_rules`` fails
-it, ``near_duplicates`` holds all of them for copies of one document, ``substring_dedup``
-leaves them as they are, ``pack`` gives them the end sign alone).  Texts of any length
+an empty table its columns and no rows.  Null and empty texts: ``language_id`` and
+``quality_rules`` reject them, ``near_duplicates`` and ``substring_dedup`` leave them as
+they are (they are like no other text), ``pack`` gives them the end sign alone.  Texts of any length
 are read whole.  Fully repeated rows count as copies of a document, and of copies with
 one id only one row stays; ties of classes go to the smallest id.
 
