@@ -63,14 +63,14 @@ def np_rounds(sql: str) -> str:
         sql = sql[:i] + f"(round_even(({x}) * {scale}, 0) / {scale})" + sql[j:]
 
 
-def r6(sql: str, text_cols=()) -> str:
+def r6(sql: str, text_cols=(), digits: int = 6) -> str:
     """Round every numeric output column to 6 places (ints unchanged)."""
     sql = np_rounds(sql)
     if text_cols:
         keep = _in(text_cols)
-        return (f"SELECT round(COLUMNS(lambda c: c NOT IN {keep}), 6), "
+        return (f"SELECT round(COLUMNS(lambda c: c NOT IN {keep}), {digits}), "
                 f"COLUMNS(lambda c: c IN {keep}) FROM ({sql}) q")
-    return f"SELECT round(COLUMNS(*), 6) FROM ({sql}) q"
+    return f"SELECT round(COLUMNS(*), {digits}) FROM ({sql}) q"
 
 
 NORTH = _in(V.STANDIN_NORTH)
@@ -117,7 +117,7 @@ CTE = f"""
 geo AS (
   SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey),
 rain_raw AS (
-  SELECT CAST(o_orderdate AS DATE) AS date, trim(r_name) AS region, trim(n_name) AS district,
+  SELECT CAST(o_orderdate AS DATE) AS date, trim(r_name) AS region, trim(n_name) || ' ' || (c_custkey // 300) AS district,
          o_totalprice AS rfh
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN geo ON c_nationkey = n_nationkey),
 rain_mean AS (
@@ -292,6 +292,6 @@ latest AS (
 """
 
 
-def q(select: str, text_cols=(), round6: bool = True) -> str:
+def q(select: str, text_cols=(), round6: bool = True, digits: int = 6) -> str:
     sql = "WITH " + CTE.strip() + "\n" + select
-    return r6(sql, text_cols) if round6 else np_rounds(sql)
+    return r6(sql, text_cols, digits) if round6 else np_rounds(sql)

@@ -4,7 +4,8 @@ The benchmark tables hold no rainfall, prices or conflict events, so the
 three raw inputs are derived from them -- their size grows with the tables:
 
 * rainfall: one reading per order; region = the customer's region name,
-  district = the customer's nation name, reading = ``o_totalprice``; the
+  district = the customer's nation and group of ``STANDIN_GROUP`` customers, so
+  that the panel grows with the tables, reading = ``o_totalprice``; the
   anomaly is the monthly mean's deviation from the district's mean.
 * prices: one quote per line item; region = the supplier's region,
   commodity = a commodity name per ``p_type`` (six types, six families),
@@ -43,6 +44,7 @@ STANDIN_COMMODITY = {
 }
 STANDIN_EVENT_TYPE = {"R": "Flood displacement", "A": "Protests", "N": "Battles"}
 STANDIN_RAIN = {"rfh": "rainfall_mm"}
+STANDIN_GROUP = 300
 
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +53,11 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
 
 
+def district_name():
+    """Nation and group of a customer, as one district."""
+    return F.concat_ws(" ", "n_name", F.floor(F.col("c_custkey") / STANDIN_GROUP))
+
+
 def rain_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -58,7 +65,7 @@ def rain_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (o.join(c, o.o_custkey == c.c_custkey)
             .join(g, F.col("c_nationkey") == g.n_nationkey)
             .select(F.col("o_orderdate").alias("date"), F.col("r_name").alias("adm1_name"),
-                    F.col("n_name").alias("adm2_name"), F.col("o_totalprice").alias("rfh")))
+                    district_name().alias("adm2_name"), F.col("o_totalprice").alias("rfh")))
 
 
 def _lineitem_geo(spark: SparkSession, sf_dir: str, cols) -> DataFrame:

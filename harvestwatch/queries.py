@@ -31,15 +31,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def r6(df: DataFrame) -> DataFrame:
+def r6(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round double columns to 6 places (the compared projection)."""
-    return df.select(*[F.round(F.col(f.name), 6).alias(f.name) if isinstance(f.dataType, T.DoubleType)
+    return df.select(*[F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType)
                        else F.col(f.name) for f in df.schema])
 
 
-def register(name: str, sql: str | None):
+def register(name: str, sql: str | None, digits: int = 6):
+    """``digits`` is more than 6 for means of values with three places over many rows, which can
+    lie on a tie of the sixth, where the order of a sum decides."""
     def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: r6(fn(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: r6(fn(spark, sf_dir), digits)
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -343,7 +345,7 @@ def q_kpis(spark, sf):
 
 
 @register("mean_by_year", O.q("SELECT year, avg(rainfall_anomaly_pct) AS mean_rainfall_anomaly_pct "
-                              "FROM master GROUP BY year"))
+                              "FROM master GROUP BY year", digits=9), digits=9)
 def q_mean_by_year(spark, sf):
     return mean_by(S.rain_spine(spark, sf), "year", "rainfall_anomaly_pct")
 
@@ -367,7 +369,7 @@ def q_period_series(spark, sf):
     "arg_max(year, pidx) AS latest_year, arg_max(month, pidx) AS latest_month, "
     "arg_max(pred_ipc_phase, pidx) AS latest_pred_ipc_phase, "
     "arg_max(pred_ipc_confidence, pidx) AS latest_pred_ipc_confidence FROM scored GROUP BY district",
-    ("district",)))
+    ("district",), digits=9), digits=9)
 def q_entity_profile(spark, sf):
     return entity_profile(scored(spark, sf))
 
@@ -1128,7 +1130,7 @@ def q_mean_phase_by_month(spark, sf):
 @register("price_series", O.q(
     "SELECT year, month, avg(price_change_pct) AS mean_price_change_pct, "
     "year + (month - 1) / 12.0::DOUBLE AS date_n FROM scored GROUP BY year, month "
-    "HAVING avg(price_change_pct) IS NOT NULL"))
+    "HAVING avg(price_change_pct) IS NOT NULL", digits=9), digits=9)
 def q_price_series(spark, sf):
     return period_series(scored(spark, sf), "price_change_pct")
 

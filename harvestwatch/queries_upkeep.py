@@ -77,7 +77,8 @@ def q_features_refreshed(spark, sf):
 
 @register("panel_densified", O.q("""
 , urgent AS (
-  SELECT trim(r_name) AS region, trim(n_name) AS district, year(o_orderdate) * 12 + month(o_orderdate) - 1 AS p,
+  SELECT trim(r_name) AS region, trim(n_name) || ' ' || (c_custkey // 300) AS district,
+         year(o_orderdate) * 12 + month(o_orderdate) - 1 AS p,
          nround(avg(o_totalprice), 3) AS rainfall_mm
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN geo ON c_nationkey = n_nationkey
   WHERE o_orderpriority = '1-URGENT' GROUP BY ALL),
@@ -105,7 +106,7 @@ def q_panel_densified(spark, sf):
     urgent = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select("o_custkey", "o_orderdate", "o_totalprice")
     c, g = table(spark, sf, "customer").select("c_custkey", "c_nationkey"), S._geo(spark, sf)
     rows = urgent.join(c, F.col("o_custkey") == c.c_custkey).join(g, F.col("c_nationkey") == g.n_nationkey).select(
-        F.to_date("o_orderdate").alias("date"), F.trim("r_name").alias("region"), F.trim("n_name").alias("district"),
+        F.to_date("o_orderdate").alias("date"), F.trim("r_name").alias("region"), S.district_name().alias("district"),
         F.col("o_totalprice").alias("rfh"))
     dense = densify(cut_lineage(_monthly(rows)), key)
     dense = carry_forward(dense, {"rainfall_mm": "rainfall_carried"}, 2, key)
@@ -268,3 +269,51 @@ def q_attribution_linear(spark, sf):
     score = sum((F.col(c) * w for c, w in _WEIGHTS.items()), F.lit(0.0))
     values = shapley_values(column_scorer(score), f, list(_WEIGHTS), ["district", "year", "month"], back, pairs=5)
     return values.select("district", "year", "month", "feature", "contribution")
+
+
+# ---- M9, S9, B1: models applied, where the result is known ------------------------------
+
+# Two hand-written trees: (tree, node, feature, threshold, left, right, size, depth); features by place.
+_PATH_COLS = ("rainfall_anomaly_pct", "conflict_events", "is_lean_season")
+_NODES = ((0, 0, 0, 50.0, 1, 2, 64, 0), (0, 1, 1, 20.0, 3, 4, 60, 1), (0, 2, -1, 0.0, -1, -1, 4, 1), (0, 3, -1, 0.0, -1, -1, 55, 2),
+          (0, 4, -1, 0.0, -1, -1, 5, 2), (1, 0, 2, 0.5, 1, 2, 64, 0), (1, 1, -1, 0.0, -1, -1, 48, 1), (1, 2, 0, -40.0, 3, 4, 16, 1),
+          (1, 3, -1, 0.0, -1, -1, 1, 2), (1, 4, -1, 0.0, -1, -1, 15, 2))
+
+
+def _path_length(n: int) -> str:
+    """Mean path of an unsuccessful search among n rows, as SQL."""
+    return "0.0::DOUBLE" if n < 2 else f"(2 * (ln({n} - 1) + 0.5772156649015329::DOUBLE) - 2 * ({n} - 1) / {n}::DOUBLE)" if n > 2 else "1.0::DOUBLE"
+
+
+@register("forest_path_scores", O.q(f"""
+SELECT district, year, month, nround(power(2.0::DOUBLE, -(
+    CASE WHEN coalesce(rainfall_anomaly_pct, 0) < 50 THEN CASE WHEN conflict_events < 20 THEN 2 + {_path_length(55)} ELSE 2 + {_path_length(5)} END
+         ELSE 1 + {_path_length(4)} END
+  + CASE WHEN is_lean_season < 0.5 THEN 1 + {_path_length(48)}
+         ELSE CASE WHEN coalesce(rainfall_anomaly_pct, 0) < -40 THEN 2 + {_path_length(1)} ELSE 2 + {_path_length(15)} END END
+  ) / 2 / {_path_length(64)}), 4) AS anomaly_score FROM features""", ("district",)))
+def q_forest_path_scores(spark, sf):
+    """The feature panel scored by a forest whose node table is given."""
+    from .models.forest import NODE_SCHEMA, score_forest
+    nodes = spark.createDataFrame(list(_NODES), NODE_SCHEMA)
+    f = S.features(spark, sf).select("district", "year", "month", *_PATH_COLS)
+    return score_forest(f, nodes, list(_PATH_COLS), 64).select("district", "year", "month", "anomaly_score")
+
+
+@register("saved_scores_equal", O.q("SELECT count(*) AS n, 0::BIGINT AS n_different FROM features"))
+def q_saved_scores_equal(spark, sf):
+    """Models that were saved and loaded score every row as the fitted ones do."""
+    from .plans.pipeline import score_models, score_saved
+    f, base, keys = S.features(spark, sf), _scratch(spark, "models"), ["district", "year", "month"]
+    out = ["pred_ipc_phase", "pred_ipc_confidence", "pred_price_change", "anomaly_score", "is_anomaly"]
+    fitted = cut_lineage(score_models(f, base, phase_trees=20, price_trees=20, forest_trees=20).select(*keys, F.struct(*out).alias("a")))
+    loaded = score_saved(f, f"{base}/models").select(*keys, F.struct(*out).alias("b"))
+    return fitted.join(loaded, keys, "left").agg(F.count("*").alias("n"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("n_different"))
+
+
+@register("alert_feed_fitted", None)
+def q_alert_feed_fitted(spark, sf):
+    """B1 from fitted models: phase, confidence, price change and anomaly of the feed are predictions."""
+    from .plans import reports as R
+    from .plans.pipeline import score_models
+    return R.alert_feed(cut_lineage(score_models(S.features(spark, sf), phase_trees=60, price_trees=60, forest_trees=100)))
