@@ -95,7 +95,7 @@ def quantile_table(df: DataFrame, c: str, q: float) -> DataFrame:
         "n", F.when(whole, F.col("least")).otherwise(F.col("ends")[0]).alias("lo"),
         F.when(whole, F.col("most")).otherwise(F.col("ends")[1]).alias("hi")).alias("s")).scalar()
     lo, hi = s.getField("lo"), s.getField("hi")
-    counts = rows.where(F.col("v") <= hi).groupBy(F.when(F.col("v") >= lo, F.col("v")).alias("v")).agg(
+    counts = rows.where(F.col("v") <= hi).select(F.when(F.col("v") >= lo, F.col("v")).alias("v")).groupBy("v").agg(
         F.count(F.lit(1)).alias("n"))  # the row without a value counts what lies below
     width = hi - lo
     at = F.when((width > 0) & (width < 1.7e308), F.least(F.lit(RANGES - 1), F.floor((F.col("v") - lo) / width * RANGES))
