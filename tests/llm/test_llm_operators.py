@@ -11,6 +11,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from llm_helpers import brute_substrings, unlearnt_texts
+
 from harvestwatch.llm import bpe, chat, embeddings, jaccard, langid, packing, quality, sharding, substrings, urls
 from harvestwatch.llm._words import Words
 from harvestwatch.llm.queries import oracle_sql, queries
@@ -180,13 +182,6 @@ def test_langid_probabilities_sum_to_one(spark):
     assert abs(np.exp2(-m.costs([context + x for x in letters]))[:, 0].sum() - 1) < 1e-6
 
 
-def unlearnt_texts(n):
-    """Texts of a language that no document is labelled with."""
-    rng = np.random.default_rng(11)
-    parts = ["zq", "xv", "kj", "wz", "qx", "vj", "uu", "y"]
-    return [" ".join("".join(rng.choice(parts, rng.integers(2, 5))) for _ in range(80)) for _ in range(n)]
-
-
 def test_langid_rejects_a_third_of_unlabelled_texts(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
     n = docs.count()
@@ -228,21 +223,6 @@ def test_sharding(spark):
     assert all(p[4] == own[p[0]] for p in alone)  # with room everywhere each slot has its first node
 
 
-def brute_substrings(docs):
-    """docs: sorted (id, text)."""
-    seen, out = set(), {}
-    for i, text in docs:
-        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
-        gone = [False] * len(words)
-        for s in range(len(words) - 19):
-            w = tuple(words[s:s + 20])
-            if w in seen:
-                gone[s:s + 20] = [True] * 20
-            seen.add(w)
-        out[i] = [w for w, g in zip(words, gone, strict=True) if not g]
-    return out
-
-
 def test_substrings_brute_force(spark):
     rng = np.random.default_rng(5)
     vocab = [f"w{i}" for i in range(400)]
