@@ -178,10 +178,12 @@ def q_conflict_corrected(spark, sf):
     from .streaming import conflict_from_partials, start_keyed_refresh
     base = _scratch(spark, "keyed")
     line = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_returnflag"]
-    ev = S._lineitem_geo(spark, sf, [c for c in line if c != "l_suppkey"]).select(  # an id that tells all lines apart
+    # the narrow columns are written once, the long ids only in the landings
+    ev = cut_lineage(S._lineitem_geo(spark, sf, [c for c in line if c != "l_suppkey"]).select(*line, "r_name"))
+    ev = ev.select(  # an id that tells all lines apart
         F.concat_ws("-", *line).alias("event_id_cnty"), F.col("l_shipdate").alias("event_date"), F.col("r_name").alias("admin1"),
         F.col("l_quantity").alias("fatalities"), lit_map(S.STANDIN_EVENT_TYPE)[F.col("l_returnflag")].alias("event_type"))
-    ev = cut_lineage(ev.select(*[(F.col(f) if f in ev.columns else F.lit(None)).cast("string").alias(f) for f in EVENT_FIELDS]))
+    ev = ev.select(*[(F.col(f) if f in ev.columns else F.lit(None)).cast("string").alias(f) for f in EVENT_FIELDS])
     first, protest = F.month(F.to_date("event_date")) <= 6, F.col("event_type") == "Protests"
     wrong = ev.where(first).withColumns({
         "admin1": F.when(protest, F.lit("Nowhere")).otherwise(F.col("admin1")),
@@ -189,7 +191,7 @@ def q_conflict_corrected(spark, sf):
         "event_date": F.when(protest, F.date_add(F.to_date("event_date"), 40).cast("string")).otherwise(F.col("event_date"))})
     landings = (wrong, wrong, ev.where(first & protest), ev.where(~first))
     for landing in landings:
-        landing.write.mode("append").option("header", True).csv(f"{base}/landing")
+        landing.write.mode("append").option("header", True).option("compression", "gzip").csv(f"{base}/landing")
         start_keyed_refresh(spark, f"{base}/landing", f"{base}/store", f"{base}/ckpt").awaitTermination()
     return conflict_from_partials(spark, f"{base}/store/partials")
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import constants as K
 from ..functions import flag_gt, flag_lt, flag_pattern, parse_date, parse_double, std_region
 from ..operators import add_lags, quantile_flag
-from ..session import cut_lineage, path_exists
+from ..session import path_exists
 from ..sources import EVENTS_RAW, RAINFALL_RAW, drop_tag_rows, normalised
 
 
@@ -85,6 +85,9 @@ def start_refresh(spark: SparkSession, landing_dir: str, partials_dir: str, chec
 _CONTRIBUTION = ("region", "year", "month", "fatalities", "is_flood_event")
 
 
+SMALL_BATCH = 100_000  # rows whose ids are broadcast to the log
+
+
 def _contributions(batch: DataFrame) -> DataFrame:
     """What each row adds, with the landing it came by; a row without a date adds nothing."""
     date = parse_date("event_date")
@@ -97,13 +100,13 @@ def _contributions(batch: DataFrame) -> DataFrame:
 def merge_events(batch: DataFrame, store_dir: str, batch_id: int) -> None:
     """Count a micro-batch of events once per id.
 
-    ``events/batch_id=n`` logs the ids whose values are new or changed, ``partials/batch_id=n``
-    the sums that come and go.  Only log entries of earlier batches are looked up, and
-    both folders are written over, so a batch that is tried again does the same.  Ids are
-    unique after an aggregate with partial aggregation, so an id that a third of the
-    rows repeat is one row in the joins."""
+    ``events/batch_id=n`` logs the ids whose values are new or changed (with what they were),
+    ``partials/batch_id=n`` the sums that come and go, read from that log.  Only log entries
+    of earlier batches are looked up, and both folders are written over, so a batch that is
+    tried again does the same.  Ids are unique after an aggregate with partial aggregation, so
+    an id that a third of the rows repeat is one row in the joins."""
     spark = batch.sparkSession
-    rows = cut_lineage(_contributions(batch))
+    rows = _contributions(batch)
     newest = rows.where(F.col("event_id_cnty").isNotNull()).groupBy("event_id_cnty").agg(
         F.max(F.struct("landed_at", "landed_in", "now")).alias("m")).select("event_id_cnty", "m.now")
     log = f"{store_dir}/events"
@@ -111,12 +114,16 @@ def merge_events(batch: DataFrame, store_dir: str, batch_id: int) -> None:
     if path_exists(spark, log):
         schema = newest.schema.add("batch_id", "long")
         held = spark.read.schema(schema).option("basePath", log).parquet(log).where(F.col("batch_id") < batch_id)
-        ids = newest.select(F.col("event_id_cnty").alias("id"))
-        old = held.join(ids, F.col("event_id_cnty") == F.col("id"), "left_semi").groupBy("event_id_cnty").agg(
-            F.max_by("now", "batch_id").alias("was"))
+        if batch.limit(SMALL_BATCH + 1).count() <= SMALL_BATCH:  # † a few ids spare the log a shuffle
+            ids = F.broadcast(newest.select(F.col("event_id_cnty").alias("id")))
+            held = held.join(ids, F.col("event_id_cnty") == F.col("id"), "left_semi")
+        old = held.groupBy("event_id_cnty").agg(F.max_by("now", "batch_id").alias("was"))
     both = newest.join(old, "event_id_cnty", "left") if old is not None else newest.withColumn(
         "was", F.lit(None).cast(newest.schema["now"].dataType))
-    changed = cut_lineage(both.where(F.col("was").isNull() | ~F.col("was").eqNullSafe(F.col("now"))))
+    both = both.where(F.col("was").isNull() | ~F.col("was").eqNullSafe(F.col("now"))).select("event_id_cnty", "now", "was")
+    mine = f"{log}/batch_id={batch_id}"
+    both.write.mode("overwrite").parquet(mine)
+    changed = spark.read.schema(both.schema).parquet(mine)
     signed = (changed.select("event_id_cnty", F.lit(1).alias("sign"), "now.*")
               .unionByName(changed.where(F.col("was").isNotNull()).select("event_id_cnty", F.lit(-1).alias("sign"), "was.*"))
               .unionByName(rows.where(F.col("event_id_cnty").isNull()).select("event_id_cnty", F.lit(1).alias("sign"), "now.*")))
@@ -126,7 +133,6 @@ def merge_events(batch: DataFrame, store_dir: str, batch_id: int) -> None:
         F.sum(F.col("sign") * F.col("fatalities")).alias("fatalities_sum"),
         F.sum(F.col("sign") * F.col("is_flood_event")).cast("long").alias("flood_events"))
     sums.write.mode("overwrite").parquet(f"{store_dir}/partials/batch_id={batch_id}")
-    changed.select("event_id_cnty", "now").write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
 
 
 def start_keyed_refresh(spark: SparkSession, landing_dir: str, store_dir: str, checkpoint_dir: str,
