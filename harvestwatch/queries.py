@@ -51,7 +51,9 @@ def register(name: str, sql: str | None, digits: int = 6):
 # ---- shared stand-in tables (lazy plans) -----------------------------------
 
 def scored(spark, sf):
-    return rule_scores(S.features(spark, sf))
+    # cut: the reports name the table several times, and each time would plan the anomaly
+    # threshold (a chain of scalar subqueries) again
+    return S._cut(rule_scores(S.features(spark, sf)))
 
 
 # ---- 1. rainfall: A1, P12, A11 ---------------------------------------------

@@ -125,3 +125,13 @@ def test_entry_contract(spark):
     assert df.count() > 0 and df.columns == ["region", "flood_months"]
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q) and len(q) >= 50
+
+
+def test_scored_table_is_planned_once(spark, monkeypatch):
+    from harvestwatch import queries as Q
+    rows = [("N", "N 1", 2020, m, 1, 0.5 * m, 10.0 * m) for m in range(1, 13)]
+    f = spark.createDataFrame(rows, "region string, district string, year int, month int, ipc_phase int, price_change_pct double, "
+                                    "compound_risk_score double")
+    monkeypatch.setattr(Q.S, "features", lambda *_: f)
+    plan = Q.scored(spark, "")._jdf.queryExecution().optimizedPlan().toString()
+    assert "subquery" not in plan and Q.scored(spark, "").count() == 12
