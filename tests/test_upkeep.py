@@ -255,3 +255,14 @@ def test_sketches_unite(spark):
     one = {r.y: r.n_v for r in distinct_from(kept, ["y"], ["v"]).collect()}
     assert all(abs(n - 3000) <= sketch_error() * 3000 for n in one.values())
     assert abs(distinct_from(kept, [], ["v"]).first()[0] - 5000) <= sketch_error() * 5000  # values of several years count once
+
+
+def test_log_of_a_batch_holds_what_was(spark, tmp_path):
+    from harvestwatch.streaming import merge_events
+    store = str(tmp_path / "store")
+    make = lambda *xs: spark.createDataFrame([(*event(i, "2020-01-01", "N", x), 1, "f") for i, x in xs],
+                                             ", ".join(f"{f} string" for f in EVENT_FIELDS) + ", landed_at long, landed_in string")
+    merge_events(make(("a", 1), ("b", 2)), store, 0)
+    merge_events(make(("a", 1), ("b", 7)), store, 1)
+    log = spark.read.parquet(f"{store}/events")
+    assert [(r.event_id_cnty, r.was.fatalities, r.now.fatalities) for r in log.where("batch_id = 1").collect()] == [("b", 2.0, 7.0)]
