@@ -9,8 +9,9 @@ linear model gets its exact values.
 
 Scale: one scoring job over rows x steps, made by a generator from a plan of
 ``2 * pairs`` permutations and background rows, which is small by its parameters; each
-scored step adds to one feature's sum and takes from the next one's, so the
-contributions are one aggregate with partial sums.
+scored step adds to one feature's sum and takes from the next one's.  The rows to be
+explained are shuffled by their keys before the generator, so the steps of a row stay
+in its task and are summed there: no step is shuffled, written or read again.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import cut_lineage
 from .supervised import prepare
 
 PAIRS = 8
@@ -69,24 +69,25 @@ def shapley_values(score: Scorer, rows: DataFrame, cols, keys, background: DataF
             plan.append((len(plan), held[i % len(held)], place, o))
     plan = F.broadcast(spark.createDataFrame(plan, "p int, z array<double>, place array<int>, o array<int>"))
     n = 2 * turns
-    x = cut_lineage(prepare(rows, cols).select(*keys, F.array(*cols).alias("x")).distinct())
+    # a fixed number of parts: few rows make many steps, which their bytes do not show
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    x = prepare(rows, cols).dropna(subset=keys).select(*keys, F.array(*cols).alias("x")).repartition(parts, *keys).distinct()
     at = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("p")  # every row meets the n rows of the plan
     steps = x.select(*keys, "x", at).join(plan, "p").select(
         *keys, "x", "z", "place", "o", F.explode(F.sequence(F.lit(0), F.lit(len(cols)))).alias("k"))
     mixed = F.transform("x", lambda v, j: F.when(F.get(F.col("place"), j) < F.col("k"), v).otherwise(F.get(F.col("z"), j)))
     steps = steps.withColumn("m", mixed)
     scored = score(steps.select(*keys, "k", "o", *[F.col("m")[j].alias(c) for j, c in enumerate(cols)]))
-    gains = F.array(F.struct(F.get("o", F.col("k") - 1).alias("j"), F.col("__f").alias("v")),
-                    F.struct(F.get("o", F.col("k")).alias("j"), (-F.col("__f")).alias("v")),
-                    F.struct(F.when(F.col("k") == len(cols), F.lit(-1)).alias("j"), F.col("__f").alias("v")),
-                    F.struct(F.when(F.col("k") == 0, F.lit(-2)).alias("j"), F.col("__f").alias("v")))
-    sums = cut_lineage(scored.select(*keys, F.explode(gains).alias("g")).where("g.j IS NOT NULL").groupBy(*keys, "g.j").agg(
-        (F.sum("g.v") / n).alias("v")))
-    ends = sums.groupBy(*keys).agg(F.max(F.when(F.col("j") == -1, F.col("v"))).alias("prediction"),
-                                   F.max(F.when(F.col("j") == -2, F.col("v"))).alias("base"))
-    names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("j") + 1)
-    return sums.where("j >= 0").join(ends, keys).select(*keys, names.alias("feature"), F.col("v").alias("contribution"),
-                                                        "prediction", "base")
+    scored = scored.select(*keys, "__f", "k", F.get("o", F.col("k") - 1).alias("came"), F.get("o", F.col("k")).alias("next"))
+    mean = lambda v: F.sum(v) / n
+    gain = lambda j: F.when(F.col("came") == j, F.col("__f")).when(F.col("next") == j, -F.col("__f"))
+    sums = scored.groupBy(*keys).agg(
+        F.array(*[mean(gain(j)) for j in range(len(cols))]).alias("gains"),
+        mean(F.when(F.col("k") == len(cols), F.col("__f"))).alias("prediction"),
+        mean(F.when(F.col("k") == 0, F.col("__f"))).alias("base"))
+    names = F.array(*[F.lit(c) for c in cols])
+    return sums.select(*keys, "prediction", "base", F.posexplode("gains").alias("j", "contribution")).select(
+        *keys, F.get(names, "j").alias("feature"), "contribution", "prediction", "base")
 
 
 def attribution_ranking(values: DataFrame, k: int | None = 15) -> DataFrame:

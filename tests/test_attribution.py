@@ -103,3 +103,9 @@ def test_confidence_is_calibrated(spark):
     assert got.agg(F.min("pred_ipc_confidence")).first()[0] >= 0 and got.agg(F.max("pred_ipc_confidence")).first()[0] <= 1
     exact = spark.createDataFrame([(1, 1, 0.75)] * 3 + [(1, 2, 0.75)], "ipc_phase int, pred_ipc_phase int, pred_ipc_confidence double")
     assert calibration_error(exact).first()["ece"] == pytest.approx(0.0)
+
+
+def test_steps_are_not_shuffled(spark):
+    df = spark.createDataFrame(rows_of(20), "i int, a double, b double, c double, d double")
+    got = shapley_values(column_scorer(F.col("a") + F.col("b")), df, COLS, ["i"], df.where("i < 3"), pairs=3)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
