@@ -62,6 +62,7 @@ def score_models(features: DataFrame, out_dir: str | None = None, phase_trees: i
     t, source = price_frame(features)
     price = None
     if source:
+        t = cut_lineage(t)  # read by the column choice, the training and the report
         reg_cols = select_covered(t, [c for c in cols if c != source], 0.5)
         t = hash_split(t, keys)
         price = fit_price(t.where(F.col("split") == "train"), reg_cols, trees=price_trees)
