@@ -168,3 +168,25 @@ def test_price_target_falls_back(spark):
     assert source == "price_millet" and t.count() == 299
     first = t.orderBy("year", "month").first()
     assert abs(first["target_price_change"] - 100 / 101) < 1e-9
+
+
+def test_training_rows_are_dealt_evenly(spark):
+    from harvestwatch.models.supervised import spread
+    df = spark.range(1000).coalesce(1)
+    assert spread(df, 1000).rdd.getNumPartitions() == 1
+    sizes = spread(df, 40).rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert len(sizes) >= 25 and max(sizes) <= 60 and sum(sizes) == 1000
+
+
+def test_forests_keep_the_node_of_a_row(spark):
+    df = spark.range(60).selectExpr("id", "double(id % 7) AS a", "double(id % 3) AS b", "double(id % 7) AS y", "id % 2 AS p")
+    assert fit_phase(df, ["a", "b"], "p", trees=3).stages[-1].getCacheNodeIds()
+    assert fit_price(df, ["a", "b"], target="y", trees=3).stages[-1].getCacheNodeIds()
+
+
+def test_permutation_scores_only_changed_rows(spark):
+    df = spark.range(200).selectExpr("id", "double(id % 7) AS a", "1D AS b", "double(id % 7) AS y")
+    model = fit_price(df, ["a", "b"], target="y", trees=5)
+    got = permutation_importance(model, df, ["a", "b"], "y", ["id"], task="regression", k=None, bucket_rows=50)
+    assert {r.feature: r.importance for r in got.collect()}["b"] == 0.0
+    assert "<=>" in got._jdf.queryExecution().optimizedPlan().toString()
