@@ -1,7 +1,6 @@
 """Mergeable summaries of labels and of distinct values.
 
-``label_counts`` finds the most frequent labels by a bounded heavy-hitter summary and
-then counts these candidates exactly, so neither pass holds all labels of a column.
+``label_counts`` counts every label of the columns and ranks the most frequent ones.
 ``distinct_sketches`` keeps a distinct-count sketch per group; sketches of any groups can
 be united later (a range of years, say) without reading the raw rows again.
 """
@@ -12,34 +11,28 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import cut_lineage
 
-TRACKED = 10_000  # labels that the summary of a column follows
 LG_K = 14  # a sketch has 2^14 registers
 
 
-def label_counts(df: DataFrame, cols, k: int = 20, tracked: int = TRACKED) -> DataFrame:
+def label_counts(df: DataFrame, cols, k: int = 20, tracked: int | None = None) -> DataFrame:
     """(column, value, n, share, rank): the ``k`` most frequent labels of each column
     with exact counts, ties by label, NULLs left out.
 
-    A column with at most three quarters of ``tracked`` labels is followed whole.  With
-    more, a label of more than ``3.5 / tracked`` of the rows is always a candidate, so a
-    row of the result whose ``share`` is above that is certain to hold its rank."""
+    Every label is counted, whatever their number: tasks combine counts before they are
+    dealt by label, and each task sends its first ``k`` of a column to the ranking.
+    ``tracked`` has no effect; it was the number of labels of a summary that left the
+    rest out."""
     cols = list(cols)
-    tops = df.agg(*[F.expr(f"approx_top_k(CAST(`{c}` AS STRING), {tracked}, {tracked}) FILTER (WHERE `{c}` IS NOT NULL)").alias(f"t{i}")
-                    for i, c in enumerate(cols)])
-
-    def tagged(i):
-        items = F.coalesce(F.col(f"t{i}.item"), F.array().cast("array<string>"))
-        return F.transform(items, lambda v: F.struct(F.lit(i).alias("i"), v.alias("v")))
-
-    candidates = cut_lineage(tops.select(F.explode(F.concat(*map(tagged, range(len(cols))))).alias("c")).select("c.i", "c.v"))
     cells = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v"))
                                           for i, c in enumerate(cols)])).alias("c")).select("c.i", "c.v")
-    counts = cells.join(F.broadcast(candidates), ["i", "v"]).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
-    totals = df.select(F.array(*[F.count(c) for c in cols]).alias("a")).scalar()
-    first = Window.partitionBy("i").orderBy(F.col("n").desc(), "v")  # at most `tracked` rows of a column
-    return counts.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k).select(
+    # read twice: for the totals and the ranks
+    counts = cut_lineage(cells.where(F.col("v").isNotNull()).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")))
+    totals = counts.groupBy("i").agg(F.sum("n").alias("total"))  # a row per column
+    first = Window.partitionBy("i").orderBy(F.col("n").desc(), "v")  # cut to k rows before they are dealt by column
+    ranked = counts.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k)
+    return ranked.join(totals, "i").select(
         F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("i") + 1).alias("column"), F.col("v").alias("value"), "n",
-        (F.col("n") / F.element_at(totals, F.col("i") + 1)).alias("share"), "rank")
+        (F.col("n") / F.col("total")).alias("share"), "rank")
 
 
 def distinct_sketches(df: DataFrame, keys, cols, lg_k: int = LG_K) -> DataFrame:

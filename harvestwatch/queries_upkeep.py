@@ -219,7 +219,7 @@ def q_label_overview(spark, sf):
     quotes = li.join(p, li.l_partkey == p.p_partkey).select(
         "commodity", lit_map(S.STANDIN_EVENT_TYPE)[F.col("l_returnflag")].alias("event_type"),
         F.trim("r_name").alias("region"), F.col("l_suppkey").alias("clerk"))
-    return label_counts(cut_lineage(quotes), ["commodity", "event_type", "region", "clerk"], 12)
+    return label_counts(quotes, ["commodity", "event_type", "region", "clerk"], 12)
 
 
 @register("distinct_by_range", O.q("""

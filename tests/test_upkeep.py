@@ -248,6 +248,16 @@ def test_label_counts(spark):
     assert label_counts(spark.createDataFrame([], "s string"), ["s"]).count() == 0
 
 
+def test_label_counts_leave_no_label_out(spark):
+    # ranks 2 to 4 come twice among 40,000 labels that come once: more than a summary follows
+    from harvestwatch.operators import label_counts
+    once = spark.range(40_000).selectExpr("concat('x', id) AS s")
+    rows = once.union(spark.createDataFrame([("hot",)] * 30 + [("x39990",), ("x20000",), ("x7",)], "s string")).repartition(5)
+    got = sorted((r["rank"], r["value"], r["n"]) for r in label_counts(rows, ["s"], k=4).collect())
+    assert got == [(1, "hot", 30), (2, "x20000", 2), (3, "x39990", 2), (4, "x7", 2)]
+    assert len(label_counts(rows, ["s"], k=20_000).collect()) == 20_000  # not cut to what a summary holds
+
+
 def test_sketches_unite(spark):
     from harvestwatch.operators import distinct_from, distinct_sketches, sketch_error
     rows = [(y, i) for y in (1, 2, 3) for i in range(y * 1000, y * 1000 + 3000)] + [(1, None)]
