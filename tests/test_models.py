@@ -1,6 +1,8 @@
 """Model operators on the stand-in feature panel (sf0.001): seeded, better than
 a naive baseline, anomaly share near the contamination rate."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,3 +192,67 @@ def test_permutation_scores_only_changed_rows(spark):
     got = permutation_importance(model, df, ["a", "b"], "y", ["id"], task="regression", k=None, bucket_rows=50)
     assert {r.feature: r.importance for r in got.collect()}["b"] == 0.0
     assert "<=>" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_large_forests_are_grown_as_spark_ml_grows_them(spark):
+    # one tree over all rows and features draws nothing at random: the same splits and leaves
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import RandomForestRegressor
+    from harvestwatch.models.histforest import fit_forest
+    df = spark.range(4000).selectExpr(
+        "double(id % 7) AS a", "double((id * 7919) % 211) AS b", "double(pmod(xxhash64(id), 97)) / 3 AS c",
+        "IF(id % 500 = 0, 1D, 0D) AS rare", "5D AS same").selectExpr(
+        "*", "a * 3 + abs(b - 90) + 40 * rare + c / 7 AS y", "double(IF(b > 150, 2, IF(a + c > 20, 1, 0))) AS k").selectExpr(
+        "*", "IF(k = 2, 2.5D, 1D) AS w").repartition(3).cache()
+    cols = ["a", "b", "c", "rare", "same"]
+    rows = VectorAssembler(inputCols=cols, outputCol="features").transform(df)
+    one = {"numTrees": 1, "bootstrap": False, "featureSubsetStrategy": "all", "maxDepth": 5, "minInstancesPerNode": 3, "seed": 1}
+    for est, args in ((RandomForestRegressor(labelCol="y", **one), ("y",)),
+                      (RandomForestClassifier(labelCol="k", weightCol="w", **one), ("k", 3, [1.0, 1.0, 2.5]))):
+        want, got = est.fit(rows), fit_forest(est, df, cols, *args)
+        assert got.numFeatures == 5 and got.trees[0].numNodes == want.trees[0].numNodes > 9
+        strip = lambda m: re.sub(r"\d+\.\d+", lambda x: f"{float(x[0]):.9g}", m.toDebugString.split("\n", 1)[1].strip())
+        assert strip(got) == strip(want)
+        assert got.featureImportances.toArray() == pytest.approx(want.featureImportances.toArray(), abs=1e-9)
+        a, b = (sorted(str(r[0]) for r in m.transform(rows).select("prediction").distinct().collect()) for m in (got, want))
+        assert [float(v) for v in a] == pytest.approx([float(v) for v in b])
+
+
+def test_forests_over_many_rows(spark, tmp_path):
+    df = spark.range(6000).selectExpr(
+        "id", "double(pmod(xxhash64(id), 1000)) AS a", "double(pmod(xxhash64(id, 1), 1000)) AS b",
+        "double(pmod(xxhash64(id, 2), 5)) AS c").selectExpr("*", "a / 10 + 20 * c AS y", "IF(a > 900, 3, IF(b > 500, 2, 1)) AS p").repartition(4)
+    cols = ["a", "b", "c"]
+    phase = fit_phase(df, cols, "p", trees=20, many=1000)
+    assert phase.stages[-1].getNumTrees == 20 and phase.stages[-1].numClasses == 3
+    save_model(phase, str(tmp_path / "phase"))
+    got = predict_phase(load_model(str(tmp_path / "phase")), df, cols)
+    assert got.where("p = pred_ipc_phase").count() > 5900
+    price = fit_price(df, cols, target="y", trees=20, many=1000)
+    few = fit_price(df, cols, target="y", trees=20)
+    error = [m.transform(df).selectExpr("avg(abs(y - prediction))").first()[0] for m in (price, few)]
+    assert error[0] < 1.2 * error[1] + 0.1
+    assert price.stages[-1].featureImportances.toArray().argmin() == 1  # b says nothing
+
+
+def test_permuted_rows_are_not_shuffled(spark):
+    # by hand: rows of a bucket in the order of their hash, feature j taken j + 1 places further on
+    for n, size in ((30, 1000), (500, 100), (2, 4)):
+        df = spark.range(n).selectExpr("id", "double(id % 7) AS a", "double(id % 11) AS b", "double(id) AS c", "double(id % 7 + id) AS y")
+        model = fit_price(df, ["a", "b", "c"], target="y", trees=5)
+        got = permutation_importance(model, df, ["a", "b", "c"], "y", ["id"], task="regression", k=None, bucket_rows=size)
+        rows = [(r.h, [r.a, r.b, r.c], r.y) for r in df.selectExpr("*", "xxhash64(id, 42) AS h").collect()]
+        at, buckets = max(1, n // size), {}
+        for r in sorted(rows):
+            buckets.setdefault(r[0] % at, []).append(r)
+        trial = [(-1, x, y) for _, x, y in rows]
+        for some in buckets.values():
+            for i, (_, x, y) in enumerate(some):
+                trial += [(j, [*x[:j], some[(i + 1 + j) % len(some)][1][j], *x[j + 1:]], y) for j in range(3)]
+        scored = model.transform(spark.createDataFrame([(j, *x, y) for j, x, y in trial], "j int, a double, b double, c double, y double"))
+        m = {r.j: r.m for r in scored.groupBy("j").agg(F.avg(F.abs(F.col("prediction") - F.col("y"))).alias("m")).collect()}
+        want = {c: m[j] - m[-1] for j, c in enumerate(("a", "b", "c"))}
+        assert {r.feature: r.importance for r in got.collect()} == pytest.approx(want, abs=1e-9)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join") == 1 and "bucket" in plan  # of the features' names only
